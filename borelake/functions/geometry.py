@@ -10,6 +10,8 @@ so it is exact when the coordinates and their products are exactly representable
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -74,13 +76,12 @@ def is_box(shape: Column) -> Column:
             lambda e: ((e["x1"] == e["x2"]) & ((e["x1"] == box["x0"]) | (e["x1"] == box["x1"])))
             | ((e["y1"] == e["y2"]) & ((e["y1"] == box["y0"]) | (e["y1"] == box["y1"]))),
         )
-        found = on_envelope
-        for x in ("x0", "x1"):
-            for y in ("y0", "y1"):
-                found = found & F.exists(
-                    vertices_of(shape), lambda v, x=x, y=y: (v["x"] == box[x]) & (v["y"] == box[y])
-                )
-        return found
+
+        def has_corner(x, y):
+            return F.exists(vertices_of(shape), lambda v: (v["x"] == box[x]) & (v["y"] == box[y]))
+
+        corners = [has_corner(x, y) for x in ("x0", "x1") for y in ("y0", "y1")]
+        return reduce(and_, corners, on_envelope)
 
     return (F.size(shape) == 1) & (F.size(F.flatten(shape)) == 1) & let(envelope(shape), covers)
 

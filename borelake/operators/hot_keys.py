@@ -57,7 +57,7 @@ def spread_join(
     """``big`` joined to ``small`` (inner, left, left_semi or left_anti) with heavy keys salted."""
     keys = list(keys)
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    hot = park(hot_keys(big, keys, hot_rows), "hot-keys")
+    hot = hot_keys(big, keys, hot_rows)
     n_hot = hot.count()
     keeps_nulls = how in ("left", "left_anti")
     if n_hot == 0 and not keeps_nulls:
@@ -65,6 +65,7 @@ def spread_join(
     spot = _row_number_like(big)
     salt = F.lit(0)
     if n_hot:
+        hot = park(hot, "hot-keys")
         side = F.broadcast(hot) if n_hot * _HOT_ROW_BYTES <= BROADCAST_LIMIT else hot
         big = big.join(side, keys, "left")
         small = small.join(side, keys, "left").withColumn(

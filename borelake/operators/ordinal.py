@@ -82,10 +82,11 @@ def interval_lists(
             F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(item)).alias("intervals")
         )
 
-    long_keys = park(hot_keys(kept, [key], limit).select(key), "long-logs")
+    long_keys = hot_keys(kept, [key], limit).select(key)
     n_long = long_keys.count()
     if n_long == 0:
         return listed(kept, key).select(key, F.lit(0).cast("bigint").alias("part"), "n", "intervals")
+    long_keys = park(long_keys, "long-logs")
     # at most one long log per `limit` rows; broadcast only while that is few
     side = F.broadcast(long_keys) if n_long <= FEW_GROUPS else long_keys
     short = listed(kept.join(side, key, "left_anti"), key).withColumn("part", F.lit(0).cast("bigint"))

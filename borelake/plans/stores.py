@@ -85,8 +85,8 @@ def build_national(
         "earth_material": lambda: landed.with_landing_order(
             landed.read_log_features(spark, f"{root}/earth_material", "earth_material")
         ),
-        "hydrogeology": lambda: landed.read_hydro_features(spark, f"{root}/hydrogeology").drop(
-            "page", "pos"
+        "hydrogeology": lambda: landed.with_landing_order(
+            landed.read_hydro_features(spark, f"{root}/hydrogeology")
         ),
     }
     tables = {}

@@ -602,10 +602,10 @@ def _(fx):
 
 @register("interval_p98", with_(_BORES, _STRAT, _COUNTS) + """,
 ranked AS (SELECT n_intervals, row_number() OVER (ORDER BY n_intervals) - 1 AS r FROM counts),
-at AS (SELECT (count(*) - 1) * 0.98e0 AS pos FROM counts),
+spot AS (SELECT (count(*) - 1) * 0.98e0 AS pos FROM counts),
 ends AS (
   SELECT pos, max(CASE WHEN r = floor(pos) THEN n_intervals END) AS lo,
-         max(CASE WHEN r = ceil(pos) THEN n_intervals END) AS hi FROM ranked, at GROUP BY pos)
+         max(CASE WHEN r = ceil(pos) THEN n_intervals END) AS hi FROM ranked, spot GROUP BY pos)
 SELECT CASE WHEN floor(pos) = ceil(pos) THEN CAST(lo AS double)
             ELSE (ceil(pos) - pos) * lo + (pos - floor(pos)) * hi END AS p FROM ends""")
 def _(fx):
@@ -870,7 +870,7 @@ def _(fx):
     return store.get("logs").select(
         "row_no", "HydroCode", "Description", "FromDepth", "ToDepth",
         F.col("HydroCode").isNotNull().cast("int").alias("keyed"),
-        F.lit(about["feature_count"]).alias("feature_count"),
+        F.lit(about["feature_count"]).cast("bigint").alias("feature_count"),
     )
 
 
@@ -902,7 +902,7 @@ def _(fx):
         F.col("eno").alias("row_no"), F.when(F.col("geom_lon").isNotNull(), point).alias("geometry"),
         props.alias("properties"),
     )
-    landed_headers = landed.read_header_features(fx.spark, land_pages(fx, features))
+    landed_headers = landed.read_header_features(fx.spark, land_pages(fx, features), multi_line=False)
     return mapping.national_headers(landed_headers).select(*mapping.HEADER_COLUMNS)
 
 
@@ -915,7 +915,10 @@ def _(fx):
         F.struct(*(c for c in raw.columns if c != "row_no")).alias("properties"),
     )
     logs = mapping.national_logs(
-        landed.read_log_features(fx.spark, land_pages(fx, features), "stratigraphy"), "stratigraphy"
+        landed.read_log_features(
+            fx.spark, land_pages(fx, features), "stratigraphy", multi_line=False
+        ),
+        "stratigraphy",
     )
     wanted = ga_headers(fx).where("eno % 2 = 0")
     return joins.logs_of(logs, wanted).select(
@@ -944,7 +947,7 @@ def _(fx):
     raw.groupBy(page.alias("_page")).agg(
         F.concat(F.lit('{"features":['), F.array_join(F.collect_list(feature), ","), F.lit("]}")).alias("value")
     ).select("value").write.text(path)
-    units = landed.read_hydro_features(fx.spark, path)
+    units = landed.read_hydro_features(fx.spark, path, multi_line=False)
     return units.select(
         "ufi", "feature", "prodty", *BOUNDS, F.size(F.flatten("shape")).alias("n_rings")
     )
@@ -977,7 +980,7 @@ _CHECKS = f"""
 SELECT 'position_in_australia' AS "check", count(*) FILTER (longitude IS NOT NULL AND latitude IS NOT NULL) AS n_checked,
        count(*) FILTER (NOT (longitude BETWEEN 112 AND 154 AND latitude BETWEEN -44 AND -10)) AS n_failed FROM bores
 UNION ALL SELECT 'position_in_box', count(*) FILTER (longitude IS NOT NULL AND latitude IS NOT NULL),
-       count(*) FILTER (NOT ({_IN_BOX})) FROM bores
+       count(*) FILTER (longitude IS NOT NULL AND latitude IS NOT NULL AND NOT ({_IN_BOX})) FROM bores
 UNION ALL SELECT 'header_has_key', count(*), count(*) FILTER (bore_key IS NULL) FROM bores
 UNION ALL SELECT 'identifier_is_pid', count(identifier), count(identifier) FROM bores
 UNION ALL SELECT 'depths_numeric', count(*), count(*) FILTER (top_depth_m IS NULL OR bottom_depth_m IS NULL) FROM strat
