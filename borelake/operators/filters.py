@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.geometry import SHAPE_TYPE, box_shape, in_box, point_in_literal_edges, shape_is_valid
 from ..functions.keys import eno_of_identifier
@@ -46,6 +47,18 @@ def in_region(
     return points_in_polygons(near, one, lon=lon, lat=lat, how="left_semi")
 
 
+def raw_in_region(raw: DataFrame, region: Region, refine: str = "exact") -> DataFrame | None:
+    """The region filter on plain stored coordinates, so that its envelope reaches the scan.
+
+    Uses ``point_lon``/``point_lat`` or numeric ``Longitude``/``Latitude``; None without either.
+    A NaN lies in no box, so raw numbers filter like cleaned ones.
+    """
+    for lon, lat in (("point_lon", "point_lat"), ("Longitude", "Latitude")):
+        if all(c in raw.columns and raw.schema[c].dataType == T.DoubleType() for c in (lon, lat)):
+            return in_region(raw, region, lon, lat, refine)
+    return None
+
+
 def by_attribute(raw: DataFrame, predicate: str | None) -> DataFrame:
     """An SQL predicate over *raw* column names."""
     return raw if not predicate else raw.where(F.expr(predicate))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,15 +53,19 @@ def spread_join(
     keys: Sequence[str],
     how: str = "inner",
     hot_rows: int | None = None,
+    condition: Column | None = None,
 ) -> DataFrame:
-    """``big`` joined to ``small`` (inner, left, left_semi or left_anti) with heavy keys salted."""
+    """``big`` joined to ``small`` (inner, left, left_semi or left_anti) with heavy keys salted.
+
+    The key columns appear once in the result; ``condition`` is tested on pairs of equal keys.
+    """
     keys = list(keys)
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     hot = hot_keys(big, keys, hot_rows)
     n_hot = hot.count()
     keeps_nulls = how in ("left", "left_anti")
     if n_hot == 0 and not keeps_nulls:
-        return big.join(small, keys, how)
+        return key_join(big, small, keys, how, condition)
     spot = _row_number_like(big)
     salt = F.lit(0)
     if n_hot:
@@ -77,4 +81,14 @@ def spread_join(
     if keeps_nulls:
         salt = F.when(_any_null(keys), F.pmod(spot, F.lit(NULL_SPREAD))).otherwise(salt)
     big = big.withColumn("_salt", salt.cast("int")).drop("_salts")
-    return big.join(small, [*keys, "_salt"], how).drop("_salt")
+    return key_join(big, small, [*keys, "_salt"], how, condition).drop("_salt")
+
+
+def key_join(big: DataFrame, small: DataFrame, keys: list[str], how: str, condition) -> DataFrame:
+    """The plain join on equal key names, with an extra condition on pairs if there is one."""
+    if condition is None:
+        return big.join(small, keys, how)
+    theirs = [f"_their_{k}" for k in keys]
+    equal = reduce(and_, (F.col(k) == F.col(t) for k, t in zip(keys, theirs, strict=True)))
+    renamed = small.withColumnsRenamed(dict(zip(keys, theirs, strict=True)))
+    return big.join(renamed, equal & condition, how).drop(*theirs)

@@ -76,13 +76,15 @@ HYDRO_UNIT = {
 }
 
 # Raw columns a build adds, kept out of the raw record.
-NOT_IN_HEADER_BAG = ("geometry", "geom_type", "geom_lon", "geom_lat")
-NOT_IN_LOG_BAG = ("geometry", "Longitude", "Latitude")
+NOT_IN_HEADER_BAG = ("geometry", "geom_type", "geom_lon", "geom_lat", "point_lon", "point_lat")
+NOT_IN_LOG_BAG = ("geometry", "Longitude", "Latitude", "point_lon", "point_lat")
 _CARRIED = ("row_no", "source")
 
 
 def raw_bag(raw: DataFrame, leave_out: tuple[str, ...]) -> Column:
-    """The raw record as JSON text, nulls kept, columns in their order."""
+    """The raw record as JSON text, nulls kept, columns in their order; landed text if there is one."""
+    if "source_attributes" in raw.columns:
+        return F.col("source_attributes")
     kept = [quoted(c) for c in raw.columns if c not in leave_out and c not in _CARRIED]
     if not kept:
         return F.lit("{}")
@@ -117,6 +119,12 @@ def point_columns(raw: DataFrame) -> tuple[Column, Column]:
     )
 
 
+def with_national_point(raw: DataFrame) -> DataFrame:
+    """Adds ``point_lon``/``point_lat`` to national headers, as plain columns a scan can filter."""
+    lon, lat = clean_position(*point_columns(raw))
+    return raw.withColumn("point_lon", lon).withColumn("point_lat", lat)
+
+
 def clean_position(lon: Column, lat: Column) -> tuple[Column, Column]:
     """A position needs both coordinates: one missing makes both null."""
     both = lon.isNotNull() & lat.isNotNull()

@@ -6,7 +6,7 @@ wholly outside are dropped. A point lies in one cell, so it meets each polygon a
 no pair needs removing afterwards.
 
 The cut polygons are broadcast only when a count of their cells and edges proves them small;
-otherwise both sides shuffle on the cell and adaptive execution splits a crowded cell by points.
+otherwise both sides shuffle on the cell, and a crowded cell's points are spread over tasks.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from ..config import BROADCAST_LIMIT
 from ..functions.geometry import (
     bounds_of, boxes_overlap, edges_of, let, point_in_edges, shapes_intersect,
 )
+from .hot_keys import key_join, spread_join
 
 CELL_DEGREES = 0.5
 # Slack around a cell, in degrees: far above rounding error, far below any coordinate's accuracy.
@@ -117,6 +118,7 @@ def points_in_polygons(
     shape: str = "shape",
     cell: float = CELL_DEGREES,
     how: str = "inner",
+    limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Each point with each polygon that holds it, boundary included.
 
@@ -127,16 +129,18 @@ def points_in_polygons(
     if how == "left_semi":
         polygons, carried = polygons.select(shape), []
     cut = cut_to_cells(polygons, shape, cell)
-    small = _proven_bytes(polygons, shape, cell, len(carried)) <= BROADCAST_LIMIT
-    cut = F.broadcast(cut) if small else cut.hint("merge")
     placed = points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull()).select(
-        "*", cell_of(F.col(lon), cell).alias("_cx"), cell_of(F.col(lat), cell).alias("_cy")
+        "*", cell_of(F.col(lon), cell).alias("cell_x"), cell_of(F.col(lat), cell).alias("cell_y")
     )
     held = F.when(F.col("all_inside"), F.lit(True)).otherwise(
         point_in_edges(F.col(lon), F.col(lat), F.col("cell_edges"))
     )
-    match = (F.col("_cx") == F.col("cell_x")) & (F.col("_cy") == F.col("cell_y")) & held
-    return placed.join(cut, match, how).select(*points.columns, *carried)
+    keys = ["cell_x", "cell_y"]
+    if _proven_bytes(polygons, shape, cell, len(carried)) <= limit:
+        pairs = key_join(placed, F.broadcast(cut), keys, how, held)
+    else:
+        pairs = spread_join(placed, cut.hint("merge"), keys, how, condition=held)
+    return pairs.select(*points.columns, *carried)
 
 
 def polygons_in_region(

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.federation import federated_logs, union_all
-from ..operators.filters import by_attribute, in_region, region_shape, single_header, source_tags
+from ..operators.filters import (
+    by_attribute, in_region, raw_in_region, region_shape, single_header, source_tags,
+)
 from ..operators.mapping import national_headers, national_logs, state_headers, state_logs
 from ..operators.spatial_join import polygons_in_region
 from ..region import Region
@@ -19,6 +21,12 @@ from .bores import Bores
 _BOUNDS = ("min_lon", "min_lat", "max_lon", "max_lat")
 
 
+def _headers_in(raw: DataFrame, footprint: Region, mapped, refine: str = "exact") -> DataFrame:
+    """Canonical headers of a region; filtered before mapping where the raw position allows."""
+    near = raw_in_region(raw, footprint, refine)
+    return mapped(near) if near is not None else in_region(mapped(raw), footprint, refine=refine)
+
+
 @dataclass(frozen=True)
 class NationalBores:
     """Queries over the national tables: raw headers, raw logs by kind, raw polygons."""
@@ -34,8 +42,7 @@ class NationalBores:
     ) -> Bores | int:
         """Bores of a region; ``where`` is SQL over raw names; a count reads positions only."""
         footprint = Region.resolve(region, bbox)
-        mapped = national_headers(by_attribute(self.headers, where))
-        found = in_region(mapped, footprint, refine=refine)
+        found = _headers_in(by_attribute(self.headers, where), footprint, national_headers, refine)
         if count_only:
             return found.count()
         logs = {kind: national_logs(raw, kind) for kind, raw in self.logs.items()}
@@ -72,7 +79,7 @@ class StateBores:
         codes = [states] if isinstance(states, str) else list(states)
         tags = [f"NGIS:{c.strip().upper()}" for c in codes]
         asked = F.col("source").isin(*tags) if tags else F.lit(False)
-        found = in_region(state_headers(self.bores.where(asked)), footprint)
+        found = _headers_in(self.bores.where(asked), footprint, state_headers)
         logs = {}
         for kind, raw in self.logs.items():
             mine = raw.where(asked) if "source" in raw.columns else raw

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import snapshot_key
-from ..operators.joins import with_bore_position
+from ..operators.joins import with_bore_position, with_point
+from ..operators.mapping import with_national_point
 from ..schema import LOG_KINDS
 from ..sources import landed
 from ..sources.registry import (
@@ -56,9 +57,9 @@ def build_state(
         bores = layers["bores"]
         for layer, raw in layers.items():
             placed = raw if layer == "bores" else with_bore_position(raw, bores)
-            tagged = placed.withColumn("source", F.lit(tag))
+            tagged = with_point(placed).withColumn("source", F.lit(tag))
             store.put(
-                keys[layer], laid_out(tagged, "Longitude", "Latitude"),
+                keys[layer], laid_out(tagged, "point_lon", "point_lat"),
                 state_provenance(source.state, layer, sources=sources), now,
             )
     return {layer: store.get(key) for layer, key in keys.items()}
@@ -76,8 +77,10 @@ def build_national(
     age = {} if max_age is None else {"max_age": max_age}
     readers = {
         "headers": lambda: laid_out(
-            landed.with_landing_order(landed.read_header_features(spark, f"{root}/headers")),
-            "geom_lon", "geom_lat",
+            with_national_point(
+                landed.with_landing_order(landed.read_header_features(spark, f"{root}/headers"))
+            ),
+            "point_lon", "point_lat",
         ),
         "stratigraphy": lambda: landed.with_landing_order(
             landed.read_log_features(spark, f"{root}/stratigraphy", "stratigraphy")

@@ -12,27 +12,26 @@ from pyspark.sql import functions as F
 _BLOCK = 8 * 1024 * 1024
 
 
-def _md5_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
-
-    for batch in batches:
-        digests = []
-        for path in batch["path"]:
-            system, name = fs.FileSystem.from_uri(path)
-            digest = hashlib.md5(usedforsecurity=False)
-            with system.open_input_stream(name) as stream:
-                while block := stream.read(_BLOCK):
-                    digest.update(block)
-            digests.append(digest.hexdigest())
-        yield batch.assign(md5=digests)
-
-
 def check_artifacts(spark: SparkSession, root: str, registry: DataFrame) -> DataFrame:
     """``state, path, size_ok, md5_ok`` of each landed archive ``<root>/<state>/*.zip``.
 
     Sizes come from the file listing alone. Only files of the right size are read, in blocks, one
     file per task, so an archive of any size needs a few megabytes.
     """
+    def md5_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        for batch in batches:
+            digests = []
+            for path in batch["path"]:
+                system, name = fs.FileSystem.from_uri(path)
+                digest = hashlib.md5(usedforsecurity=False)
+                with system.open_input_stream(name) as stream:
+                    while block := stream.read(_BLOCK):
+                        digest.update(block)
+                digests.append(digest.hexdigest())
+            yield batch.assign(md5=digests)
+
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.zip").load(root).select("path", "length")
@@ -41,7 +40,7 @@ def check_artifacts(spark: SparkSession, root: str, registry: DataFrame) -> Data
     asked = F.broadcast(registry.select("state", "zip_bytes", "zip_md5"))
     sized = files.join(asked, "state").withColumn("size_ok", F.col("length") == F.col("zip_bytes"))
     to_read = sized.where("size_ok").select("path").repartition("path")
-    digests = to_read.mapInPandas(_md5_of, "path string, md5 string")
+    digests = to_read.mapInPandas(md5_of, "path string, md5 string")
     return sized.join(digests, "path", "left").select(
         "state", "path", "size_ok", F.coalesce(F.col("md5") == F.col("zip_md5"), F.lit(False)).alias("md5_ok")
     )
