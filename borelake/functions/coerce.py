@@ -7,6 +7,8 @@ exactly when Python's ``float`` would read it. A numeric NaN counts as missing.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,15 +37,40 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+_LONGEST_NULL_WORD = max(map(len, NULL_WORDS))
+_PLAIN_NUMBER = "0123456789.+-eE"
+_STRIPPED = "_stripped_"
+
+
 def strip(value: Column) -> Column:
-    """Remove surrounding whitespace, tabs and line breaks included."""
-    return F.btrim(value, F.lit(WHITESPACE))
+    """Remove surrounding whitespace, tabs and line breaks included.
+
+    Spaces go first, which is cheap and nearly always all there is; only text that then begins or
+    ends with anything but printable ASCII needs the whole set.
+    """
+    text = F.trim(value.cast("string"))
+    plain = F.ascii(text).between(33, 126) & F.ascii(F.right(text, F.lit(1))).between(33, 126)
+    return F.when(plain, text).otherwise(F.btrim(text, F.lit(WHITESPACE)))
+
+
+def text_of_stripped(text: Column) -> Column:
+    """Stripped text with blanks and null words as null."""
+    kept = (F.length(text) > _LONGEST_NULL_WORD) | ~F.lower(text).isin(*NULL_WORDS)
+    return F.when(kept, text)
+
+
+def number_of_stripped(text: Column) -> Column:
+    """Stripped text to double. Digits, signs and exponents need only the cast."""
+    plain = F.translate(text, _PLAIN_NUMBER, "") == ""
+    unscored = F.replace(text, F.lit("_"), F.lit(""))
+    return F.when(plain, text.try_cast("double")).when(
+        text.rlike(NUMBER_PATTERN), unscored.try_cast("double")
+    )
 
 
 def clean_text(value: Column) -> Column:
     """Stripped text, or null for blanks and null words."""
-    text = strip(value.cast("string"))
-    return F.when(~F.lower(text).isin(*NULL_WORDS), text)
+    return text_of_stripped(strip(value))
 
 
 def fold_nan(value: Column) -> Column:
@@ -53,9 +80,7 @@ def fold_nan(value: Column) -> Column:
 
 def parse_number(value: Column) -> Column:
     """Text to double; anything Python's ``float`` rejects becomes null."""
-    text = strip(value)
-    digits = F.replace(text, F.lit("_"), F.lit(""))
-    return F.when(text.rlike(NUMBER_PATTERN), digits.try_cast("double"))
+    return number_of_stripped(strip(value))
 
 
 def clean_double(value: Column, dtype: T.DataType) -> Column:
@@ -76,10 +101,24 @@ def clean_long(value: Column, dtype: T.DataType) -> Column:
     return clean_double(value, dtype).try_cast("bigint")
 
 
+def with_stripped(df: DataFrame, names: Iterable[str]) -> DataFrame:
+    """Strips the named text columns once, beside the originals, for the readers below.
+
+    They use a value several times; a projection of its own keeps it from being computed again.
+    """
+    text = [
+        n for n in dict.fromkeys(names)
+        if n in df.columns and isinstance(df.schema[n].dataType, T.StringType)
+    ]
+    return df.withColumns({_STRIPPED + n: strip(quoted(n)) for n in text}) if text else df
+
+
 def text_of(df: DataFrame, name: str) -> Column:
     """Cleaned text of ``df[name]``; a typed null when the column is absent."""
     if name not in df.columns:
         return F.lit(None).cast("string")
+    if _STRIPPED + name in df.columns:
+        return text_of_stripped(quoted(_STRIPPED + name))
     return clean_text(quoted(name))
 
 
@@ -87,6 +126,8 @@ def double_of(df: DataFrame, name: str) -> Column:
     """Cleaned double of ``df[name]``; a typed null when the column is absent."""
     if name not in df.columns:
         return F.lit(None).cast("double")
+    if _STRIPPED + name in df.columns:
+        return number_of_stripped(quoted(_STRIPPED + name))
     return clean_double(quoted(name), df.schema[name].dataType)
 
 
@@ -94,4 +135,6 @@ def long_of(df: DataFrame, name: str) -> Column:
     """Cleaned whole number of ``df[name]``; a typed null when the column is absent."""
     if name not in df.columns:
         return F.lit(None).cast("bigint")
+    if _STRIPPED + name in df.columns:
+        return number_of_stripped(quoted(_STRIPPED + name)).try_cast("bigint")
     return clean_long(quoted(name), df.schema[name].dataType)

@@ -1,21 +1,27 @@
 """Equi-joins that stay balanced when one key, or the null key, holds a large share of the rows.
 
-Adaptive execution splits a skewed partition only for some plan shapes. Here the heavy keys of the
-big side are measured by a count per key (partial sums, key columns only) and each gets as many
-salts as it has blocks of ``HOT_ROWS`` rows; the other side repeats the few rows of those keys once
-per salt. Nothing is dropped, and without heavy keys the join is the plain one.
+The small side is measured first: when its bytes are within the broadcast limit it is broadcast,
+and the big side, a hot key or not, is not shuffled at all.
+
+Otherwise both sides shuffle. Adaptive execution splits a skewed partition only for some plan
+shapes, so the heavy keys of the big side are measured by a count per key (partial sums, key
+columns only) and each gets as many salts as it has blocks of ``HOT_ROWS`` rows; the other side
+repeats its rows of those keys once per salt. Nothing is dropped, and without heavy keys the join
+is the plain one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import add, and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import BROADCAST_LIMIT, park
+from ..functions.coerce import quoted
 
 # A key with more rows than this is spread over several tasks.
 HOT_ROWS = 1_000_000
@@ -35,6 +41,23 @@ def hot_keys(big: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> D
     )
 
 
+def flat_bytes(df: DataFrame) -> float:
+    """Bytes of a table of plain columns: its text, and sixteen for every value; one pass.
+
+    Infinite when a nested column makes that no bound.
+    """
+    text, simple = [], (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType)
+    for field in df.schema:
+        if not isinstance(field.dataType, simple):
+            return float("inf")
+        if isinstance(field.dataType, T.StringType):
+            text.append(F.coalesce(F.octet_length(quoted(field.name)), F.lit(0)))
+    row = df.agg(
+        F.count(F.lit(1)).alias("n"), F.sum(reduce(add, text, F.lit(0).cast("bigint"))).alias("text")
+    ).first()
+    return row["n"] * 16 * (len(df.columns) + 1) + (row["text"] or 0)
+
+
 def _any_null(keys: Sequence[str]) -> Column:
     return reduce(or_, (F.col(k).isNull() for k in keys))
 
@@ -54,12 +77,15 @@ def spread_join(
     how: str = "inner",
     hot_rows: int | None = None,
     condition: Column | None = None,
+    limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """``big`` joined to ``small`` (inner, left, left_semi or left_anti) with heavy keys salted.
 
     The key columns appear once in the result; ``condition`` is tested on pairs of equal keys.
     """
     keys = list(keys)
+    if limit and flat_bytes(small) <= limit:
+        return key_join(big, F.broadcast(small), keys, how, condition)
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     hot = hot_keys(big, keys, hot_rows)
     n_hot = hot.count()

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.coerce import clean_text, double_of, long_of, quoted, text_of
+from ..functions.coerce import clean_text, double_of, long_of, quoted, text_of, with_stripped
 from ..functions.intervals import depth_or_unit_reason, depth_reason
 from ..schema import HEADER_COLUMNS, HEADER_EXTRAS, LOG_PAYLOAD, LOG_PREFIX, check_kind, type_name
 
@@ -85,7 +85,10 @@ def raw_bag(raw: DataFrame, leave_out: tuple[str, ...]) -> Column:
     """The raw record as JSON text, nulls kept, columns in their order; landed text if there is one."""
     if "source_attributes" in raw.columns:
         return F.col("source_attributes")
-    kept = [quoted(c) for c in raw.columns if c not in leave_out and c not in _CARRIED]
+    kept = [
+        quoted(c) for c in raw.columns
+        if c not in leave_out and c not in _CARRIED and not c.startswith("_stripped_")
+    ]
     if not kept:
         return F.lit("{}")
     return F.to_json(F.struct(*kept), {"ignoreNullFields": "false"})
@@ -133,6 +136,7 @@ def clean_position(lon: Column, lat: Column) -> tuple[Column, Column]:
 
 def national_headers(raw: DataFrame) -> DataFrame:
     """National header features to canonical headers."""
+    raw = with_stripped(raw, [*NATIONAL_HEADER.values(), "GDA94_dlong", "GDA94_dlat"])
     lon, lat = point_columns(raw)
     special = {"longitude": lon, "latitude": lat, "source": F.lit(NATIONAL)}
     columns = [
@@ -142,9 +146,8 @@ def national_headers(raw: DataFrame) -> DataFrame:
     return raw.select(
         *_carried(raw),
         *(c.alias(n) for c, n in zip(columns, HEADER_COLUMNS + HEADER_EXTRAS, strict=True)),
-        long_of(raw, "eno").cast("string").alias("bore_key"),
         raw_bag(raw, NOT_IN_HEADER_BAG).alias("source_attributes"),
-    )
+    ).withColumn("bore_key", F.col("eno").cast("string"))
 
 
 def state_headers(raw: DataFrame, source: Column | str | None = None) -> DataFrame:
@@ -152,6 +155,7 @@ def state_headers(raw: DataFrame, source: Column | str | None = None) -> DataFra
     tag = _tag(raw, source)
     if tag is None:
         raise ValueError("state bores need a source tag: pass source= or give a source column")
+    raw = with_stripped(raw, STATE_HEADER.values())
     state = F.when(tag.contains(":"), F.element_at(F.split(tag, ":"), -1))
     special = {"eno": F.lit(None).cast("bigint"), "state": state, "source": tag}
     columns = [
@@ -161,9 +165,8 @@ def state_headers(raw: DataFrame, source: Column | str | None = None) -> DataFra
     return raw.select(
         *_carried(raw),
         *(c.alias(n) for c, n in zip(columns, HEADER_COLUMNS + HEADER_EXTRAS, strict=True)),
-        text_of(raw, "HydroCode").alias("bore_key"),
         raw_bag(raw, NOT_IN_HEADER_BAG).alias("source_attributes"),
-    )
+    ).withColumn("bore_key", F.col("identifier"))
 
 
 def _intervals(
@@ -171,15 +174,16 @@ def _intervals(
     kind: str,
     names: dict[str, str],
     tag: Column | None,
-    key: Column,
+    key: Column | None,
     state_rules: bool,
 ) -> DataFrame:
     payload = LOG_PAYLOAD[check_kind(kind)]
     plain = [c for c in LOG_PREFIX if c not in ("source", "longitude", "latitude")]
+    raw = with_stripped(raw, names.values())
     mapped = raw.select(
         *_carried(raw),
         *([] if tag is None else [tag.alias("source")]),
-        key.alias("bore_key"),
+        *([] if key is None else [key.alias("bore_key")]),
         *(_read(raw, c, names).alias(c) for c in (*plain, *payload)),
         raw_bag(raw, NOT_IN_LOG_BAG).alias("source_attributes"),
     )
@@ -195,9 +199,9 @@ def _intervals(
 
 def national_logs(raw: DataFrame, kind: str) -> DataFrame:
     """National log features to canonical intervals, keyed by borehole number."""
-    key = long_of(raw, "ENO").cast("string")
     names = {**NATIONAL_LOG, **NATIONAL_PAYLOAD[check_kind(kind)]}
-    return _intervals(raw, kind, names, F.lit(NATIONAL), key, state_rules=False)
+    mapped = _intervals(raw, kind, names, F.lit(NATIONAL), None, state_rules=False)
+    return mapped.withColumn("bore_key", F.col("eno").cast("string"))
 
 
 def state_logs(raw: DataFrame, kind: str, source: Column | str | None = None) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..config import BROADCAST_LIMIT
 from ..functions.geometry import (
-    bounds_of, boxes_overlap, edges_of, let, point_in_edges, shapes_intersect,
+    bounds_of, boxes_overlap, edges_of, envelope, in_box, is_box, let, point_in_edges, shapes_intersect,
 )
 from .hot_keys import key_join, spread_join
 
@@ -52,18 +52,20 @@ def cut_to_cells(
 ) -> DataFrame:
     """One row per polygon and grid cell it reaches: ``cell_x, cell_y, all_inside, cell_edges``.
 
-    Edges are narrowed to a row of cells first and to single cells after that, so the work per
+    A polygon that is a box keeps only its envelope ``box``, which then decides by itself. Edges are narrowed to a row of cells first and to single cells after that, so the work per
     polygon grows with rows times edges rather than with cells times edges.
     """
     others = [c for c in polygons.columns if c != shape]
-    x0, y0, x1, y1 = bounds_of(F.col(shape))
     low = F.col("cell_y") * cell - _SLACK
     high = (F.col("cell_y") + 1) * cell + _SLACK
+    measured = polygons.where(F.size(F.flatten(F.col(shape))) > 0).select(
+        *others, shape, edges_of(F.col(shape)).alias("_edges"), envelope(F.col(shape)).alias("box"),
+        is_box(F.col(shape)).alias("_is_box"),
+    )
+    x0, y0, x1, y1 = (F.col(f"box.{c}") for c in ("x0", "y0", "x1", "y1"))
     rows = (
-        polygons.where(F.size(F.flatten(F.col(shape))) > 0)
-        .select(
-            *others,
-            edges_of(F.col(shape)).alias("_edges"),
+        measured.select(
+            *others, "_edges", "box", "_is_box",
             cell_of(x0, cell).alias("_x0"),
             cell_of(x1, cell).alias("_x1"),
             F.explode(F.sequence(cell_of(y0, cell), cell_of(y1, cell))).alias("cell_y"),
@@ -71,12 +73,13 @@ def cut_to_cells(
         .withColumn("_edges", F.filter("_edges", lambda e: _reach(e, "y1", "y2", low, high)))
     )
     cells = rows.select(
-        *others, "cell_y", "_edges", F.explode(F.sequence("_x0", "_x1")).alias("cell_x")
+        *others, "cell_y", "_edges", "box", "_is_box",
+        F.explode(F.sequence("_x0", "_x1")).alias("cell_x"),
     )
     left = F.col("cell_x") * cell - _SLACK
     right = (F.col("cell_x") + 1) * cell + _SLACK
     bounded = cells.select(
-        *others, "cell_x", "cell_y",
+        *others, "cell_x", "cell_y", "box", "_is_box",
         F.filter("_edges", lambda e: F.greatest(e["x1"], e["x2"]) >= left).alias("_edges"),
         F.exists("_edges", lambda e: _touches(e, left, low, right, high)).alias("_cut"),
     )
@@ -84,9 +87,9 @@ def cut_to_cells(
         (F.col("cell_x") + 0.5) * cell, (F.col("cell_y") + 0.5) * cell, F.col("_edges")
     )
     return bounded.where(F.col("_cut") | centre_in).select(
-        *others, "cell_x", "cell_y",
-        (~F.col("_cut")).alias("all_inside"),
-        F.when(F.col("_cut"), F.col("_edges")).alias("cell_edges"),
+        *others, "cell_x", "cell_y", "box",
+        (~F.col("_cut") | F.col("_is_box")).alias("all_inside"),
+        F.when(F.col("_cut") & ~F.col("_is_box"), F.col("_edges")).alias("cell_edges"),
     )
 
 
@@ -106,7 +109,7 @@ def _proven_bytes(polygons: DataFrame, shape: str, cell: float, others: int) ->
     row = polygons.agg(
         F.sum(wide * tall).alias("cells"), F.sum(wide * rows_reached).alias("edges")
     ).first()
-    return int((row["cells"] or 0) * (64 + 32 * others) + (row["edges"] or 0) * 64)
+    return int((row["cells"] or 0) * (128 + 32 * others) + (row["edges"] or 0) * 64)
 
 
 def points_in_polygons(
@@ -119,6 +122,7 @@ def points_in_polygons(
     cell: float = CELL_DEGREES,
     how: str = "inner",
     limit: int = BROADCAST_LIMIT,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Each point with each polygon that holds it, boundary included.
 
@@ -132,14 +136,16 @@ def points_in_polygons(
     placed = points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull()).select(
         "*", cell_of(F.col(lon), cell).alias("cell_x"), cell_of(F.col(lat), cell).alias("cell_y")
     )
-    held = F.when(F.col("all_inside"), F.lit(True)).otherwise(
-        point_in_edges(F.col(lon), F.col(lat), F.col("cell_edges"))
+    in_envelope = in_box(F.col(lon), F.col(lat), [F.col(f"box.{c}") for c in ("x0", "y0", "x1", "y1")])
+    held = in_envelope & (
+        F.col("all_inside") | point_in_edges(F.col(lon), F.col(lat), F.col("cell_edges"))
     )
     keys = ["cell_x", "cell_y"]
     if _proven_bytes(polygons, shape, cell, len(carried)) <= limit:
         pairs = key_join(placed, F.broadcast(cut), keys, how, held)
     else:
-        pairs = spread_join(placed, cut.hint("merge"), keys, how, condition=held)
+        # bigger than the limit, so it must not be broadcast on a guess either
+        pairs = spread_join(placed, cut.hint("merge"), keys, how, hot_rows, held, limit=0)
     return pairs.select(*points.columns, *carried)
 
 

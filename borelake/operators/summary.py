@@ -1,7 +1,8 @@
 """Counts and other aggregates over headers and logs.
 
 Logs are aggregated on their key *before* they meet the headers: partial sums leave one row per
-key and task, so a bore that holds a third of all intervals costs no more than any other.
+key and task, so a bore that holds a third of all intervals costs no more than any other. The
+aggregate is written once, because the join measures it before using it.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..config import park
 from .hot_keys import spread_join
 from .joins import join_keys
 
@@ -39,7 +41,7 @@ def intervals_per_key(headers: DataFrame, logs: DataFrame) -> DataFrame:
 
 def interval_counts(headers: DataFrame, logs: DataFrame, keep_empty: bool = False) -> DataFrame:
     """Each header with its number of intervals; headers without any only on request."""
-    counts = intervals_per_key(headers, logs)
+    counts = park(intervals_per_key(headers, logs), "interval-counts")
     keys = [c for c in counts.columns if c != "n_intervals"]
     joined = spread_join(headers, counts, keys, "left" if keep_empty else "inner")
     return joined.withColumn("n_intervals", F.coalesce("n_intervals", F.lit(0).cast("bigint")))
@@ -76,7 +78,7 @@ def deepest_interval(headers: DataFrame, logs: DataFrame) -> DataFrame:
 
 def with_total_depth(headers: DataFrame, logs: DataFrame) -> DataFrame:
     """Adds ``total_depth_m``: bore depth, else drilled depth, else the deepest interval."""
-    deepest = deepest_interval(headers, logs)
+    deepest = park(deepest_interval(headers, logs), "deepest")
     keys = [c for c in deepest.columns if c != "deepest_m"]
     depth = F.coalesce("bore_depth_m", "drilled_depth_m", "deepest_m")
     joined = spread_join(headers, deepest, keys, "left")
