@@ -8,9 +8,12 @@ first, which leaves one row per key and task. Anything that can be aggregated be
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..config import park
 from ..functions.coerce import double_of
 from ..schema import HEADER_COLUMNS, LOG_PAYLOAD, check_kind
 from .hot_keys import spread_join
@@ -34,7 +37,8 @@ def last_positions(bores: DataFrame, order: str = "row_no") -> DataFrame:
 def with_bore_position(logs: DataFrame, bores: DataFrame, order: str = "row_no") -> DataFrame:
     """Every log row with its bore's position; rows without a bore stay, with null position."""
     kept = [c for c in logs.columns if c not in ("Longitude", "Latitude")]
-    joined = spread_join(logs.select(*kept), last_positions(bores, order), ["HydroCode"], "left")
+    positions = park(last_positions(bores, order), "positions")
+    joined = spread_join(logs.select(*kept), positions, ["HydroCode"], "left")
     return joined.select(
         *kept, F.col("_lon").alias("Longitude"), F.col("_lat").alias("Latitude")
     )
@@ -52,21 +56,27 @@ def join_keys(headers: DataFrame, logs: DataFrame) -> list[str]:
     return ["source", "bore_key"] if tagged else ["bore_key"]
 
 
-def join_logs(headers: DataFrame, logs: DataFrame) -> DataFrame:
+def join_logs(
+    headers: DataFrame, logs: DataFrame, header_columns: Sequence[str] | None = None
+) -> DataFrame:
     """Headers to intervals; columns are prefixed ``h_`` and ``l_``. Two headers with one key each
-    receive the same intervals."""
+    receive the same intervals.
+
+    ``header_columns`` narrows the header side before it is measured and perhaps broadcast.
+    """
     keys = join_keys(headers, logs)
 
-    def renamed(df, prefix):
-        return df.select(*keys, *(F.col(c).alias(prefix + c) for c in df.columns if c not in keys))
+    def renamed(df, columns, prefix):
+        return df.select(*keys, *(F.col(c).alias(prefix + c) for c in columns if c not in keys))
 
-    return spread_join(renamed(logs, "l_"), renamed(headers, "h_"), keys)
+    left = renamed(logs, logs.columns, "l_")
+    return spread_join(left, renamed(headers, header_columns or headers.columns, "h_"), keys)
 
 
 def export_logs(headers: DataFrame, logs: DataFrame, kind: str) -> DataFrame:
     """The contractual interval table: header's position and source, interval's name else header's."""
     payload = LOG_PAYLOAD[check_kind(kind)]
-    joined = join_logs(headers, logs)
+    joined = join_logs(headers, logs, ["source", "name", "longitude", "latitude"])
     source = F.col("source") if "source" in joined.columns else F.col("h_source")
     return joined.select(
         source.alias("source"),
@@ -103,13 +113,18 @@ def logs_of(logs: DataFrame, headers: DataFrame) -> DataFrame:
 def bores_with_logs(headers: DataFrame, logs: DataFrame) -> DataFrame:
     """Headers that have at least one interval."""
     keys = join_keys(headers, logs)
-    return spread_join(headers, logs.select(*keys).distinct(), keys, "left_semi")
+    return spread_join(headers, _logged_keys(logs, keys), keys, "left_semi")
 
 
 def bores_without_logs(headers: DataFrame, logs: DataFrame) -> DataFrame:
     """Headers that have none, null keys included."""
     keys = join_keys(headers, logs)
-    return spread_join(headers, logs.select(*keys).distinct(), keys, "left_anti")
+    return spread_join(headers, _logged_keys(logs, keys), keys, "left_anti")
+
+
+def _logged_keys(logs: DataFrame, keys: list[str]) -> DataFrame:
+    """The distinct keys of the logs, written once so that measuring them costs no second pass."""
+    return park(logs.select(*keys).distinct(), "logged-keys")
 
 
 def orphan_logs(logs: DataFrame, headers: DataFrame) -> DataFrame:

@@ -60,8 +60,11 @@ def interval_percentile(counts: DataFrame, fraction: float = 0.98) -> DataFrame:
 
 
 def by_interval_count(counts: DataFrame) -> DataFrame:
-    """Bores sorted by number of intervals, the fewest first."""
-    return counts.orderBy("n_intervals")
+    """Bores sorted by number of intervals, the fewest first.
+
+    Equal counts are common, so a second key lets the sort split them between tasks.
+    """
+    return counts.orderBy("n_intervals", F.xxhash64(*counts.columns))
 
 
 def total_intervals(counts: DataFrame) -> DataFrame:

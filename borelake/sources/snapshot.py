@@ -13,7 +13,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import park
 from ..functions.keys import snapshot_key, snapshot_stamp
+from ..operators.hot_keys import spread_join
 from ..schema import LOG_KINDS
 from .registry import BUILD_VERSION, STATE_SOURCES
 
@@ -160,7 +162,7 @@ def freshness_action(
     not_modified``. The order of the rules is: offline, forced, missing, too old, changed.
     """
     stored = manifest.select("key", "fetched_at", "server_fingerprint", "etag", F.lit(True).alias("_has"))
-    joined = asked.join(stored, "key", "left")
+    joined = spread_join(asked, park(stored, "stored"), ["key"], "left")
     has = F.col("_has").isNotNull()
     expired = F.col("fetched_at").isNull() | (F.lit(float(now)) - F.col("fetched_at") > max_age)
     same = is_unchanged(

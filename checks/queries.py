@@ -722,7 +722,7 @@ SELECT h.source AS source, h.row_no AS bore_row_no, l.row_no AS log_row_no,
        row_number() OVER (PARTITION BY h.source ORDER BY h.row_no, l.row_no) AS object_id
 FROM bores h JOIN strat l ON h.bore_key = l.bore_key""")
 def _(fx):
-    joined = joins.join_logs(bores(fx), strat(fx)).select(
+    joined = joins.join_logs(bores(fx), strat(fx), ["source", "row_no"]).select(
         F.col("h_source").alias("source"), F.col("h_row_no").alias("bore_row_no"),
         F.col("l_row_no").alias("log_row_no"),
     )
