@@ -7,6 +7,7 @@ exactly when Python's ``float`` would read it. A numeric NaN counts as missing.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -42,6 +43,15 @@ _PLAIN_NUMBER = "0123456789.+-eE"
 _STRIPPED = "_stripped_"
 
 
+def _all_digits() -> tuple[str, str]:
+    """The decimal digits of every script and the ASCII digits they stand for."""
+    found = [c for c in map(chr, range(0x80, 0x11_0000)) if unicodedata.category(c) == "Nd"]
+    return "".join(found), "".join(str(unicodedata.decimal(c)) for c in found)
+
+
+_DIGITS = _all_digits()
+
+
 def strip(value: Column) -> Column:
     """Remove surrounding whitespace, tabs and line breaks included.
 
@@ -62,9 +72,10 @@ def text_of_stripped(text: Column) -> Column:
 def number_of_stripped(text: Column) -> Column:
     """Stripped text to double. Digits, signs and exponents need only the cast."""
     plain = F.translate(text, _PLAIN_NUMBER, "") == ""
-    unscored = F.replace(text, F.lit("_"), F.lit(""))
+    ascii_text = F.translate(text, *_DIGITS)
+    unscored = F.replace(ascii_text, F.lit("_"), F.lit(""))
     return F.when(plain, text.try_cast("double")).when(
-        text.rlike(NUMBER_PATTERN), unscored.try_cast("double")
+        ascii_text.rlike(NUMBER_PATTERN), unscored.try_cast("double")
     )
 
 

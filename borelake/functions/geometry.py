@@ -118,9 +118,10 @@ def _crossed(e, px, py) -> Column:
 
 
 def point_in_edges(px: Column, py: Column, edges: Column) -> Column:
-    """Even-odd rule over an edge array, boundary included."""
+    """Even-odd rule over an edge array, boundary included; a NaN is nowhere."""
     inside = F.size(F.filter(edges, lambda e: _crossed(e, px, py))) % 2 == 1
-    return F.exists(edges, lambda e: _on_edge(e, px, py)) | inside
+    somewhere = ~F.isnan(px) & ~F.isnan(py)
+    return somewhere & (F.exists(edges, lambda e: _on_edge(e, px, py)) | inside)
 
 
 def point_in_literal_edges(px: Column, py: Column, edges: Sequence[Edge]) -> Column:

@@ -26,8 +26,8 @@ _SLACK = 1e-9
 
 
 def cell_of(value: Column, cell: float) -> Column:
-    """Grid index of a coordinate."""
-    return F.floor(value / F.lit(float(cell))).cast("int")
+    """Grid index of a coordinate; null for an infinite one, which lies in no cell."""
+    return F.floor(value / F.lit(float(cell))).try_cast("int")
 
 
 def _reach(edge, low: str, high: str, smallest: Column, largest: Column) -> Column:
@@ -50,46 +50,46 @@ def _touches(edge, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
 def cut_to_cells(
     polygons: DataFrame, shape: str = "shape", cell: float = CELL_DEGREES
 ) -> DataFrame:
-    """One row per polygon and grid cell it reaches: ``cell_x, cell_y, all_inside, cell_edges``.
+    """One row per polygon and grid cell it reaches: ``_cell_x, _cell_y, _all_inside, _cell_edges``.
 
-    A polygon that is a box keeps only its envelope ``box``, which then decides by itself. Edges are narrowed to a row of cells first and to single cells after that, so the work per
+    A polygon that is a box keeps only its envelope ``_box``, which then decides by itself. Edges are narrowed to a row of cells first and to single cells after that, so the work per
     polygon grows with rows times edges rather than with cells times edges.
     """
     others = [c for c in polygons.columns if c != shape]
-    low = F.col("cell_y") * cell - _SLACK
-    high = (F.col("cell_y") + 1) * cell + _SLACK
+    low = F.col("_cell_y") * cell - _SLACK
+    high = (F.col("_cell_y") + 1) * cell + _SLACK
     measured = polygons.where(F.size(F.flatten(F.col(shape))) > 0).select(
-        *others, shape, edges_of(F.col(shape)).alias("_edges"), envelope(F.col(shape)).alias("box"),
+        *others, shape, edges_of(F.col(shape)).alias("_edges"), envelope(F.col(shape)).alias("_box"),
         is_box(F.col(shape)).alias("_is_box"),
     )
-    x0, y0, x1, y1 = (F.col(f"box.{c}") for c in ("x0", "y0", "x1", "y1"))
+    x0, y0, x1, y1 = (F.col(f"_box.{c}") for c in ("x0", "y0", "x1", "y1"))
     rows = (
         measured.select(
-            *others, "_edges", "box", "_is_box",
+            *others, "_edges", "_box", "_is_box",
             cell_of(x0, cell).alias("_x0"),
             cell_of(x1, cell).alias("_x1"),
-            F.explode(F.sequence(cell_of(y0, cell), cell_of(y1, cell))).alias("cell_y"),
+            F.explode(F.sequence(cell_of(y0, cell), cell_of(y1, cell))).alias("_cell_y"),
         )
         .withColumn("_edges", F.filter("_edges", lambda e: _reach(e, "y1", "y2", low, high)))
     )
     cells = rows.select(
-        *others, "cell_y", "_edges", "box", "_is_box",
-        F.explode(F.sequence("_x0", "_x1")).alias("cell_x"),
+        *others, "_cell_y", "_edges", "_box", "_is_box",
+        F.explode(F.sequence("_x0", "_x1")).alias("_cell_x"),
     )
-    left = F.col("cell_x") * cell - _SLACK
-    right = (F.col("cell_x") + 1) * cell + _SLACK
+    left = F.col("_cell_x") * cell - _SLACK
+    right = (F.col("_cell_x") + 1) * cell + _SLACK
     bounded = cells.select(
-        *others, "cell_x", "cell_y", "box", "_is_box",
+        *others, "_cell_x", "_cell_y", "_box", "_is_box",
         F.filter("_edges", lambda e: F.greatest(e["x1"], e["x2"]) >= left).alias("_edges"),
         F.exists("_edges", lambda e: _touches(e, left, low, right, high)).alias("_cut"),
     )
     centre_in = point_in_edges(
-        (F.col("cell_x") + 0.5) * cell, (F.col("cell_y") + 0.5) * cell, F.col("_edges")
+        (F.col("_cell_x") + 0.5) * cell, (F.col("_cell_y") + 0.5) * cell, F.col("_edges")
     )
     return bounded.where(F.col("_cut") | centre_in).select(
-        *others, "cell_x", "cell_y", "box",
-        (~F.col("_cut") | F.col("_is_box")).alias("all_inside"),
-        F.when(F.col("_cut") & ~F.col("_is_box"), F.col("_edges")).alias("cell_edges"),
+        *others, "_cell_x", "_cell_y", "_box",
+        (~F.col("_cut") | F.col("_is_box")).alias("_all_inside"),
+        F.when(F.col("_cut") & ~F.col("_is_box"), F.col("_edges")).alias("_cell_edges"),
     )
 
 
@@ -134,13 +134,13 @@ def points_in_polygons(
         polygons, carried = polygons.select(shape), []
     cut = cut_to_cells(polygons, shape, cell)
     placed = points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull()).select(
-        "*", cell_of(F.col(lon), cell).alias("cell_x"), cell_of(F.col(lat), cell).alias("cell_y")
+        "*", cell_of(F.col(lon), cell).alias("_cell_x"), cell_of(F.col(lat), cell).alias("_cell_y")
     )
-    in_envelope = in_box(F.col(lon), F.col(lat), [F.col(f"box.{c}") for c in ("x0", "y0", "x1", "y1")])
+    in_envelope = in_box(F.col(lon), F.col(lat), [F.col(f"_box.{c}") for c in ("x0", "y0", "x1", "y1")])
     held = in_envelope & (
-        F.col("all_inside") | point_in_edges(F.col(lon), F.col(lat), F.col("cell_edges"))
+        F.col("_all_inside") | point_in_edges(F.col(lon), F.col(lat), F.col("_cell_edges"))
     )
-    keys = ["cell_x", "cell_y"]
+    keys = ["_cell_x", "_cell_y"]
     if _proven_bytes(polygons, shape, cell, len(carried)) <= limit:
         pairs = key_join(placed, F.broadcast(cut), keys, how, held)
     else:

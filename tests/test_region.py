@@ -22,7 +22,9 @@ def star(rng, x, y, n, r):
 
 
 def inside(px, py, edges):
-    """Brute force even-odd rule, boundary included."""
+    """Brute force even-odd rule, boundary included; nothing holds a point that is not finite."""
+    if not (math.isfinite(px) and math.isfinite(py)):
+        return False
     odd = False
     for x1, y1, x2, y2 in edges:
         cross = (x2 - x1) * (py - y1) - (y2 - y1) * (px - x1)
@@ -102,6 +104,7 @@ def points_and_polygons(spark, seed=3, n=1500):
     points = [(i, 145.25, -34.75) for i in range(n // 3)]
     points += [(10_000 + i, rng.uniform(139, 151), rng.uniform(-40, -29)) for i in range(n)]
     points += [(20_000 + i, rng.randrange(280, 300) / 2, rng.randrange(-78, -60) / 2) for i in range(n // 2)]
+    points += [(30_004, float("inf"), -34.0), (30_005, float("nan"), -34.0)]
     points += [(30_000, *edges[0][0][:2]), (30_001, 143.0, -34.0), (30_002, 141.0, -38.0), (30_003, None, None)]
     expected = sorted((p, i) for p, x, y in points if x is not None for i, e in edges.items() if inside(x, y, e))
     return (spark.createDataFrame(points, "p int, longitude double, latitude double"),
