@@ -1,5 +1,6 @@
 """Borehole, downhole-log and hydrogeology analytics on Spark DataFrames."""
 
+from .config import tuned
 from .plans.bores import Bores
 from .plans.queries import AllBores, NationalBores, StateBores
 from .plans.stores import build_national, build_state
@@ -8,5 +9,5 @@ from .sources.snapshot import SnapshotStore
 
 __all__ = [
     "AllBores", "Bores", "NationalBores", "Region", "SnapshotStore", "StateBores",
-    "build_national", "build_state",
+    "build_national", "build_state", "tuned",
 ]

@@ -12,6 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 BROADCAST_LIMIT = 32 * 1024 * 1024
 
 
+# Fixed value: the JVM does not compile a method with more bytecode than this.
+JIT_METHOD_LIMIT = "8000"
+
+
+def tuned(spark: SparkSession) -> SparkSession:
+    """The session, set up for wide mappings.
+
+    A mapping of many text columns can generate one method too large for the JVM to compile, which
+    then runs several times slower. With this limit Spark runs such a stage from smaller pieces.
+    """
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", JIT_METHOD_LIMIT)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 

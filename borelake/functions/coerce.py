@@ -72,13 +72,18 @@ def text_of_stripped(text: Column) -> Column:
 def number_of_stripped(text: Column) -> Column:
     """Stripped text to double. Digits, signs and exponents need only the cast."""
     plain = F.translate(text, _PLAIN_NUMBER, "") == ""
-    ascii_text = F.translate(text, *_DIGITS)
-    unscored = F.replace(ascii_text, F.lit("_"), F.lit(""))
-    return F.when(plain, text.try_cast("double")).when(
-        ascii_text.rlike(NUMBER_PATTERN), unscored.try_cast("double")
+    foreign = F.translate(text, *_DIGITS)
+    return (
+        F.when(plain, text.try_cast("double"))
+        .when(text.rlike(NUMBER_PATTERN), _unscored(text))
+        .when((F.octet_length(text) > F.length(text)) & foreign.rlike(NUMBER_PATTERN), _unscored(foreign))
     )
 
 
+def _unscored(text: Column) -> Column:
+    return F.replace(text, F.lit("_"), F.lit("")).try_cast("double")
+
+
 def clean_text(value: Column) -> Column:
     """Stripped text, or null for blanks and null words."""
     return text_of_stripped(strip(value))

@@ -13,7 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import park
+from ..config import park, tuned
 from ..functions.keys import snapshot_key, snapshot_stamp
 from ..operators.hot_keys import spread_join
 from ..schema import LOG_KINDS
@@ -45,7 +45,7 @@ class SnapshotStore:
     """Versioned Parquet tables below one root, found through a manifest table."""
 
     def __init__(self, spark: SparkSession, root: str) -> None:
-        self.spark, self.root = spark, root.rstrip("/")
+        self.spark, self.root = tuned(spark), root.rstrip("/")
 
     def entries(self) -> DataFrame:
         """Every manifest row ever written."""

@@ -12,6 +12,8 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from borelake.config import tuned
+
 TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem")
 
 LOG_ROW_NO = """(((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey) * 100
@@ -192,7 +194,7 @@ class Fixtures:
     """The views as DataFrames over one scale-factor directory."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir = tuned(spark), sf_dir
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
