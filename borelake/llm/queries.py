@@ -8,14 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bloom_dedup import duplicate_groups
 from .bpe import decode_ids, encode_texts
+from .chat import canonical, format_chats, read_loss, read_turns
 from .common import table
 from .pieces import token_counts
+from .simhash_gray import near_groups
 from .syncmers import edited_fingerprints
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 TOKEN_LIMIT = 4096
+SHINGLE_WORDS, MAX_BITS_APART = 3, 2
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,3 +52,68 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_token_counts")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), PIECES, TOKEN_LIMIT)
+
+
+@query(
+    "op5_bloom_dedup",
+    r"""
+    SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+        row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id NULLS LAST) = 1 AS kept, text_sha256
+    FROM (
+        SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
+        FROM documents
+    )
+    WINDOW same AS (PARTITION BY text_sha256)
+    """,
+)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return duplicate_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op9_simhash_gray")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents"), size=SHINGLE_WORDS, distance=MAX_BITS_APART)
+
+
+@query(
+    "op8_chat_format",
+    r"""
+    WITH turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL
+        SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))
+    ),
+    chats AS (
+        SELECT conv_id, count(*) AS n_turns,
+            string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS said,
+            coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '') AS learnt,
+            sum(33 + length(role) + length(text)
+                + len(regexp_extract_all(role || chr(10) || text, '\\|<\||</?s>|\[/?INST\]'))) AS formatted_chars
+        FROM turns GROUP BY conv_id
+    )
+    SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(learnt) AS loss_chars,
+        sha256(learnt) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
+    FROM chats
+    """,
+)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.sql(
+        "SELECT * FROM VALUES (-7L, 0L, 'user', '</s>[INST] ok [/INST]'), "
+        "(-7L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS t(conv_id, turn, role, text)"
+    )
+    records = said.unionByName(control).select(
+        F.col("conv_id").alias("chat_id"), F.col("turn").alias("position"),
+        F.to_json(F.struct("role", "text"), {"ignoreNullFields": "false"}).alias("payload"),
+    )
+    chats = format_chats(canonical(records))
+    read = chats.select(
+        F.col("chat_id").alias("conv_id"), read_turns(F.col("formatted")).alias("turns"),
+        read_loss(F.col("segments")).alias("loss"), F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+    line = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        "conv_id", F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(F.array_join(line, ""), 256).alias("turns_sha256"), F.length("loss").cast("bigint").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars",
+    )
