@@ -12,6 +12,7 @@ from .bloom_dedup import duplicate_groups
 from .bpe import decode_ids, encode_texts
 from .chat import canonical, format_chats, read_loss, read_turns
 from .common import table
+from .html_tree import extract
 from .pieces import token_counts
 from .simhash_gray import near_groups
 from .syncmers import edited_fingerprints
@@ -117,3 +118,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(line, ""), 256).alias("turns_sha256"), F.length("loss").cast("bigint").alias("loss_chars"),
         F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars",
     )
+
+
+@query("op7_html_main_text")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
