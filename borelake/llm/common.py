@@ -49,3 +49,19 @@ def by_slice(
         return (work(piece) for piece in slices(batches))
 
     return df.mapInArrow(run, schema)
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label_col: str, parts: int, held: int, bound: int
+) -> DataFrame:
+    """``doc_id, text, label`` of at most ``bound`` labelled ids outside the held fold.
+
+    The ids are those of least hash, so the choice depends on the ids alone. A null label or id is
+    no label; of several labels of one id the greatest counts. Only ``bound`` ids are broadcast.
+    """
+    usable = labels.where(F.col(label_col).isNotNull() & (fold(F.col("doc_id"), parts) != held))
+    chosen = (
+        usable.groupBy("doc_id").agg(F.max(label_col).cast("int").alias("label"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
+    )
+    return docs.join(F.broadcast(chosen), "doc_id")

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import ftrl, line_crf
 from .bloom_dedup import duplicate_groups
 from .bpe import decode_ids, encode_texts
 from .chat import canonical, format_chats, read_loss, read_turns
@@ -123,3 +124,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_html_main_text")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
+
+
+@query("op6_ftrl_toxicity")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ftrl.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op10_line_crf_quality")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_crf.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
