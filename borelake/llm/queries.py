@@ -14,6 +14,7 @@ from .bpe import decode_ids, encode_texts
 from .chat import canonical, format_chats, read_loss, read_turns
 from .common import table
 from .html_tree import extract
+from .mixing import mix
 from .pieces import token_counts
 from .simhash_gray import near_groups
 from .syncmers import edited_fingerprints
@@ -23,6 +24,14 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 TOKEN_LIMIT = 4096
 SHINGLE_WORDS, MAX_BITS_APART = 3, 2
 
+LEVELS = ("domain", "lang", "source")
+WEIGHTS = {
+    "domain": {"group0": 4, "group1": 3, "group2": 2, "group3": 1},
+    "lang": {"en": 5, "de": 2, "fr": 2, "es": 2},
+    "source": {"src0": 2},
+}
+MIX_SHARE, MIX_EPOCHS, MIX_SEED = 0.8, 2, 17
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -134,3 +143,69 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_line_crf_quality")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def with_domain(docs: DataFrame) -> DataFrame:
+    """Documents with ``domain``: sources numbered 0-4 are group0, 5-9 group1, ...; others "other"."""
+    number = F.regexp_extract(F.coalesce("source", F.lit("")), r"(\d{1,9})$", 1)
+    group = F.concat(F.lit("group"), F.floor(number.cast("int") / 5).cast("string"))
+    return docs.withColumn("domain", F.when(number == "", F.lit("other")).otherwise(group))
+
+
+def _weight_sql(column: str) -> str:
+    cases = " ".join(f"WHEN '{name}' THEN {weight}" for name, weight in WEIGHTS[column].items())
+    return f"CASE {column} {cases} ELSE 1 END"
+
+
+def _fill_sql(nodes: str, parents: str, column: str) -> str:
+    """Water-filling among siblings; ``nodes`` has the parents, the column, supply and given."""
+    by = f"PARTITION BY {parents}" if parents else ""
+    order = f"{by} ORDER BY supply / weight, {column}"
+    return f"""
+        SELECT * EXCLUDE (water), least(supply, greatest(0, CAST(floor(weight * max(water) OVER ({by}) + 1e-6) AS BIGINT))) AS budget
+        FROM (
+            SELECT *, CAST(given - coalesce(sum(supply) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE)
+                / CAST(sum(weight) OVER ({order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS water
+            FROM (SELECT *, {_weight_sql(column)} AS weight FROM ({nodes}))
+        )"""
+
+
+MIX_SQL = f"""
+    WITH docs AS (
+        SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+            CASE WHEN regexp_extract(coalesce(source, ''), '(\\d{{1,9}})$', 1) = '' THEN 'other'
+                ELSE 'group' || CAST(CAST(regexp_extract(source, '(\\d{{1,9}})$', 1) AS INT) // 5 AS VARCHAR) END AS domain,
+            len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS n_tokens
+        FROM documents
+    ),
+    leaves AS (
+        SELECT domain, lang, source, CAST(sum(n_tokens) AS BIGINT) AS tokens, CAST(sum(n_tokens) * {MIX_EPOCHS} AS BIGINT) AS supply
+        FROM docs GROUP BY ALL
+    ),
+    root AS (SELECT CAST(floor(sum(tokens) * CAST({MIX_SHARE} AS DOUBLE)) AS BIGINT) AS given FROM leaves),
+    a AS ({_fill_sql("SELECT domain, CAST(sum(supply) AS BIGINT) AS supply, (SELECT given FROM root) AS given FROM leaves GROUP BY domain", "", "domain")}),
+    b AS ({_fill_sql("SELECT l.*, a.budget AS given FROM (SELECT domain, lang, CAST(sum(supply) AS BIGINT) AS supply FROM leaves GROUP BY ALL) l JOIN a USING (domain)", "domain", "lang")}),
+    c AS ({_fill_sql("SELECT l.*, b.budget AS given FROM leaves l JOIN b USING (domain, lang)", "domain, lang", "source")}),
+    budgets AS (
+        SELECT domain, lang, source, budget // greatest(tokens, 1) AS whole, budget % greatest(tokens, 1) AS rest FROM c
+    ),
+    ordered AS (
+        SELECT docs.*, whole, rest, sum(n_tokens) OVER (
+            PARTITION BY domain, lang, source
+            ORDER BY md5('{MIX_SEED}:' || whole || ':' || coalesce(CAST(doc_id AS VARCHAR), ''))
+        ) AS running
+        FROM docs JOIN budgets USING (domain, lang, source)
+    )
+    SELECT doc_id, domain, lang, source, n_tokens, CAST(whole + CASE WHEN running <= rest AND whole < {MIX_EPOCHS} THEN 1 ELSE 0 END AS BIGINT) AS copies
+    FROM ordered
+    """
+
+
+@query("op3_hierarchical_mix", MIX_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_domain(table(spark, sf_dir, "documents"))
+    mixed = mix(docs, LEVELS, WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED)
+    return mixed.select(
+        "doc_id", "domain", F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"),
+        "n_tokens", "copies",
+    )

@@ -1,13 +1,61 @@
-"""The corpus pipeline: from raw documents to encoded ones."""
+"""The corpus pipeline: from raw documents to encoded ones.
+
+Each stage works on all rows that the one before kept, and is written before the next begins. All
+but the last return the columns they were given.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from borelake.config import park
+from borelake.llm import bloom_dedup, bpe, line_crf, mixing, simhash_gray
 from borelake.llm.common import table
+from borelake.llm.queries import LEVELS, MAX_BITS_APART, MIX_SEED, RANKS, SHINGLE_WORDS, WEIGHTS, with_domain
+
+# Of the tokens that reach the mixture, the share it keeps; no document is repeated.
+MIX_SHARE = 0.9
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the line classifier does not reject."""
+    return line_crf.good_documents(docs, table(spark, sf_dir, "labels"))
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the document of the smallest id."""
+    return bloom_dedup.deduplicate(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked fingerprints."""
+    return simhash_gray.keep_one(docs, size=SHINGLE_WORDS, distance=MAX_BITS_APART)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fill the budgets of their domain, language and source."""
+    mixed = mixing.mixture(with_domain(docs), LEVELS, WEIGHTS, MIX_SHARE, max_epochs=1, seed=MIX_SEED)
+    return mixed.select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, lang, source, n_tokens, ids`` and whether the ids decode to the very text."""
+    kept = ("doc_id", "lang", "source", "text")
+    encoded = bpe.encode_texts(docs, RANKS, public_tokenizers.PATTERN, keep=kept)
+    decoded = bpe.decode_ids(encoded, RANKS, keep=(*kept, "n_tokens", "ids"))
+    exact = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
+    return decoded.select("doc_id", "lang", "source", "n_tokens", "ids", exact.alias("round_trip"))
+
 
-STAGES: list = []
+STAGES = [
+    ("quality", quality),
+    ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("mix", mix),
+    ("encode", encode),
+]
 
 # The classifier of the first stage has no SQL form.
 ORACLE_SQL = None
