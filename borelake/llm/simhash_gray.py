@@ -203,7 +203,7 @@ def index_nodes(distinct: DataFrame, limit: int = NODE_LIMIT) -> DataFrame:
             x for m in masks for x in (F.lit(_signed(m)), F.array(*[F.lit(_signed(f)) for f in finer(m)]))
         ])
         entered = enter(entered.join(crowded, ["mask", "pattern"]), split[F.col("mask")])
-        entered, masks = park(entered, "finer-nodes"), [f for m in masks for f in finer(m)]
+        entered, masks = park(entered, "finer-nodes"), sorted({f for m in masks for f in finer(m)})
 
 
 def close_links(distinct: DataFrame, distance: int, limit: int = NODE_LIMIT) -> DataFrame:
