@@ -60,7 +60,8 @@ def _count_pieces(tokens: DataFrame, model) -> DataFrame:
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             words = batch.column(0).to_pylist()
-            sizes = [len(ids) for ids in encode([w[1:] for w in words], num_threads=1)]
+            # The model puts the first space itself; of a lone space nothing would be left.
+            sizes = [len(ids) or 1 for ids in encode([w[1:] for w in words], num_threads=1)]
             return pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32())], names=["token", "pieces"])
 
         return work

@@ -70,7 +70,7 @@ def test_op2_over_whole_table(spark):
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet=st.one_of(st.sampled_from(" ▁\n\tab<s>"), st.characters(exclude_categories=["Cs"])), max_size=60))
 def test_pre_tokens_are_independent(text):
-    assert sum(len(MODEL.encode(t[1:])) for t in pre_tokens(text)) == len(MODEL.encode(text))
+    assert sum(len(MODEL.encode(t[1:])) or 1 for t in pre_tokens(text)) == len(MODEL.encode(text))
 
 
 @pytest.mark.parametrize("head", [0, 1 << 18])
