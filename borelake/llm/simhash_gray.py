@@ -49,10 +49,10 @@ TOP_MASKS = [a | b for a, b in combinations(BLOCKS, 2)]
 
 
 def finer(mask: int) -> list[int]:
-    """The mask with one of three thirds of the remaining bits added."""
+    """The mask with one of three thirds of the remaining bits, none of them empty, added."""
     free = [bit for bit in range(64) if not mask >> bit & 1]
-    third = -(-len(free) // 3)
-    return [mask | sum(1 << b for b in free[at : at + third]) for at in range(0, len(free), third)]
+    cuts = [len(free) * i // 3 for i in range(4)]
+    return [mask | sum(1 << bit for bit in free[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 def fingerprint(text: str, size: int = 3) -> int:
@@ -194,7 +194,7 @@ def index_nodes(distinct: DataFrame, limit: int = NODE_LIMIT) -> DataFrame:
     settled = None
     while True:
         crowded = entered.groupBy("mask", "pattern").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
-        if min(64 - m.bit_count() for m in masks) <= (limit - 1).bit_length() or crowded.isEmpty():
+        if min(64 - m.bit_count() for m in masks) < max(3, limit.bit_length()) or crowded.isEmpty():
             return entered if settled is None else settled.unionByName(entered)
         crowded = park(crowded.drop("n"), "crowded-nodes")
         calm = entered.join(crowded, ["mask", "pattern"], "left_anti")
