@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.coerce import quoted
 from .common import by_slice
 
 # Distinct pre-tokens a task remembers before it starts afresh.
@@ -164,7 +165,7 @@ def encode_texts(
     spark = df.sparkSession
     lines = _shared_lines(spark, path)
     source = df.select(
-        *[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text")
+        *[quoted(c) for c in keep], F.coalesce(quoted(text_col), F.lit("")).alias("_text")
     )
     kept = source.drop("_text").schema
     schema = kept.add("n_tokens", "long").add("ids", "binary")
@@ -191,7 +192,7 @@ def decode_ids(df: DataFrame, path: str, ids_col: str = "ids", keep: Sequence[st
     spark = df.sparkSession
     lines = _shared_lines(spark, path)
     source = df.select(
-        *[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(f"`{ids_col}`"), F.lit(b"")).alias("_ids")
+        *[quoted(c) for c in keep], F.coalesce(quoted(ids_col), F.lit(b"")).alias("_ids")
     )
     schema = source.drop("_ids").schema.add("decoded", "binary")
 

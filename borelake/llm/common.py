@@ -8,6 +8,7 @@ from itertools import chain
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ..functions.coerce import quoted
 
@@ -40,15 +41,22 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
 
 
 def by_slice(
-    df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str
+    df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str | StructType
 ) -> DataFrame:
-    """Rows through a Python function of small batches; ``make`` builds it once a task."""
+    """Rows through a Python function of small batches; ``make`` builds it once a task.
+
+    Columns are numbered on the way, as ``mapInArrow`` takes no names with dots.
+    """
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    numbered = StructType([StructField(f"_{i}", f.dataType) for i, f in enumerate(schema.fields)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        return (work(piece) for piece in slices(batches))
+        for piece in slices(batches):
+            yield pa.RecordBatch.from_arrays(work(piece).columns, names=numbered.names)
 
-    return df.mapInArrow(run, schema)
+    plain = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
+    return plain.mapInArrow(run, numbered).toDF(*schema.names)
 
 
 def labelled_sample(

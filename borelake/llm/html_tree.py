@@ -39,7 +39,7 @@ INLINE = frozenset(
 # A start tag of the key closes an open element of the value, up to the nearest of its scope.
 CLOSES = {
     "li": (("li",), ("ul", "ol")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)),
-    "td": (("td", "th"), ("table", "tr")), "th": (("td", "th"), ("table", "tr")), "tr": (("tr",), ("table",)),
+    "td": (("td", "th"), ("table",)), "th": (("td", "th"), ("table",)), "tr": (("tr",), ("table",)),
     "tbody": (("tbody", "thead", "tfoot"), ("table",)), "option": (("option",), ("select",)),
 }
 CONTAINERS = frozenset(("article", "main"))
@@ -228,7 +228,7 @@ def main_text(page: str) -> str:
             around = node
         node = node.parent
     best = around or best
-    floor = max(10.0, scored[best] / 5)
+    floor = scored[best] / 5
     kept = {best}
     for node in nodes:
         if node is not best and node.chars and best.parent is not None and node.parent is best.parent:

@@ -230,13 +230,15 @@ def good_documents(
     docs = texts(df, id_col, text_col)
     model = df.sparkSession.sparkContext.broadcast(train(docs, labels))
 
-    def run(batches):
+    at = df.columns.index(text_col)
+
+    def make():
         weights, links = model.value
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                piece = batch.slice(at, 256)
-                whole = [t or "" for t in piece.column(text_col).to_pylist()]
-                kept = document_scores(whole, weights, links) >= threshold
-                yield piece.filter(pa.array(kept))
-
-    return df.mapInArrow(run, df.schema)
+
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            whole = [t or "" for t in batch.column(at).to_pylist()]
+            return batch.filter(pa.array(document_scores(whole, weights, links) >= threshold))
+
+        return work
+
+    return by_slice(df, make, df.schema)

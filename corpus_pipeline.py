@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from borelake.config import park
+from borelake.functions.coerce import quoted
 from borelake.llm import bloom_dedup, bpe, line_crf, mixing, simhash_gray
 from borelake.llm.common import table
 from borelake.llm.queries import LEVELS, MAX_BITS_APART, MIX_SEED, RANKS, SHINGLE_WORDS, WEIGHTS, with_domain
@@ -37,7 +38,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fill the budgets of their domain, language and source."""
     mixed = mixing.mixture(with_domain(docs), LEVELS, WEIGHTS, MIX_SHARE, max_epochs=1, seed=MIX_SEED)
-    return mixed.select(*docs.columns)
+    return mixed.select(*[quoted(c) for c in docs.columns])
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
