@@ -12,13 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import park
-from .hot_keys import hot_keys, spread_join
-
-# Most intervals one list may hold; a longer log continues in the next part.
-LIST_LIMIT = 10_000
-# So many group starts, a few numbers each, are small enough to broadcast.
-FEW_GROUPS = 100_000
+from ..config import BROADCAST_LIMIT, park
+from .hot_keys import flat_bytes, spread_join
 
 
 def with_ordinal(
@@ -29,8 +24,9 @@ def with_ordinal(
 ) -> DataFrame:
     """Adds the 1-based position of each row in ``order``, restarting for each ``within`` group.
 
-    ``within`` must not be null, and ``within + order`` unique for a repeatable result. The sorted rows are written once to
-    the shared folder: the range split is sampled, so it must not be made twice.
+    Null ``within`` values are a group like any other; ``within + order`` must be unique for a
+    repeatable result. The sorted rows are written once to the shared folder: the range split is
+    sampled, so it must not be made twice.
     """
     keys = [*within, *order]
     marked = (
@@ -54,43 +50,44 @@ def with_ordinal(
     if not within:
         return placed.withColumn(name, F.col("_global") + 1).select(*df.columns, name)
     starts = park(placed.groupBy(*within).agg(F.min("_global").alias("_start")), "starts")
-    if starts.count() <= FEW_GROUPS:
-        joined = placed.join(F.broadcast(starts), list(within))
+    # Structs are equal where both hold a null, so no group is lost.
+    group = F.struct(*within).alias("_group")
+    first = starts.select(group, "_start")
+    grouped = placed.withColumn("_group", group)
+    if flat_bytes(starts) <= BROADCAST_LIMIT:
+        joined = grouped.join(F.broadcast(first), "_group")
     else:
-        joined = spread_join(placed, starts, within)
+        joined = spread_join(grouped, first, ["_group"], limit=0)
     return joined.select(*df.columns, (F.col("_global") - F.col("_start") + 1).alias(name))
 
 
+def interval_rows(
+    logs: DataFrame, key: str = "bore_key", order: str = "row_no", columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Each bore's intervals in row order, one per row: ``key, position, order, columns...``.
+
+    Positions start at 1. Rows without a key belong to no bore and are left out. The plan is the
+    same for logs of any length.
+    """
+    return with_ordinal(_keyed(logs, key, order, columns), [order], [key], "position")
+
+
 def interval_lists(
-    logs: DataFrame,
-    key: str = "bore_key",
-    order: str = "row_no",
-    columns: Sequence[str] | None = None,
-    limit: int = LIST_LIMIT,
+    logs: DataFrame, limit: int, key: str = "bore_key", order: str = "row_no", columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """Each bore's intervals as arrays in row order: ``key, part, n, intervals``.
+    """Each bore's intervals as arrays of up to ``limit``: ``key, part, n_parts, n, intervals``.
 
-    Bores are counted first. Logs within ``limit`` make one list (part 0); only longer ones are
-    numbered and cut into parts of ``limit``, so no list outgrows a task and none is truncated.
+    A log of more than ``limit`` intervals has several parts, numbered from 0; none is truncated.
     """
-    columns = list(columns or [c for c in logs.columns if c != key])
-    item = F.struct(order, *(c for c in columns if c != order))
-    kept = logs.where(F.col(key).isNotNull()).select(key, order, *(c for c in columns if c != order))
-
-    def listed(rows, *by):
-        return rows.groupBy(*by).agg(
-            F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(item)).alias("intervals")
-        )
-
-    long_keys = hot_keys(kept, [key], limit).select(key)
-    n_long = long_keys.count()
-    if n_long == 0:
-        return listed(kept, key).select(key, F.lit(0).cast("bigint").alias("part"), "n", "intervals")
-    long_keys = park(long_keys, "long-logs")
-    # at most one long log per `limit` rows; broadcast only while that is few
-    side = F.broadcast(long_keys) if n_long <= FEW_GROUPS else long_keys
-    short = listed(kept.join(side, key, "left_anti"), key).withColumn("part", F.lit(0).cast("bigint"))
-    ranked = with_ordinal(kept.join(side, key, "left_semi"), [order], [key], "_pos")
-    parts = ranked.withColumn("part", F.floor((F.col("_pos") - 1) / limit).cast("bigint"))
-    out = (key, "part", "n", "intervals")
-    return short.select(*out).unionByName(listed(parts, key, "part").select(*out))
+    rows = interval_rows(logs, key, order, columns)
+    item = F.struct(*(c for c in rows.columns if c not in (key, "position")))
+    lists = rows.groupBy(key, F.floor((F.col("position") - 1) / limit).cast("bigint").alias("part")).agg(
+        F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(item)).alias("intervals")
+    )
+    n_parts = F.count(F.lit(1)).over(Window.partitionBy(key))
+    return lists.withColumn("n_parts", n_parts).select(key, "part", "n_parts", "n", "intervals")
+
+
+def _keyed(logs: DataFrame, key: str, order: str, columns: Sequence[str] | None) -> DataFrame:
+    columns = [c for c in (columns or logs.columns) if c not in (key, order)]
+    return logs.where(F.col(key).isNotNull()).select(key, order, *columns)

@@ -19,14 +19,17 @@ TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem")
 LOG_ROW_NO = """(((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey) * 100
          + CAST(l_quantity AS bigint)"""
 
+# Codes of no bore, so that their logs are orphans and their customers' bores have no logs.
+LOG_CODE = """concat(CASE WHEN o_custkey % 17 = 0 THEN 'GX' ELSE 'GW' END, CAST(o_custkey AS varchar(20)))"""
+
 VIEWS = {
     "fx_ngis_bore": """
-SELECT c_custkey * 10 + p.pipe AS row_no,
+SELECT c_custkey * 10 + pipe AS row_no,
        CASE WHEN c_custkey % 29 = 0 THEN NULL
             ELSE concat('GW', CAST(c_custkey AS varchar(20))) END AS "HydroCode",
        CASE WHEN c_custkey % 31 = 0 THEN NULL
             ELSE 140e0 + CAST((c_custkey * 7919) % 1500 AS double) / 100e0
-                 + CAST(p.pipe - 1 AS double) / 1000e0 END AS "Longitude",
+                 + CAST(pipe - 1 AS double) / 1000e0 END AS "Longitude",
        -39e0 + CAST((c_custkey * 104729) % 1100 AS double) / 100e0 AS "Latitude",
        CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_acctbal END AS "RefElev",
        'natural surface' AS "RefElevDesc",
@@ -38,13 +41,11 @@ SELECT c_custkey * 10 + p.pipe AS row_no,
        '1998-04-01' AS "DrilledDate",
        c_nationkey AS "StateTerritory",
        CASE c_nationkey % 3 WHEN 0 THEN 'NSW' WHEN 1 THEN 'VIC' ELSE 'QLD' END AS state_core
-FROM {customer} CROSS JOIN (SELECT 1 AS pipe UNION ALL SELECT 2 AS pipe) p
-WHERE c_custkey % 17 <> 0 AND (p.pipe = 1 OR c_custkey % 23 = 0)
+FROM (SELECT *, EACH(CASE WHEN c_custkey % 23 = 0 THEN LIST(1, 2) ELSE LIST(1) END) AS pipe FROM {customer}) bores
 """,
     "fx_ngis_boreholelog": f"""
 SELECT {LOG_ROW_NO} AS row_no,
-       CASE WHEN l_orderkey % 97 = 0 THEN NULL
-            ELSE concat('GW', CAST(o_custkey AS varchar(20))) END AS "HydroCode",
+       CASE WHEN l_orderkey % 97 = 0 THEN NULL ELSE {LOG_CODE} END AS "HydroCode",
        CASE WHEN l_linestatus = 'F' AND l_quantity > 45 THEN ' Unknown '
             WHEN l_quantity < 3 THEN NULL
             ELSE concat(l_returnflag, ' Formation') END AS "Description",
@@ -59,23 +60,23 @@ FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey
 """,
     "fx_ngis_lithologylog": f"""
 SELECT {LOG_ROW_NO} AS row_no,
-       concat('GW', CAST(o_custkey AS varchar(20))) AS "HydroCode",
+       {LOG_CODE} AS "HydroCode",
        l_returnflag AS "MajorLithCode", l_linestatus AS "MinorLithCode",
        concat(l_returnflag, l_linestatus) AS "Description",
        CAST(l_linenumber AS double) AS "FromDepth",
        CAST(l_linenumber AS double) + l_discount * 10e0 AS "ToDepth",
        100e0 AS "RefElev"
-FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey WHERE l_linenumber <= 2
+FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey
 """,
-    "fx_ngis_constructionlog": """
+    "fx_ngis_constructionlog": f"""
 SELECT o_orderkey AS row_no,
-       concat('GW', CAST(o_custkey AS varchar(20))) AS "HydroCode",
+       {LOG_CODE} AS "HydroCode",
        CASE o_orderstatus WHEN 'F' THEN 'Screen' ELSE 'Casing' END AS "ConstructionType",
        'PVC' AS "Material", 100e0 AS "InnerDiameter", 110e0 AS "OuterDiameter",
        'Slotted' AS "Property", 0.5e0 AS "PropertySize", o_orderpriority AS "DrillMethod",
        CAST(o_orderkey % 50 AS double) AS "FromDepth",
        CAST(o_orderkey % 60 AS double) AS "ToDepth", 100e0 AS "RefElev"
-FROM {orders} WHERE o_orderkey % 3 = 0
+FROM {{orders}}
 """,
     "fx_ga_header": """
 SELECT s_suppkey AS eno, s_name AS name,
@@ -129,14 +130,14 @@ SELECT r_regionkey AS region_id, r_name,
        144e0 + CAST(r_regionkey AS double) * 2e0 AS max_lon, -33e0 AS max_lat
 FROM {region}
 """,
-    # boxes around bores: whole-number corners, some reversed
+    # a small box around each customer's bore; some reversed, some without width or height
     "fx_box": """
-SELECT c_custkey AS box_id,
-       CAST(138 + c_custkey % 16 AS double) AS min_lon,
-       CAST(-40 + c_custkey % 13 AS double) AS min_lat,
-       CAST(138 + c_custkey % 16 + c_custkey % 5 - CASE WHEN c_custkey % 41 = 0 THEN 9 ELSE 0 END AS double) AS max_lon,
-       CAST(-40 + c_custkey % 13 + c_custkey % 4 AS double) AS max_lat
-FROM {customer}
+SELECT c_custkey AS box_id, lon - half AS min_lon, lat - half AS min_lat,
+       CASE WHEN c_custkey % 41 = 0 THEN lon - 2e0 * half WHEN c_custkey % 5 = 0 THEN lon - half ELSE lon + half END AS max_lon,
+       CASE WHEN c_custkey % 4 = 0 THEN lat - half ELSE lat + half END AS max_lat
+FROM (SELECT c_custkey, CAST(1 + c_custkey % 3 AS double) / 64e0 AS half,
+             140e0 + CAST((c_custkey * 7919) % 1500 AS double) / 100e0 AS lon,
+             -39e0 + CAST((c_custkey * 104729) % 1100 AS double) / 100e0 AS lat FROM {customer}) boxes
 """,
     # one state per customer, and a manifest with repeats, gaps and stale stamps
     "fx_states": """
@@ -185,7 +186,8 @@ def _names(text: str) -> list[str]:
 def duckdb_with() -> str:
     """All views as the WITH clause the oracle texts start with."""
     parts = [
-        f"{name} AS ({text.format(**{n: n for n in _names(text)})})" for name, text in VIEWS.items()
+        f"{name} AS ({text.format(**{n: n for n in _names(text)})})".replace("EACH(", "unnest(").replace("LIST(", "list_value(")
+        for name, text in VIEWS.items()
     ]
     return "WITH " + ",\n".join(parts)
 
@@ -202,7 +204,7 @@ class Fixtures:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in VIEWS:
             raise AttributeError(name)
-        text = VIEWS[name].replace('"', "`")
+        text = VIEWS[name].replace('"', "`").replace("EACH(", "explode(").replace("LIST(", "array(")
         used = {n: self.table(n) for n in _names(text)}
         return self.spark.sql(text, **used)
 

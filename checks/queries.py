@@ -653,29 +653,41 @@ def _(fx):
     return summary.distinct_keys(ga_strat(fx))
 
 
-@register("interval_lists", """
-SELECT "HydroCode" AS bore_key, CAST(0 AS bigint) AS part, count(*) AS n,
-       string_agg(CAST(row_no AS varchar), ',' ORDER BY row_no) AS rows_in_order
-FROM fx_ngis_boreholelog WHERE "HydroCode" IS NOT NULL GROUP BY "HydroCode" """)
+@register("interval_rows", """
+SELECT "HydroCode" AS bore_key, row_number() OVER (PARTITION BY "HydroCode" ORDER BY row_no) AS position,
+       row_no, "Description" AS description
+FROM fx_ngis_boreholelog WHERE "HydroCode" IS NOT NULL""")
 def _(fx):
-    lists = ordinal.interval_lists(strat(fx), columns=["row_no", "unit", "top_depth_m", "bottom_depth_m"])
-    in_order = F.array_join(F.transform("intervals", lambda i: i["row_no"].cast("string")), ",")
-    return lists.select("bore_key", "part", "n", in_order.alias("rows_in_order"))
+    logs = fx.fx_ngis_boreholelog.select(F.col("HydroCode").alias("bore_key"), "row_no", F.col("Description").alias("description"))
+    return ordinal.interval_rows(logs)
 
 
-@register("interval_lists_in_parts", """
+def _lists_sql(limit):
+    return f"""
 WITH numbered AS (
   SELECT "HydroCode" AS bore_key, row_no,
          row_number() OVER (PARTITION BY "HydroCode" ORDER BY row_no) - 1 AS pos,
          count(*) OVER (PARTITION BY "HydroCode") AS total
   FROM fx_ngis_boreholelog WHERE "HydroCode" IS NOT NULL)
-SELECT bore_key, CASE WHEN total <= 40 THEN 0 ELSE pos // 40 END AS part, count(*) AS n,
+SELECT bore_key, pos // {limit} AS part, (total + {limit} - 1) // {limit} AS n_parts, count(*) AS n,
        string_agg(CAST(row_no AS varchar), ',' ORDER BY row_no) AS rows_in_order
-FROM numbered GROUP BY 1, 2""")
-def _(fx):
-    lists = ordinal.interval_lists(strat(fx), columns=["row_no", "unit"], limit=40)
+FROM numbered GROUP BY ALL"""
+
+
+def _lists(fx, limit, columns):
+    lists = ordinal.interval_lists(strat(fx), limit, columns=columns)
     in_order = F.array_join(F.transform("intervals", lambda i: i["row_no"].cast("string")), ",")
-    return lists.select("bore_key", "part", "n", in_order.alias("rows_in_order"))
+    return lists.select("bore_key", "part", "n_parts", "n", in_order.alias("rows_in_order"))
+
+
+@register("interval_lists", _lists_sql(1000))
+def _(fx):
+    return _lists(fx, 1000, ["row_no", "unit", "top_depth_m", "bottom_depth_m"])
+
+
+@register("interval_lists_in_parts", _lists_sql(40))
+def _(fx):
+    return _lists(fx, 40, ["row_no", "unit"])
 
 
 @register("validity_summary", with_(_STRAT) + """

@@ -120,8 +120,8 @@ def test_ordinals_are_dense_and_restart(spark):
 
 
 def test_ordinals_with_many_groups_take_the_shuffled_way(spark, monkeypatch):
-    monkeypatch.setattr(ordinal, "FEW_GROUPS", 3)
-    df = spark.createDataFrame([(f"g{i % 11}", i) for i in range(500)], "g string, v int")
+    monkeypatch.setattr(ordinal, "BROADCAST_LIMIT", 3)
+    df = spark.createDataFrame([(f"g{i % 11}" if i % 11 else None, i) for i in range(500)], "g string, v int")
     got = ordinal.with_ordinal(df, ["v"], ["g"])
     assert all(r["ordinal"] == r["v"] // 11 + 1 for r in got.collect()) and got.count() == 500
 

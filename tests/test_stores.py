@@ -97,7 +97,7 @@ def test_state_query(world):
     assert reasons == [("Clay", "missing depth"), ("Sand", "None"), ("Unknown", "inverted interval (top > bottom)"), ("Unknown", "unknown formation")]
     assert found.log_table("construction").count() == 1 and found.log_table("earth_material").count() == 0
     assert found.logs("stratigraphy").count() == 4
-    lists = {r["bore_key"]: [i["unit"] for i in r["intervals"]] for r in found.interval_lists().collect()}
+    lists = {r["bore_key"]: [i["unit"] for i in r["intervals"]] for r in found.interval_lists(10).collect()}
     assert lists == {"IN": ["Sand", "Unknown", "Unknown"], "EDGE": ["Clay"]}
     assert found.citation() == (
         "Bureau of Meteorology National Groundwater Information System (NGIS), NSW core, 2014-11 extract. "
