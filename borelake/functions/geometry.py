@@ -207,8 +207,8 @@ def _snapped(ring: Column) -> Column:
     on_grid = F.transform(
         ring,
         lambda v: F.struct(
-            F.round(v["x"] * KEY_SCALE).cast("bigint").alias("x"),
-            F.round(v["y"] * KEY_SCALE).cast("bigint").alias("y"),
+            F.floor(v["x"] * KEY_SCALE + F.lit(0.5)).cast("bigint").alias("x"),
+            F.floor(v["y"] * KEY_SCALE + F.lit(0.5)).cast("bigint").alias("y"),
         ),
     )
     # the vertex before the first one is the last, so this drops a closing vertex as well

@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .coerce import strip
 from .geometry import canonical_shape
 
 # Fixed value: a borehole PID ends in BH and the borehole number.
@@ -76,7 +77,7 @@ def snapshot_stamp(state: Column, artifact_md5: Column, version: Column) -> Colu
 
 def eno_of_identifier(identifier: Column) -> Column:
     """Borehole number from a bare number or a PID; null when it is neither."""
-    text = F.trim(identifier.cast("string"))
+    text = strip(identifier.cast("string"))
     tail = F.regexp_extract(text, PID_TAIL, 1)
     return F.coalesce(
         F.when(text.rlike("^[0-9]+$"), text), F.when(tail != "", tail)

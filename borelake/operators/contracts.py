@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import in_box
 from ..functions.keys import PID_PATTERN
+from .joins import join_keys
 
 # Plausible positions, accepted drift of row counts and fan-out per logged bore.
 AUSTRALIA = (112.0, -44.0, 154.0, -10.0)
@@ -35,10 +36,20 @@ REQUIRED_FIELDS = {
 }
 
 
-def missing_fields(raw: DataFrame, layer: str) -> list[str]:
-    """Required fields the layer no longer has; names are compared exactly."""
-    present = set(raw.columns)
-    return [f for f in REQUIRED_FIELDS[layer] if f not in present]
+def missing_fields(raw: DataFrame, layer: str) -> DataFrame:
+    """``layer, field``: required fields the layer no longer has; names are compared exactly.
+
+    Landed features are judged by the names in their own properties, since the reader gives every
+    known column whether it was sent or not; other tables by their columns.
+    """
+    spark, required = raw.sparkSession, [(layer, f) for f in REQUIRED_FIELDS[layer]]
+    asked = spark.createDataFrame(required, "layer string, field string")
+    if "source_attributes" in raw.columns:
+        names = F.explode(F.json_object_keys(F.col("source_attributes").cast("string")))
+        present = raw.select(names.alias("field")).distinct()
+    else:
+        present = spark.createDataFrame([(c,) for c in raw.columns], "field string")
+    return asked.join(F.broadcast(present.where(F.col("field").isin(*REQUIRED_FIELDS[layer]))), "field", "left_anti").select("layer", "field")
 
 
 def missing_layers(expected: Iterable[str], seen: Iterable[str]) -> list[str]:
@@ -93,15 +104,16 @@ def log_checks(logs: DataFrame) -> DataFrame:
 
 
 def logs_outside_set(logs: DataFrame, headers: DataFrame) -> DataFrame:
-    """Logs whose key is not among the headers' keys.
+    """Logs whose key is not among the headers' keys, within their source where both are tagged.
 
     Logs are counted per key before the anti join, so a hot key crosses the shuffle once per task.
     """
-    per_key = logs.where(F.col("bore_key").isNotNull()).groupBy("bore_key").agg(
+    keys = join_keys(headers, logs)
+    per_key = logs.where(F.col("bore_key").isNotNull()).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n")
     )
-    known = headers.where(F.col("bore_key").isNotNull()).select("bore_key").distinct()
-    marked = per_key.join(known.withColumn("_known", F.lit(True)), "bore_key", "left")
+    known = headers.where(F.col("bore_key").isNotNull()).select(*keys).distinct()
+    marked = per_key.join(known.withColumn("_known", F.lit(True)), keys, "left")
     zero = F.lit(0).cast("bigint")
     return marked.agg(
         F.lit("log_key_in_set").alias("check"),

@@ -8,12 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.coerce import parse_number
 from ..functions.geometry import SHAPE_TYPE, box_shape, in_box, point_in_literal_edges, shape_is_valid
 from ..functions.keys import eno_of_identifier
 from ..region import Region
 from ..sources.registry import STATE_EXTENTS
 from .spatial_join import points_in_polygons
 
+# Raw fields that hold measurements.
+NUMERIC_FIELDS = ("elevation_m", "GDA94_dlong", "GDA94_dlat")
 # More edges than this are not unrolled into the generated code; the grid join takes over.
 INLINE_EDGES = 64
 
@@ -60,8 +63,19 @@ def raw_in_region(raw: DataFrame, region: Region, refine: str = "exact") -> Data
 
 
 def by_attribute(raw: DataFrame, predicate: str | None) -> DataFrame:
-    """An SQL predicate over *raw* column names."""
-    return raw if not predicate else raw.where(F.expr(predicate))
+    """An SQL predicate over *raw* column names.
+
+    The measured header fields arrive as text; in the predicate they are the numbers they hold, and
+    null where they hold none. A property without a column is reached through
+    ``get_json_object(source_attributes, '$.name')``.
+    """
+    if not predicate:
+        return raw
+    texts = [c for c in NUMERIC_FIELDS if c in raw.columns and raw.schema[c].dataType == T.StringType()]
+    kept = {c: f"_text_{c}" for c in texts}
+    typed = raw.withColumns({kept[c]: F.col(c) for c in texts}).withColumns({c: parse_number(F.col(c)) for c in texts})
+    found = typed.where(F.expr(predicate))
+    return found.withColumns({c: F.col(kept[c]) for c in texts}).select(*raw.columns) if texts else found
 
 
 def single_header(headers: DataFrame, identifier) -> DataFrame:
@@ -73,7 +87,9 @@ def single_header(headers: DataFrame, identifier) -> DataFrame:
         if not mark or not tail.isdigit():
             raise ValueError(f"Cannot derive a borehole number from identifier {identifier!r}.")
         number = int(tail)
-    return headers.where(F.col("eno") == F.lit(number)).limit(1)
+    found = headers.where(F.col("eno") == F.lit(number))
+    order = "row_no" if "row_no" in headers.columns else "bore_key"
+    return found.orderBy(order).limit(1)
 
 
 def with_identifier_eno(df: DataFrame, identifier: str = "identifier") -> DataFrame:

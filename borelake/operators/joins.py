@@ -44,6 +44,35 @@ def with_bore_position(logs: DataFrame, bores: DataFrame, order: str = "row_no")
     )
 
 
+CODE_BOUNDS = ("code_min_lon", "code_min_lat", "code_max_lon", "code_max_lat")
+
+
+def with_code_bounds(logs: DataFrame, bores: DataFrame) -> DataFrame:
+    """Every log row with the envelope of all bores of its code, so that a box prunes log scans.
+
+    A code may name several bores, and its logs belong to each of them; so the last one's position
+    alone would lose rows. Codes without a placed bore get nulls.
+    """
+    lon, lat = clean_position(double_of(bores, "Longitude"), double_of(bores, "Latitude"))
+    placed = bores.where(F.col("HydroCode").isNotNull()).select("HydroCode", lon.alias("x"), lat.alias("y"))
+    bounds = placed.groupBy("HydroCode").agg(
+        F.min("x").alias("code_min_lon"), F.min("y").alias("code_min_lat"),
+        F.max("x").alias("code_max_lon"), F.max("y").alias("code_max_lat"),
+    )
+    return spread_join(logs, park(bounds, "code-bounds"), ["HydroCode"], "left")
+
+
+def logs_near(logs: DataFrame, box: tuple[float, float, float, float]) -> DataFrame:
+    """Logs whose code has a bore that may lie in the box; all logs of a table without such bounds."""
+    if not set(CODE_BOUNDS) <= set(logs.columns):
+        return logs
+    x0, y0, x1, y1 = box
+    return logs.where(
+        (F.col("code_min_lon") <= x1) & (F.col("code_max_lon") >= x0)
+        & (F.col("code_min_lat") <= y1) & (F.col("code_max_lat") >= y0)
+    )
+
+
 def with_point(raw: DataFrame, lon: str = "Longitude", lat: str = "Latitude") -> DataFrame:
     """Adds ``point_lon``/``point_lat``: parsed, NaN as missing, both or neither."""
     x, y = clean_position(double_of(raw, lon), double_of(raw, lat))

@@ -11,6 +11,7 @@ from ..operators.federation import federated_logs, union_all
 from ..operators.filters import (
     by_attribute, in_region, raw_in_region, region_shape, single_header, source_tags,
 )
+from ..operators.joins import logs_near
 from ..operators.mapping import national_headers, national_logs, state_headers, state_logs
 from ..operators.spatial_join import polygons_in_region
 from ..region import Region
@@ -83,7 +84,7 @@ class StateBores:
         logs = {}
         for kind, raw in self.logs.items():
             mine = raw.where(asked) if "source" in raw.columns else raw
-            logs[kind] = state_logs(mine, kind)
+            logs[kind] = state_logs(logs_near(mine, footprint.bounds), kind)
         return Bores(found, logs, footprint, {t: self.provenance.get(t, {}) for t in tags})
 
 

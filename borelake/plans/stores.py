@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import snapshot_key
-from ..operators.joins import with_bore_position, with_point
+from ..operators.joins import with_bore_position, with_code_bounds, with_point
 from ..operators.mapping import with_national_point
 from ..schema import LOG_KINDS
 from ..sources import landed
@@ -41,8 +41,8 @@ def build_state(
 ) -> dict[str, DataFrame]:
     """The four tables of a state core, built once and served while their stamp is current.
 
-    Logs get their bore's position at build time, and every table is laid out by grid cell, so
-    later box queries prune row groups and need no join to filter logs by place.
+    Logs get their bore's position and the envelope of their code's bores at build time, and every
+    table is laid out by grid cell, so later box queries prune row groups of headers and logs.
     """
     spark, source = store.spark, get_source(state, sources)
     tag = f"NGIS:{source.state}"
@@ -56,7 +56,7 @@ def build_state(
         layers = landed.read_state_core(spark, landed_root, source.state, fmt)
         bores = layers["bores"]
         for layer, raw in layers.items():
-            placed = raw if layer == "bores" else with_bore_position(raw, bores)
+            placed = raw if layer == "bores" else with_code_bounds(with_bore_position(raw, bores), bores)
             tagged = with_point(placed).withColumn("source", F.lit(tag))
             store.put(
                 keys[layer], laid_out(tagged, "point_lon", "point_lat"),

@@ -115,7 +115,7 @@ class SnapshotStore:
         )
         row = freshness_action(asked, self.manifest(), now, max_age).first()
         if row["action"] == "error":
-            raise RuntimeError(f"Offline and no snapshot for key={key}; cannot fetch.")
+            raise RuntimeError(f"No snapshot of {key!r} is stored, and offline none can be built.")
         if row["action"] == "refetch":
             known = {"server_fingerprint": fingerprint, "etag": etag, **(provenance or {})}
             self.put(key, build(), known, now)
@@ -123,11 +123,15 @@ class SnapshotStore:
 
     def summary(self) -> DataFrame:
         """Number of snapshots, their rows and their bytes on disk."""
+        manifest = self.manifest()
+        if manifest.isEmpty():
+            nothing = manifest.withColumn("size_bytes", F.lit(0).cast("bigint"))
+            return manifest_summary(nothing)
         files = self.spark.read.format("binaryFile").option("recursiveFileLookup", True)
         sizes = files.load(f"{self.root}/data").select("path", F.col("length").alias("size_bytes"))
         entry = F.element_at(F.split("path", "/"), -2)
         per_entry = sizes.groupBy(entry.alias("entry")).agg(F.sum("size_bytes").alias("size_bytes"))
-        return manifest_summary(self.manifest().join(per_entry, "entry", "left"))
+        return manifest_summary(manifest.join(per_entry, "entry", "left"))
 
 
 def newest_entries(entries: DataFrame) -> DataFrame:

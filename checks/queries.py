@@ -334,6 +334,14 @@ def _(fx):
     return joins.export_headers(filters.in_region(mapping.national_headers(raw), BOX))
 
 
+@register("attr_number", """
+SELECT eno, elevation_m FROM fx_ga_header
+WHERE try_cast(trim(elevation_m) AS double) > 40 AND "drillingMethod" = 'Rotary'""")
+def _(fx):
+    found = filters.by_attribute(fx.fx_ga_header, "elevation_m > 40 AND drillingMethod = 'Rotary'")
+    return found.select("eno", "elevation_m")
+
+
 @register("single_header", with_(_GA) + f"SELECT {_HEADER} FROM ga WHERE eno = 7")
 def _(fx):
     return joins.export_headers(filters.single_header(ga_headers(fx), LOCAL_PID))
@@ -745,8 +753,11 @@ def _(fx):
 SELECT "DATA_SOURCE", "OBJECTID", "UWI", "DATUM_NAME", "SOURCE_UNIT", "COMMENT", "GA_GUID", "TOP_MD_M", "TD_MD_M" FROM units""")
 def _(fx):
     path = shared_path(fx.spark, "units-csv")
-    sinks.write_csv(compilation.units_compilation(bores(fx), strat(fx)), path, by="DATA_SOURCE")
-    back = fx.spark.read.option("header", True).csv(path)
+    sinks.write_csv(compilation.units_compilation(bores(fx), strat(fx)), path, by="DATA_SOURCE", order="OBJECTID")
+    # Files alone, one by one: the folder names must not be needed.
+    back = fx.spark.read.option("header", True).option("recursiveFileLookup", True).csv(path)
+    if tuple(back.columns) != tuple(compilation.UNIT_COLUMNS):
+        raise ValueError(f"unexpected header: {back.columns}")
     return back.select(
         "DATA_SOURCE", F.col("OBJECTID").cast("bigint"), "UWI", "DATUM_NAME", "SOURCE_UNIT", "COMMENT",
         "GA_GUID", F.col("TOP_MD_M").cast("double"), F.col("TD_MD_M").cast("double"),
@@ -758,8 +769,8 @@ def _(fx):
 
 @register("region_keys", """
 SELECT box_id, sha256(concat_ws(',', x0 || ' ' || y0, x1 || ' ' || y0, x1 || ' ' || y1, x0 || ' ' || y1)) AS region_key
-FROM (SELECT box_id, CAST(round(min_lon * 1000000) AS bigint) AS x0, CAST(round(min_lat * 1000000) AS bigint) AS y0,
-             CAST(round(max_lon * 1000000) AS bigint) AS x1, CAST(round(max_lat * 1000000) AS bigint) AS y1
+FROM (SELECT box_id, CAST(floor(min_lon * 1e6 + 0.5e0) AS bigint) AS x0, CAST(floor(min_lat * 1e6 + 0.5e0) AS bigint) AS y0,
+             CAST(floor(max_lon * 1e6 + 0.5e0) AS bigint) AS x1, CAST(floor(max_lat * 1e6 + 0.5e0) AS bigint) AS y1
       FROM fx_box WHERE min_lon < max_lon AND min_lat < max_lat)""")
 def _(fx):
     boxes = filters.regions_from_boxes(fx.fx_box, *BOUNDS).where("region_valid")
@@ -918,6 +929,23 @@ def _(fx):
     return mapping.national_headers(landed_headers).select(*mapping.HEADER_COLUMNS)
 
 
+@register("missing_fields", """
+SELECT 'headers' AS layer, field FROM (VALUES ('state')) t(field)
+UNION ALL SELECT 'stratigraphy', field FROM (VALUES ('BOREHOLE_PID'), ('INTERVAL_LENGTH_M')) t(field)
+WHERE EXISTS (SELECT 1 FROM fx_ga_header) AND EXISTS (SELECT 1 FROM fx_ga_strat)""")
+def _(fx):
+    def features(raw, order):
+        nowhere = F.lit(None).cast("struct<type:string,coordinates:array<double>>")
+        props = F.struct(*(c for c in raw.columns if c != "row_no"))
+        return raw.select(F.col(order).alias("row_no"), nowhere.alias("geometry"), props.alias("properties"))
+
+    headers = landed.read_header_features(fx.spark, land_pages(fx, features(fx.fx_ga_header, "eno")), multi_line=False)
+    logs = landed.read_log_features(
+        fx.spark, land_pages(fx, features(fx.fx_ga_strat, "row_no")), "stratigraphy", multi_line=False
+    )
+    return contracts.missing_fields(headers, "headers").unionByName(contracts.missing_fields(logs, "stratigraphy"))
+
+
 @register("log_pages_scan", with_(_GA_STRAT) + f"""
 SELECT {_LOG}, {_PAYLOAD['stratigraphy']}, {_FLAGS} FROM gs WHERE eno IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 2 = 0)""")
 def _(fx):

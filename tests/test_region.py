@@ -141,3 +141,18 @@ def test_polygon_meets_region(spark):
     region = Region.from_bbox(0, 0, 4, 4)
     got = {r["k"] for r in polygons_in_region(df, region_shape(region), region.bounds).collect()}
     assert got == {"inside", "around", "cross", "touch", "second_part"}
+
+
+def test_stray_holes_and_overlapping_parts_are_rejected():
+    square = [(0, 0), (10, 0), (10, 10), (0, 10)]
+    far, inner = [(20, 20), (21, 20), (21, 21)], [(2, 2), (4, 2), (4, 4), (2, 4)]
+    for holes in ([far], [square], [inner, [(3, 3), (5, 3), (5, 5)]], [[(5, 5), (15, 5), (15, 6)]]):
+        with pytest.raises(ValueError):
+            Region.from_polygon(square, holes)
+    for other in (inner, square, [(5, 5), (15, 5), (15, 15)]):
+        with pytest.raises(ValueError):
+            Region.from_polygons([[square], [other]])
+    Region.from_polygon(square, [inner])
+    Region.from_polygons([[square], [far]])
+    Region.from_polygons([[square], [[(10, 0), (20, 0), (20, 10), (10, 10)]]])  # a shared side is no overlap
+    Region.from_polygons([[square, inner], [[(2.5, 2.5), (3.5, 2.5), (3.5, 3.5)]]])  # an island in a hole

@@ -9,6 +9,7 @@ from borelake import AllBores, NationalBores, Region, SnapshotStore, StateBores,
 from borelake.operators import contracts, mapping
 from borelake.schema import HEADER_COLUMNS, LOG_KINDS, export_columns
 from borelake.sources import landed, registry, sinks, snapshot
+from borelake.operators import joins
 from borelake.sources.artifacts import check_artifacts
 from borelake.sources.registry import StateSource
 
@@ -251,8 +252,11 @@ def test_pages_add_up(spark, world):
 
 def test_field_and_layer_gaps(spark, world):
     headers = landed.read_header_features(spark, f"{world[0]}/ga/headers")
-    assert contracts.missing_fields(headers, "headers") == []
-    assert contracts.missing_fields(headers.drop("eno"), "headers") == ["eno"]
+    sent = {k for r in headers.collect() for k in json.loads(r["source_attributes"])}
+    want = {f for f in contracts.REQUIRED_FIELDS["headers"] if f not in sent}
+    assert {r["field"] for r in contracts.missing_fields(headers, "headers").collect()} == want
+    plain = spark.createDataFrame([(1, "n", "s")], "eno long, name string, state string")
+    assert contracts.missing_fields(plain, "headers").collect() == [("headers", "elevation_m")]
     assert contracts.missing_layers(["a", "b"], ["b"]) == ["a"]
 
 
@@ -264,6 +268,35 @@ def test_box_query_reaches_the_scan(spark, world):
         plan = query.select("longitude")._jdf.queryExecution().executedPlan().toString()
         assert "GreaterThanOrEqual(point_lon,143.0)" in plan and "LessThanOrEqual(point_lat,-34.0)" in plan
         assert "source_attributes" not in plan and "RefElev" not in plan
+    logs = states.boreholes("NSW", bbox=BOX).log_tables["stratigraphy"]
+    plan = logs._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(code_min_lon,144.0)" in plan and "GreaterThanOrEqual(code_max_lat,-36.0)" in plan
+
+
+def test_a_code_with_a_bore_outside_the_box_keeps_its_logs(spark):
+    bores = spark.createDataFrame(
+        [(1, "A", 143.5, -35.0), (2, "A", 150.0, -30.0), (3, "B", 150.0, -30.0), (4, "C", None, None)],
+        "row_no long, HydroCode string, Longitude double, Latitude double",
+    )
+    logs = spark.createDataFrame([(1, "A"), (2, "B"), (3, "C"), (4, "D")], "row_no long, HydroCode string")
+    bounded = joins.with_code_bounds(joins.with_bore_position(logs, bores), bores)
+    assert bounded.count() == 4
+    assert [r["row_no"] for r in joins.logs_near(bounded, BOX).collect()] == [1]
+
+
+def test_keys_outside_the_set_count_within_their_source(spark):
+    headers = spark.createDataFrame([("NGIS:NSW", "1")], "source string, bore_key string")
+    logs = spark.createDataFrame([("NGIS:VIC", "1"), ("NGIS:NSW", "1")], "source string, bore_key string")
+    assert contracts.logs_outside_set(logs, headers).first()["n_failed"] == 1
+    assert contracts.logs_outside_set(logs.drop("source"), headers).first()["n_failed"] == 0
+
+
+def test_empty_store_has_a_summary(spark, tmp_path):
+    from borelake import SnapshotStore
+
+    assert SnapshotStore(spark, f"{tmp_path}/empty").summary().first().asDict() == {
+        "entry_count": 0, "feature_count": 0, "total_bytes": 0
+    }
 
 
 def test_source_partitions_are_pruned(spark, world, tmp_path):
