@@ -146,9 +146,9 @@ def format_chats(canonical_records: DataFrame, loss_role: str = LOSS_ROLE) -> Da
 
     The segments, joined, are the formatted text; those with ``loss`` are the loss mask.
     """
-    turns = canonical_records.where("layout IS NOT NULL AND turns IS NOT NULL").select(
-        "chat_id", "position", F.posexplode("turns").alias("inner", "turn")
-    )
+    # Exploding null gives no row. A filter would be pushed below the mapping and map each record twice.
+    mapped = F.when(F.col("layout").isNotNull(), F.col("turns"))
+    turns = canonical_records.select("chat_id", "position", F.posexplode(mapped).alias("inner", "turn"))
     written = turns.select(
         "chat_id",
         F.struct("position", "inner", "turn.role", "turn.text").alias("place"),
