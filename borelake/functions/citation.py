@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # The wording used when a source records no citation of its own.
@@ -10,6 +10,15 @@ DEFAULT_BORE_CITATION = "Geoscience Australia borehole data."
 DEFAULT_HYDRO_CITATION = "Hydrogeology of Australia, Geoscience Australia."
 
 
+
+def provenance_citation(spark: SparkSession, provenance: dict, default: str) -> str:
+    """The citation text of one manifest entry; ``default`` where it names none."""
+    ddl = "citation string, fetched_at double, license string, source_url string"
+    row = tuple(provenance.get(name) for name in ("citation", "fetched_at", "license", "source_url"))
+    text = citation_text(*(F.col(c) for c in ("citation", "fetched_at", "license", "source_url")), default)
+    return spark.createDataFrame([row], ddl).select(text.alias("text")).first()["text"]
+
+
 def access_date(fetched_at: Column) -> Column:
     """UTC calendar date of epoch seconds, whatever the session time zone."""
     days = F.floor(fetched_at / 86400).cast("int")

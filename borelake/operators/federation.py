@@ -31,9 +31,11 @@ def federated_logs(kind: str, national: DataFrame | None, states: DataFrame | No
     check_kind(kind)
     parts = [states] if kind == "construction" else [national, states]
     present = [p for p in parts if p is not None]
-    if not present:
-        return national.limit(0)
-    return union_all(present)
+    if present:
+        return union_all(present)
+    if national is None:
+        raise ValueError(f"No source of this query has {kind} logs.")
+    return national.limit(0)
 
 
 def federated_citation(provenance: DataFrame, by: str, order: str = "source_ord") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from ..functions.geometry import SHAPE_TYPE, box_shape, in_box, point_in_literal
 from ..functions.keys import eno_of_identifier
 from ..region import Region
 from ..sources.registry import STATE_EXTENTS
+from .ordinal import with_ordinal
 from .spatial_join import points_in_polygons
 
 # Raw fields that hold measurements.
@@ -138,9 +139,15 @@ def collection_keys(headers: DataFrame) -> DataFrame:
     return keyed(headers.select("eno"), "eno")
 
 
-def at_position(df: DataFrame, position: int, order: str = "row_no") -> DataFrame:
-    """The row with a given ordinal."""
-    return df.where(F.col(order) == position)
+def at_position(df: DataFrame, position: int, order: Sequence[str] = ("row_no",)) -> DataFrame:
+    """The row at a position of the collection, counted from 0, or from the end where negative.
+
+    No row is there beyond either end. ``order`` must be unique. Only its columns are numbered.
+    """
+    order = list(order)
+    numbered = with_ordinal(df.select(*order), order, name="_at")
+    place = F.lit(position + 1) if position >= 0 else F.lit(numbered.count() + position + 1)
+    return df.join(F.broadcast(numbered.where(F.col("_at") == place).drop("_at")), order, "left_semi")
 
 
 def regions_from_boxes(boxes: DataFrame, *bounds: str) -> DataFrame:

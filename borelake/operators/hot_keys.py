@@ -27,7 +27,11 @@ from ..functions.coerce import quoted
 HOT_ROWS = 1_000_000
 # Rows without a key can match nothing; where they are kept they are spread this wide.
 NULL_SPREAD = 512
-_HOT_ROW_BYTES = 256
+# Types whose values take a bounded number of bytes beside their text.
+FLAT_TYPES = (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType)
+# Where the table of heavy keys is itself too large to broadcast, it is repeated so often to reach
+# their rows, which are dealt to as many tasks meanwhile.
+KEY_SPREAD = 64
 
 
 def hot_keys(big: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -46,9 +50,9 @@ def flat_bytes(df: DataFrame) -> float:
 
     Infinite when a nested column makes that no bound.
     """
-    text, simple = [], (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType)
+    text = []
     for field in df.schema:
-        if not isinstance(field.dataType, simple):
+        if not isinstance(field.dataType, FLAT_TYPES):
             return float("inf")
         if isinstance(field.dataType, T.StringType):
             text.append(F.coalesce(F.octet_length(quoted(field.name)), F.lit(0)))
@@ -78,10 +82,13 @@ def spread_join(
     hot_rows: int | None = None,
     condition: Column | None = None,
     limit: int = BROADCAST_LIMIT,
+    hint: str | None = None,
 ) -> DataFrame:
     """``big`` joined to ``small`` (inner, left, left_semi or left_anti) with heavy keys salted.
 
     The key columns appear once in the result; ``condition`` is tested on pairs of equal keys.
+    ``hint`` is a join hint for ``small`` where it is not broadcast; it is put on the final join,
+    since a join below would swallow it.
     """
     keys = list(keys)
     if limit and flat_bytes(small) <= limit:
@@ -91,14 +98,13 @@ def spread_join(
     n_hot = hot.count()
     keeps_nulls = how in ("left", "left_anti")
     if n_hot == 0 and not keeps_nulls:
-        return key_join(big, small, keys, how, condition)
+        return key_join(big, hinted(small, hint), keys, how, condition)
     spot = _row_number_like(big)
     salt = F.lit(0)
     if n_hot:
         hot = park(hot, "hot-keys")
-        side = F.broadcast(hot) if n_hot * _HOT_ROW_BYTES <= BROADCAST_LIMIT else hot
-        big = big.join(side, keys, "left")
-        small = small.join(side, keys, "left").withColumn(
+        big = with_salts(big, hot, keys)
+        small = with_salts(small, hot, keys).withColumn(
             "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
         ).drop("_salts")
         salt = F.when(F.col("_salts").isNotNull(), F.pmod(spot, F.col("_salts"))).otherwise(salt)
@@ -107,7 +113,25 @@ def spread_join(
     if keeps_nulls:
         salt = F.when(_any_null(keys), F.pmod(spot, F.lit(NULL_SPREAD))).otherwise(salt)
     big = big.withColumn("_salt", salt.cast("int")).drop("_salts")
-    return key_join(big, small, [*keys, "_salt"], how, condition).drop("_salt")
+    return key_join(big, hinted(small, hint), [*keys, "_salt"], how, condition).drop("_salt")
+
+
+def with_salts(df: DataFrame, hot: DataFrame, keys: Sequence[str], limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """``df`` with ``_salts`` of its heavy keys, null for others; never shuffled on the bare keys.
+
+    The heavy keys are broadcast when their measured bytes allow it. Else they are repeated
+    ``KEY_SPREAD`` times, and the rows of ``df`` meet one of the copies each.
+    """
+    if flat_bytes(hot) <= limit:
+        return df.join(F.broadcast(hot), list(keys), "left")
+    copies = hot.withColumn("_deal", F.explode(F.sequence(F.lit(0), F.lit(KEY_SPREAD - 1))))
+    deal = F.pmod(_row_number_like(df), F.lit(KEY_SPREAD)).cast("int")
+    dealt = df.withColumn("_deal", deal).join(copies.hint("merge"), [*keys, "_deal"], "left")
+    return dealt.drop("_deal")
+
+
+def hinted(df: DataFrame, hint: str | None) -> DataFrame:
+    return df.hint(hint) if hint else df
 
 
 def key_join(big: DataFrame, small: DataFrame, keys: list[str], how: str, condition) -> DataFrame:

@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import park
-from ..functions.coerce import double_of
+from ..functions.coerce import double_of, long_of
 from ..schema import HEADER_COLUMNS, LOG_PAYLOAD, check_kind
 from .hot_keys import spread_join
-from .mapping import clean_position
+from .mapping import CODE_BOUNDS, NATIONAL_HEADER, NATIONAL_LOG, clean_position
 
 
 def last_positions(bores: DataFrame, order: str = "row_no") -> DataFrame:
@@ -44,9 +44,6 @@ def with_bore_position(logs: DataFrame, bores: DataFrame, order: str = "row_no")
     )
 
 
-CODE_BOUNDS = ("code_min_lon", "code_min_lat", "code_max_lon", "code_max_lat")
-
-
 def with_code_bounds(logs: DataFrame, bores: DataFrame) -> DataFrame:
     """Every log row with the envelope of all bores of its code, so that a box prunes log scans.
 
@@ -54,12 +51,23 @@ def with_code_bounds(logs: DataFrame, bores: DataFrame) -> DataFrame:
     alone would lose rows. Codes without a placed bore get nulls.
     """
     lon, lat = clean_position(double_of(bores, "Longitude"), double_of(bores, "Latitude"))
-    placed = bores.where(F.col("HydroCode").isNotNull()).select("HydroCode", lon.alias("x"), lat.alias("y"))
-    bounds = placed.groupBy("HydroCode").agg(
+    bounds = _bounds_per(bores.select("HydroCode", lon.alias("x"), lat.alias("y")), "HydroCode")
+    return spread_join(logs, park(bounds, "code-bounds"), ["HydroCode"], "left")
+
+
+def with_number_bounds(logs: DataFrame, headers: DataFrame) -> DataFrame:
+    """The same for national logs, by the borehole number that headers and logs read from their text."""
+    eno = long_of(headers, NATIONAL_HEADER["eno"]).alias("_eno")
+    bounds = _bounds_per(headers.select(eno, F.col("point_lon").alias("x"), F.col("point_lat").alias("y")), "_eno")
+    numbered = logs.withColumn("_eno", long_of(logs, NATIONAL_LOG["eno"]))
+    return spread_join(numbered, park(bounds, "code-bounds"), ["_eno"], "left").drop("_eno")
+
+
+def _bounds_per(placed: DataFrame, key: str) -> DataFrame:
+    return placed.where(F.col(key).isNotNull()).groupBy(key).agg(
         F.min("x").alias("code_min_lon"), F.min("y").alias("code_min_lat"),
         F.max("x").alias("code_max_lon"), F.max("y").alias("code_max_lat"),
     )
-    return spread_join(logs, park(bounds, "code-bounds"), ["HydroCode"], "left")
 
 
 def logs_near(logs: DataFrame, box: tuple[float, float, float, float]) -> DataFrame:

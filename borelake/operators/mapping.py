@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.coerce import clean_text, double_of, long_of, quoted, text_of, with_stripped
+from ..functions.coerce import double_of, long_of, quoted, text_of, with_stripped
 from ..functions.intervals import depth_or_unit_reason, depth_reason
 from ..schema import HEADER_COLUMNS, HEADER_EXTRAS, LOG_PAYLOAD, LOG_PREFIX, check_kind, type_name
 
@@ -77,7 +77,8 @@ HYDRO_UNIT = {
 
 # Raw columns a build adds, kept out of the raw record.
 NOT_IN_HEADER_BAG = ("geometry", "geom_type", "geom_lon", "geom_lat", "point_lon", "point_lat")
-NOT_IN_LOG_BAG = ("geometry", "Longitude", "Latitude", "point_lon", "point_lat")
+CODE_BOUNDS = ("code_min_lon", "code_min_lat", "code_max_lon", "code_max_lat")
+NOT_IN_LOG_BAG = ("geometry", "Longitude", "Latitude", "point_lon", "point_lat", *CODE_BOUNDS)
 _CARRIED = ("row_no", "source")
 
 
@@ -226,7 +227,3 @@ def without_geometry(raw: DataFrame) -> DataFrame:
     """Attributes only."""
     return raw.drop("geometry", "geom_type", "geom_lon", "geom_lat")
 
-
-def cleaned_text_columns(raw: DataFrame, *names: str) -> DataFrame:
-    """The same frame with the named columns passed through the text policy."""
-    return raw.withColumns({n: clean_text(quoted(n)) for n in names})

@@ -5,20 +5,25 @@ passes the cell, or carries just the edges a point of that cell has to be tested
 wholly outside are dropped. A point lies in one cell, so it meets each polygon at most once and
 no pair needs removing afterwards.
 
-The cut polygons are broadcast only when a count of their cells and edges proves them small;
+The cut polygons are broadcast only when their cells, edges and carried text prove them small;
 otherwise both sides shuffle on the cell, and a crowded cell's points are spread over tasks.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import BROADCAST_LIMIT
+from ..functions.coerce import quoted
 from ..functions.geometry import (
     bounds_of, boxes_overlap, edges_of, envelope, in_box, is_box, let, point_in_edges, shapes_intersect,
 )
-from .hot_keys import key_join, spread_join
+from .hot_keys import FLAT_TYPES, key_join, spread_join
 
 CELL_DEGREES = 0.5
 # Slack around a cell, in degrees: far above rounding error, far below any coordinate's accuracy.
@@ -93,11 +98,19 @@ def cut_to_cells(
     )
 
 
-def _proven_bytes(polygons: DataFrame, shape: str, cell: float, others: int) -> int:
+def _proven_bytes(polygons: DataFrame, shape: str, cell: float) -> float:
     """Upper bound on the size of the cut polygons, from one small aggregate over them.
 
-    An edge is stored in every cell of the rows it reaches (one spare row on each side for slack).
+    An edge is stored in every cell of the rows it reaches (one spare row on each side for slack),
+    the carried columns with their text in every cell. Infinite when a nested one makes that no bound.
     """
+    carried = [f for f in polygons.schema if f.name != shape]
+    if not all(isinstance(f.dataType, FLAT_TYPES) for f in carried):
+        return float("inf")
+    text = [
+        F.coalesce(F.octet_length(quoted(f.name)), F.lit(0)) for f in carried if isinstance(f.dataType, T.StringType)
+    ]
+    row_bytes = reduce(add, text, F.lit(128.0 + 32 * len(carried)))
     x0, y0, x1, y1 = bounds_of(F.col(shape))
     wide = (cell_of(x1, cell) - cell_of(x0, cell) + 1).cast("double")
     tall = (cell_of(y1, cell) - cell_of(y0, cell) + 1).cast("double")
@@ -107,9 +120,9 @@ def _proven_bytes(polygons: DataFrame, shape: str, cell: float, others: int) ->
         lambda total, e: total + F.abs(F.floor(e["y2"] / cell) - F.floor(e["y1"] / cell)) + 3.0,
     )
     row = polygons.agg(
-        F.sum(wide * tall).alias("cells"), F.sum(wide * rows_reached).alias("edges")
+        F.sum(wide * tall * row_bytes).alias("cells"), F.sum(wide * rows_reached).alias("edges")
     ).first()
-    return int((row["cells"] or 0) * (128 + 32 * others) + (row["edges"] or 0) * 64)
+    return (row["cells"] or 0) + (row["edges"] or 0) * 64
 
 
 def points_in_polygons(
@@ -141,11 +154,11 @@ def points_in_polygons(
         F.col("_all_inside") | point_in_edges(F.col(lon), F.col(lat), F.col("_cell_edges"))
     )
     keys = ["_cell_x", "_cell_y"]
-    if _proven_bytes(polygons, shape, cell, len(carried)) <= limit:
+    if _proven_bytes(polygons, shape, cell) <= limit:
         pairs = key_join(placed, F.broadcast(cut), keys, how, held)
     else:
         # bigger than the limit, so it must not be broadcast on a guess either
-        pairs = spread_join(placed, cut.hint("merge"), keys, how, hot_rows, held, limit=0)
+        pairs = spread_join(placed, cut, keys, how, hot_rows, held, limit=0, hint="merge")
     return pairs.select(*points.columns, *carried)
 
 

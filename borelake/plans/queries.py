@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.citation import DEFAULT_HYDRO_CITATION, provenance_citation
 from ..operators.federation import federated_logs, union_all
 from ..operators.filters import (
     by_attribute, in_region, raw_in_region, region_shape, single_header, source_tags,
@@ -17,7 +18,9 @@ from ..operators.spatial_join import polygons_in_region
 from ..region import Region
 from ..schema import LOG_KINDS, export_columns, struct_of
 from ..sources.registry import STATE_SOURCES, states_meeting
+from ..sources.snapshot import STATE_LAYERS, SnapshotStore
 from .bores import Bores
+from .stores import NATIONAL_KEYS, state_keys
 
 _BOUNDS = ("min_lon", "min_lat", "max_lon", "max_lat")
 
@@ -36,6 +39,7 @@ class NationalBores:
     logs: dict[str, DataFrame]
     hydro: DataFrame | None = None
     provenance: dict = field(default_factory=dict)
+    hydro_provenance: dict = field(default_factory=dict)
 
     def boreholes(
         self, region=None, *, bbox=None, where: str | None = None, count_only: bool = False,
@@ -46,7 +50,7 @@ class NationalBores:
         found = _headers_in(by_attribute(self.headers, where), footprint, national_headers, refine)
         if count_only:
             return found.count()
-        logs = {kind: national_logs(raw, kind) for kind, raw in self.logs.items()}
+        logs = {kind: national_logs(logs_near(raw, footprint.bounds), kind) for kind, raw in self.logs.items()}
         return Bores(found, logs, footprint, {"GA": self.provenance})
 
     def borehole(self, identifier) -> DataFrame:
@@ -65,6 +69,10 @@ class NationalBores:
         )
         return found.count() if count_only else found
 
+    def hydrogeology_citation(self) -> str:
+        """The citation text of the polygons."""
+        return provenance_citation(self.hydro.sparkSession, self.hydro_provenance, DEFAULT_HYDRO_CITATION)
+
 
 @dataclass(frozen=True)
 class StateBores:
@@ -96,6 +104,38 @@ class AllBores:
     states: StateBores | None
     registry: tuple = STATE_SOURCES
 
+    @classmethod
+    def from_store(cls, store: SnapshotStore, registry: tuple = STATE_SOURCES) -> AllBores:
+        """Whatever the store holds: the national tables and every state, each tagged with its source.
+
+        A state counts once all its layers are stored. The manifest is read once.
+        """
+        keys = {source.state: state_keys(store.spark, source.state) for source in registry}
+        wanted = [*NATIONAL_KEYS.values(), *(key for layers in keys.values() for key in layers.values())]
+        entries = store.newest(wanted)
+        tables = {key: store.spark.read.parquet(entry["path"]) for key, entry in entries.items()}
+        held = {state: layers for state, layers in keys.items() if set(layers.values()) <= set(tables)}
+        states = national = None
+        if held:
+            by_layer = {
+                layer: union_all(tables[layers[layer]] for layers in held.values()) for layer in STATE_LAYERS
+            }
+            states = StateBores(
+                by_layer.pop("bores"), by_layer,
+                {f"NGIS:{state}": entries[layers["bores"]] for state, layers in held.items()},
+            )
+        ga = {layer: key for layer, key in NATIONAL_KEYS.items() if key in tables}
+        if "headers" in ga:
+            logs = {layer: tables[key] for layer, key in ga.items() if layer in LOG_KINDS}
+            hydro = tables.get(NATIONAL_KEYS["hydrogeology"])
+            national = NationalBores(
+                tables[ga["headers"]], logs, hydro, entries[ga["headers"]],
+                entries.get(NATIONAL_KEYS["hydrogeology"], {}),
+            )
+        if states is None and national is None:
+            raise ValueError(f"The store at {store.root} holds no bores yet; build a source first.")
+        return cls(national, states, registry)
+
     def boreholes(self, *, region=None, bbox=None, sources=None) -> Bores:
         """Tagged bores of all wanted sources, in query order, never deduplicated.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import snapshot_key
-from ..operators.joins import with_bore_position, with_code_bounds, with_point
+from ..operators.joins import with_bore_position, with_code_bounds, with_number_bounds, with_point
 from ..operators.mapping import with_national_point
 from ..schema import LOG_KINDS
 from ..sources import landed
@@ -67,40 +67,45 @@ def build_state(
 
 def build_national(
     store: SnapshotStore, landed_root: str, *, force: bool = False, offline: bool = False,
-    max_age: float | None = None, now: float | None = None,
+    max_age: float | None = None, now: float | None = None, multi_line: bool = True,
 ) -> dict[str, DataFrame]:
     """National headers, logs and hydrogeology from ``<root>/<layer>/*.json`` pages.
 
-    Headers are judged by the number of landed features, logs and polygons by age alone.
+    Headers are judged by the number of landed features and polygons by age alone. Logs carry the
+    envelope of their number's bores and lie by it, so they are judged by the headers they were
+    placed with: new headers have them built again.
     """
     spark, root = store.spark, landed_root.rstrip("/")
     age = {} if max_age is None else {"max_age": max_age}
+
+    def placed_logs(kind: str) -> DataFrame:
+        logs = landed.with_landing_order(landed.read_log_features(spark, f"{root}/{kind}", kind, multi_line))
+        return laid_out(with_number_bounds(logs, tables["headers"]), "code_min_lon", "code_min_lat")
+
     readers = {
         "headers": lambda: laid_out(
             with_national_point(
-                landed.with_landing_order(landed.read_header_features(spark, f"{root}/headers"))
+                landed.with_landing_order(landed.read_header_features(spark, f"{root}/headers", multi_line))
             ),
             "point_lon", "point_lat",
         ),
-        "stratigraphy": lambda: landed.with_landing_order(
-            landed.read_log_features(spark, f"{root}/stratigraphy", "stratigraphy")
-        ),
-        "earth_material": lambda: landed.with_landing_order(
-            landed.read_log_features(spark, f"{root}/earth_material", "earth_material")
-        ),
+        "stratigraphy": lambda: placed_logs("stratigraphy"),
+        "earth_material": lambda: placed_logs("earth_material"),
         "hydrogeology": lambda: landed.with_landing_order(
-            landed.read_hydro_features(spark, f"{root}/hydrogeology")
+            landed.read_hydro_features(spark, f"{root}/hydrogeology", multi_line)
         ),
     }
     tables = {}
     for layer, build in readers.items():
-        count = None
+        fingerprint = None
         if layer == "headers" and not offline:
-            pages = landed.page_totals(landed.read_pages(spark, f"{root}/headers"), layer)
-            count = str(pages.agg(F.sum("n_features")).first()[0])
+            pages = landed.page_totals(landed.read_pages(spark, f"{root}/headers", multi_line), layer)
+            fingerprint = str(pages.agg(F.sum("n_features")).first()[0])
+        elif layer in LOG_KINDS:
+            fingerprint = store.entry(NATIONAL_KEYS["headers"])["entry"]
         about = NATIONAL_PROVENANCE["hydrogeology" if layer == "hydrogeology" else "headers"]
         tables[layer] = store.get_or_build(
-            NATIONAL_KEYS[layer], build, fingerprint=count, provenance=about, force=force,
+            NATIONAL_KEYS[layer], build, fingerprint=fingerprint, provenance=about, force=force,
             offline=offline, now=now, **age,
         )
     return tables

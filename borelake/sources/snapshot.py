@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -84,6 +85,11 @@ class SnapshotStore:
         )
         return path
 
+    def newest(self, keys: Iterable[str]) -> dict[str, dict]:
+        """The newest manifest row of each of the named keys that has a snapshot."""
+        rows = self.manifest().where(F.col("key").isin(*keys)).collect()
+        return {row["key"]: row.asDict() for row in rows}
+
     def entry(self, key: str) -> dict | None:
         """The newest manifest row of a key."""
         row = self.manifest().where(F.col("key") == key).first()
@@ -123,15 +129,26 @@ class SnapshotStore:
 
     def summary(self) -> DataFrame:
         """Number of snapshots, their rows and their bytes on disk."""
+        return manifest_summary(self.details())
+
+    def details(self, now: float | None = None) -> DataFrame:
+        """Per key its rows, bytes on disk, age in seconds, query and origin."""
+        now = time.time() if now is None else float(now)
+        return self._sized().select(
+            "key", "feature_count", "size_bytes", (F.lit(now) - F.col("fetched_at")).alias("age_seconds"),
+            "query", "service_version", "source_url", "path",
+        )
+
+    def _sized(self) -> DataFrame:
+        """The manifest with ``size_bytes`` of each snapshot's files."""
         manifest = self.manifest()
         if manifest.isEmpty():
-            nothing = manifest.withColumn("size_bytes", F.lit(0).cast("bigint"))
-            return manifest_summary(nothing)
+            return manifest.withColumn("size_bytes", F.lit(0).cast("bigint"))
         files = self.spark.read.format("binaryFile").option("recursiveFileLookup", True)
         sizes = files.load(f"{self.root}/data").select("path", F.col("length").alias("size_bytes"))
         entry = F.element_at(F.split("path", "/"), -2)
         per_entry = sizes.groupBy(entry.alias("entry")).agg(F.sum("size_bytes").alias("size_bytes"))
-        return manifest_summary(manifest.join(per_entry, "entry", "left"))
+        return manifest.join(per_entry, "entry", "left")
 
 
 def newest_entries(entries: DataFrame) -> DataFrame:

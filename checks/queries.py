@@ -414,9 +414,10 @@ def _(fx):
     )
 
 
-@register("header_at_position", with_(_BORES) + f"SELECT {_HEADER} FROM bores WHERE row_no = 21")
+@register("header_at_position", with_(_BORES) + f"""
+SELECT {_HEADER} FROM (SELECT *, row_number() OVER (ORDER BY row_no) AS place FROM bores) WHERE place = 21""")
 def _(fx):
-    return joins.export_headers(filters.at_position(bores(fx), 21))
+    return joins.export_headers(filters.at_position(bores(fx), 20))
 
 
 # Joins -----------------------------------------------------------------------------------------

@@ -52,8 +52,8 @@ def test_validity_order_and_source_rules(spark):
 
 
 def test_log_bag_leaves_out_the_added_position(spark):
-    raw = spark.createDataFrame([("X", 1.0, 140.0, -35.0, "extra")],
-                                "HydroCode string, FromDepth double, Longitude double, Latitude double, Other string")
+    raw = spark.createDataFrame([("X", 1.0, 140.0, -35.0, 140.0, "extra")],
+                                "HydroCode string, FromDepth double, Longitude double, Latitude double, code_min_lon double, Other string")
     bag = json.loads(mapping.state_logs(raw, "construction").first()["source_attributes"])
     assert bag == {"HydroCode": "X", "FromDepth": 1.0, "Other": "extra"}
 

@@ -118,6 +118,18 @@ def test_grid_join_equals_brute_force(spark, options):
     assert sorted(map(tuple, got.collect())) == expected
 
 
+def test_carried_text_counts_against_the_broadcast(spark):
+    points, polygons, expected = points_and_polygons(spark)
+    wide = polygons.withColumn("note", F.repeat(F.lit("x"), 20_000)).withColumn("tags", F.array(F.lit(1)))
+    for carried, options in (("note", {"limit": 3_000_000}), ("note", {"limit": 3_000_000, "hot_rows": 100}), ("tags", {})):
+        got = points_in_polygons(points, wide.select("poly", "shape", carried), **options)
+        assert sorted(tuple(r)[:2] for r in got.select("p", "poly").collect()) == expected
+        final = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "strategy=merge" in final
+    narrow = points_in_polygons(points, wide.select("poly", "shape"), limit=3_000_000)
+    assert "strategy=broadcast" in narrow._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_one_polygon_inline_and_large(spark):
     points, _, _ = points_and_polygons(spark)
     rng = random.Random(5)

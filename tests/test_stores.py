@@ -269,8 +269,45 @@ def test_box_query_reaches_the_scan(spark, world):
         assert "GreaterThanOrEqual(point_lon,143.0)" in plan and "LessThanOrEqual(point_lat,-34.0)" in plan
         assert "source_attributes" not in plan and "RefElev" not in plan
     logs = states.boreholes("NSW", bbox=BOX).log_tables["stratigraphy"]
-    plan = logs._jdf.queryExecution().executedPlan().toString()
-    assert "LessThanOrEqual(code_min_lon,144.0)" in plan and "GreaterThanOrEqual(code_max_lat,-36.0)" in plan
+    for logs in (logs, ga.boreholes(bbox=BOX).log_tables["stratigraphy"]):
+        plan = logs._jdf.queryExecution().executedPlan().toString()
+        assert "LessThanOrEqual(code_min_lon,144.0)" in plan and "GreaterThanOrEqual(code_max_lat,-36.0)" in plan
+
+
+def test_a_whole_store_answers_like_its_parts(spark, world):
+    _, store, _, _ = world
+    ga, states, every = queries(world)
+    whole = AllBores.from_store(store)
+    found, want = whole.boreholes(bbox=BOX), every.boreholes(bbox=BOX)
+    assert rows(found.header_table()) == rows(want.header_table())
+    for kind in LOG_KINDS:
+        assert rows(found.log_table(kind)) == rows(want.log_table(kind))
+    assert found.citation() == want.citation()
+    assert whole.national.hydrogeology_citation().startswith("Hydrogeology of Australia, Geoscience Australia, accessed")
+    assert ga.hydrogeology_citation() == "Hydrogeology of Australia, Geoscience Australia."
+    order = [(r["source"], r["row_no"]) for r in found.headers.orderBy("source_ord", "row_no").collect()]
+    assert [(r["source"], r["row_no"]) for i in (0, 3, -1) for r in found.at(i).collect()] == [order[0], order[3], order[-1]]
+    with pytest.raises(ValueError):
+        AllBores.from_store(SnapshotStore(spark, f"{store.root}-none"))
+
+
+def test_new_headers_place_the_national_logs_again(spark, tmp_path):
+    root = f"{tmp_path}/ga"
+    land_national(root)
+    store = SnapshotStore(spark, f"{tmp_path}/store")
+    first = build_national(store, root, now=NOW)
+    assert build_national(store, root, now=NOW + 1)["stratigraphy"].inputFiles() == first["stratigraphy"].inputFiles()
+    page(f"{root}/headers/p3.json", [{"geometry": {"type": "Point", "coordinates": [143.4, -35.1]}, "properties": {"eno": 9}}], 4)
+    tables = build_national(store, root, now=NOW + 2)
+    ga = NationalBores(tables["headers"], {"stratigraphy": tables["stratigraphy"]})
+    assert 9 in {r["eno"] for r in ga.boreholes(bbox=BOX).log_table().collect()}
+
+
+def test_details_of_each_snapshot(world):
+    details = {r["key"]: r for r in world[1].details(now=NOW + 60).collect()}
+    assert len(details) == 12 and details["ga-headers"]["feature_count"] == 3
+    assert all(r["size_bytes"] > 0 and r["age_seconds"] == 60.0 for r in details.values())
+    assert details["ngis-nsw-bores-opt1"]["query"] == '{"service":"ngis","state":"NSW","layer":"bores"}'
 
 
 def test_a_code_with_a_bore_outside_the_box_keeps_its_logs(spark):
