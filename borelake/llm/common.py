@@ -10,8 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from ..config import park
 from ..functions.coerce import quoted
 
+# Bytes of text that a classifier learns from, at most.
+SAMPLE_BYTES = 64 << 20
 # Rows of one Arrow batch that Python holds as objects at a time.
 SLICE_ROWS = 256
 
@@ -59,17 +62,46 @@ def by_slice(
     return plain.mapInArrow(run, numbered).toDF(*schema.names)
 
 
+def bounded_rows(rows: DataFrame, most_rows: int, most_bytes: int = SAMPLE_BYTES, within: str | None = None) -> DataFrame:
+    """At most so many rows, with at most so many bytes of ``text``, of each value of ``within``.
+
+    ``rows``: ``doc_id, text`` and flat columns. Rows are taken by the least hash of id and text, so the
+    choice depends on the rows alone; one that would pass the bytes is left out for later ones. Equal
+    rows count and appear once. Texts do not move before they are chosen: hashes and sizes are written
+    first, thinned by their count to about the bound, and ranked on the driver.
+    """
+    group = quoted(within) if within else F.lit(0)
+    placed = rows.withColumns({"_place": F.xxhash64("doc_id", "text"), "_group": group})
+    sizes = park(
+        placed.groupBy("_group", "_place").agg(F.first(F.octet_length("text")).cast("bigint").alias("_size")), "sample"
+    )
+    totals = sizes.groupBy(F.col("_group").alias("_of")).agg((1.5 * most_rows / F.count(F.lit(1))).alias("_share"))
+    thinned = sizes.join(F.broadcast(totals), F.col("_group").eqNullSafe(F.col("_of"))).where(
+        F.pmod("_place", F.lit(1 << 30)) < F.col("_share") * (1 << 30)
+    ).select("_group", "_place", "_size")
+    chosen, taken = [], {}
+    for group_value, place, size in sorted(map(tuple, thinned.collect()), key=lambda r: r[1]):
+        n, held = taken.get(group_value, (0, 0))
+        if n < most_rows and held + size <= most_bytes:
+            taken[group_value] = (n + 1, held + size)
+            chosen.append((group_value, place))
+    kept = rows.sparkSession.createDataFrame(chosen, f"_in {sizes.schema['_group'].dataType.simpleString()}, _at bigint")
+    mine = (F.col("_place") == F.col("_at")) & F.col("_group").eqNullSafe(F.col("_in"))
+    return placed.join(F.broadcast(kept), mine, "left_semi").drop("_place", "_group").distinct()
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label_col: str, parts: int, held: int, bound: int
 ) -> DataFrame:
-    """``doc_id, text, label`` of at most ``bound`` labelled ids outside the held fold.
+    """``doc_id, text, label`` of at most ``bound`` labelled rows outside the held fold.
 
-    The ids are those of least hash, so the choice depends on the ids alone. A null label or id is
-    no label; of several labels of one id the greatest counts. Only ``bound`` ids are broadcast.
+    The rows are of the ``bound`` labelled ids of least hash, which alone are broadcast; where ids
+    repeat, rows and their bytes are bounded, too. A null label or id is no label; of several labels
+    of one id the greatest counts.
     """
     usable = labels.where(F.col(label_col).isNotNull() & (fold(F.col("doc_id"), parts) != held))
     chosen = (
         usable.groupBy("doc_id").agg(F.max(label_col).cast("int").alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
     )
-    return docs.join(F.broadcast(chosen), "doc_id")
+    return bounded_rows(docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label"), bound)

@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ftrl, line_crf
+from . import ftrl, langid, line_crf
 from .bloom_dedup import duplicate_groups
 from .bpe import decode_ids, encode_texts
 from .chat import canonical, format_chats, read_loss, read_turns
 from .common import table
+from .filter_audit import audit
+from .fim import fim_digests
 from .html_tree import extract
 from .mixing import mix
 from .pieces import token_counts
@@ -209,3 +211,98 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "domain", F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"),
         "n_tokens", "copies",
     )
+
+
+@query("op11_language_id")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op12_fill_in_middle",
+    r"""
+    WITH units AS (
+        SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units,
+            sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+        FROM documents
+    ),
+    hashed AS (
+        SELECT *, len(units) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+            CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4
+        FROM units
+    ),
+    cut AS (
+        SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+            CASE WHEN n = 0 OR regexp_matches(text, '<[PSM]>') OR h3 % 100 >= 100 THEN 'plain'
+                WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+        FROM hashed
+    ),
+    parts AS (
+        SELECT *, coalesce(array_to_string(units[1:a], ''), '') AS p, coalesce(array_to_string(units[a + 1:b], ''), '') AS m,
+            coalesce(array_to_string(units[b + 1:n], ''), '') AS s
+        FROM cut
+    )
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+        CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+        sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+            ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+        sha256(text) AS restored_sha256
+    FROM parts
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim_digests(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op13_filter_audit",
+    r"""
+    WITH said AS (
+        SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS part,
+            regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS words
+        FROM documents
+    ),
+    failed AS (
+        SELECT said.doc_id, part, concat(
+            CASE WHEN len(words) < 100 THEN 'A' END, CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 'B' END,
+            CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) THEN 'C' END,
+            CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' END,
+            CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' END) AS fails
+        FROM said
+    ),
+    marks AS (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id),
+    kinds AS (
+        SELECT part, fails, count(*) AS n, count(*) FILTER (quality = 1) AS good, count(*) FILTER (toxic = 1) AS toxic
+        FROM failed LEFT JOIN marks USING (doc_id) GROUP BY part, fails
+    ),
+    f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+    orders AS (
+        SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM f a, f b, f c, f d, f e
+        WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+    ),
+    steps AS (
+        SELECT filter_order, step, substr(filter_order, step, 1) AS x, substr(filter_order, 1, step - 1) AS before
+        FROM orders, (SELECT CAST(unnest(range(1, 6)) AS INT) AS step)
+    ),
+    placed AS (
+        SELECT part, filter_order, step, x, n, good, toxic, contains(fails, x) AS hit,
+            len(list_intersect(string_split(before, ''), string_split(fails, ''))) > 0 AND before <> '' AND fails <> '' AS gone, fails = x AS alone
+        FROM kinds, steps
+    ),
+    counted AS (
+        SELECT part, filter_order, step, x, coalesce(sum(n) FILTER (NOT gone AND NOT hit), 0) AS kept,
+            coalesce(sum(n) FILTER (hit AND NOT gone), 0) AS removed, coalesce(sum(n) FILTER (hit AND gone), 0) AS redundant,
+            coalesce(sum(n) FILTER (alone), 0) AS unique_fails, coalesce(sum(good) FILTER (hit AND NOT gone), 0) AS good_lost,
+            coalesce(sum(toxic) FILTER (hit AND NOT gone), 0) AS toxic_lost
+        FROM placed GROUP BY ALL
+    )
+    SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+        CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+        CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+        CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+    FROM counted
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
