@@ -25,6 +25,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +35,7 @@ from .common import bounded_rows, by_slice, fold
 
 BITS, GRAMS = 15, 4
 # Rows and bytes of text learned from, over all languages, and languages learned, at most.
-SAMPLE_DOCS, SAMPLE_BYTES, MOST_LANGS = 8_000, 32 << 20, 128
+SAMPLE_DOCS, SAMPLE_BYTES, MOST_LANGS = 4_000, 16 << 20, 128
 COST, EPOCHS = 10.0, 30
 FOLDS, HELD = 4, 2
 UNKNOWN = "und"
@@ -97,21 +98,21 @@ def features(text: str) -> tuple[np.ndarray, np.ndarray] | None:
 def fit(rows: list[tuple[np.ndarray, np.ndarray]], signs: np.ndarray, cost: float = COST, epochs: int = EPOCHS) -> np.ndarray:
     """Weights, the last one the bias, of a linear machine with squared hinge loss (dual coordinate descent)."""
     weights = np.zeros((1 << BITS) + 1)
-    rows = [(np.append(at, 1 << BITS), np.append(x, 1.0).astype(np.float64)) for at, x in rows]
     damp = 1 / (2 * cost)
-    curve = np.array([x @ x + damp for _, x in rows])
+    curve = [float(x @ x) + 1 + damp for _, x in rows]
     alpha = np.zeros(len(rows))
     order = np.random.default_rng(0)
     for _ in range(epochs):
         most = 0.0
         for i in order.permutation(len(rows)):
             at, x = rows[i]
-            slope = signs[i] * (x @ weights[at]) - 1 + damp * alpha[i]
+            slope = signs[i] * (x @ weights[at] + weights[-1]) - 1 + damp * alpha[i]
             fresh = max(alpha[i] - slope / curve[i], 0.0)
-            step = fresh - alpha[i]
+            step = (fresh - alpha[i]) * signs[i]
             if step:
                 alpha[i] = fresh
-                weights[at] += step * signs[i] * x
+                weights[at] += step * x
+                weights[-1] += step
                 most = max(most, abs(step))
         if most < 1e-3:
             break
@@ -182,18 +183,21 @@ def train(docs: DataFrame, families: Mapping[str, str] = FAMILIES) -> Model:
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [features(t) for t in batch.column(0).to_pylist()]
-            kept = [f is not None for f in found]
-            found = [f for f in found if f is not None]
+            whole = batch.column(0).to_pylist()
+            found = [(lang, *f, text) for lang, text in zip(batch.column(1).to_pylist(), whole, strict=True) if (f := features(text))]
             return pa.RecordBatch.from_arrays(
-                [batch.column(1).filter(pa.array(kept)), pa.array([at.tobytes() for at, _ in found], pa.binary()),
-                 pa.array([x.tobytes() for _, x in found], pa.binary())],
-                names=["lang", "at", "x"],
+                [pa.array([lang for lang, *_ in found], pa.string()),
+                 pa.array([xxhash.xxh64_intdigest(text) >> 1 for *_, text in found], pa.int64()),
+                 pa.array([at.tobytes() for _, at, *_ in found], pa.binary()),
+                 pa.array([x.tobytes() for _, _, x, _ in found], pa.binary())],
+                names=["lang", "place", "at", "x"],
             )
 
         return work
 
-    sample = park(by_slice(some.select("text", "lang"), make, "lang string, at binary, x binary"), "language-sample")
+    sample = park(
+        by_slice(some.select("text", "lang"), make, "lang string, place bigint, at binary, x binary"), "language-sample"
+    )
     # Each machine gets the rows of its problem, with the side they are on.
     sides: dict[str, list[tuple[str, str, int]]] = {lang: [] for lang in langs}
     for family, inside in members.items():
@@ -208,9 +212,12 @@ def train(docs: DataFrame, families: Mapping[str, str] = FAMILIES) -> Model:
     )
 
     def machine(rows: pa.Table) -> pa.Table:
-        drawn = sorted(zip(*(rows.column(c).to_pylist() for c in ("at", "x", "side")), strict=True))
-        each = [(np.frombuffer(at, np.uint16).astype(np.int64), np.frombuffer(x, np.float32)) for at, x, _ in drawn]
-        weights = fit(each, np.array([side for *_, side in drawn], np.float64)).astype(np.float32)
+        rows = rows.sort_by([("place", "ascending"), ("side", "ascending")])
+        signs = rows.column("side").to_numpy().astype(np.float64)
+        # Views of the received bytes, so that a machine costs no more than its sample.
+        found = zip(*(rows.column(c).combine_chunks() for c in ("at", "x")), strict=True)
+        each = [(np.frombuffer(at.as_buffer(), np.uint16), np.frombuffer(x.as_buffer(), np.float32)) for at, x in found]
+        weights = fit(each, signs).astype(np.float32)
         return pa.table({
             "one": rows.column("one")[:1], "other": rows.column("other")[:1], "weights": pa.array([weights.tobytes()], pa.binary())
         })
