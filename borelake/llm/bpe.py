@@ -4,7 +4,9 @@ Two tiers. A minimal perfect hash (hash and displace) answers in one probe wheth
 pre-token is in the vocabulary. A pre-token that is not is merged by rank with a heap over linked
 byte spans, in O(n log n) for any length. What a task has encoded it remembers, up to a bound.
 
-The rank file (under a megabyte) is read once on the driver and broadcast; documents never shuffle.
+The rank file (under a megabyte) is read once on the driver, which also builds the perfect hash; both
+are broadcast, and documents never shuffle. ``encode_checked`` encodes, decodes and compares in one
+pass, so that neither a text nor its decoded bytes travel back.
 
 Defined results: a null or empty text has no ids; repeated rows and ids, and null ids, are encoded
 row by row; further columns are dropped unless named in ``keep``; an empty table gives no rows.
@@ -13,22 +15,24 @@ row by row; further columns are dropped unless named in ``keep``; an empty table
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import struct
+from array import array
 from collections.abc import Sequence
 from functools import lru_cache
 
 import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.coerce import quoted
 from .common import by_slice
 
-# Distinct pre-tokens a task remembers before it starts afresh.
-MEMO_SIZE = 1 << 18
+# Pre-tokens a task remembers before it starts afresh, of at most so many characters (about 40 MB).
+MEMO_SIZE, MEMO_CHARS = 1 << 17, 32
 _KEYS_PER_BUCKET = 4
 _EMPTY = -1
 
@@ -36,13 +40,28 @@ _EMPTY = -1
 class PerfectHash:
     """A minimal perfect hash over byte strings: as many slots as keys, one probe a lookup."""
 
-    def __init__(self, keys: Sequence[bytes]):
-        """``keys``: distinct; the slot of a key holds its index in ``keys``."""
+    def __init__(self, keys: Sequence[bytes], built: tuple[bytes, bytes] | None = None):
+        """``keys``: distinct; the slot of a key holds its index in ``keys``.
+
+        ``built``: the tables of an equal one, as ``tables`` gives them.
+        """
         self.n = len(keys)
         self.buckets = max(1, -(-self.n // _KEYS_PER_BUCKET))
-        self.shift = [0] * self.buckets
-        self.slots: list[int] = [_EMPTY] * self.n
         self.keys = list(keys)
+        self.shift, self.slots = array("q"), array("q")
+        if built:
+            self.shift.frombytes(built[0])
+            self.slots.frombytes(built[1])
+        else:
+            self._build()
+
+    @property
+    def tables(self) -> tuple[bytes, bytes]:
+        return self.shift.tobytes(), self.slots.tobytes()
+
+    def _build(self) -> None:
+        self.shift.extend([0] * self.buckets)
+        self.slots.extend([_EMPTY] * self.n)
         groups: list[list[tuple[int, int, int]]] = [[] for _ in range(self.buckets)]
         for index, key in enumerate(self.keys):
             bucket, base, step = self._hashes(key)
@@ -112,46 +131,121 @@ def merge_spans(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
+def _pairs(lines: bytes) -> dict[bytes, int]:
+    """Token to rank."""
+    pairs = (line.split() for line in lines.splitlines() if line.strip())
+    return {base64.b64decode(token): int(rank) for token, rank in pairs}
+
+
+class Decoder:
+    """Ids to bytes: a list of tokens by rank, no more."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.tokens: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
+        for token, rank in ranks.items():
+            self.tokens[rank] = token
+
+    def decode(self, ids: bytes) -> bytes:
+        """The bytes that little-endian unsigned 32-bit ids stand for; ``KeyError`` for an unknown id."""
+        numbers = memoryview(ids).cast("I").tolist()
+        try:
+            return b"".join(map(self.tokens.__getitem__, numbers))
+        except (IndexError, TypeError):
+            strange = next(n for n in numbers if n >= len(self.tokens) or self.tokens[n] is None)
+            raise KeyError(strange) from None
+
+
 class Encoder(dict):
     """Pre-token to its ids as little-endian unsigned 32-bit bytes; works out what it lacks."""
 
-    def __init__(self, lines: bytes, pattern: str):
+    def __init__(self, lines: bytes, pattern: str, built: tuple[bytes, bytes] | None = None):
         super().__init__()
-        pairs = [line.split() for line in lines.splitlines() if line.strip()]
-        self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
-        self.vocabulary = PerfectHash(list(self.ranks))
-        self.whole = [struct.pack("<I", rank) for rank in self.ranks.values()]
-        self.tokens = {rank: token for token, rank in self.ranks.items()}
+        self.ranks = _pairs(lines)
+        self.vocabulary = PerfectHash(list(self.ranks), built)
+        self.rank_of = array("I", self.ranks.values())
+        self.decoder = Decoder(self.ranks)
+        self.tokens = self.decoder.tokens
         self.split = regex.compile(pattern).findall
 
     def __missing__(self, token: str) -> bytes:
         piece = token.encode()
         index = self.vocabulary.get(piece)
         if index != _EMPTY:
-            ids = self.whole[index]
+            ids = struct.pack("<I", self.rank_of[index])
         else:
             merged = merge_spans(piece, self.ranks)
             ids = struct.pack(f"<{len(merged)}I", *merged)
-        self[token] = ids
+        if len(token) <= MEMO_CHARS:
+            if len(self) >= MEMO_SIZE:
+                self.clear()
+            self[token] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
-        if len(self) > MEMO_SIZE:
-            self.clear()
         return b"".join(map(self.__getitem__, self.split(text)))
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, memoryview(ids).cast("I").tolist()))
+        return self.decoder.decode(ids)
+
+
+@lru_cache(maxsize=2)
+def _built(lines: bytes) -> tuple[bytes, bytes]:
+    return PerfectHash(list(_pairs(lines))).tables
+
+
+@lru_cache(maxsize=2)
+def _encoder(lines: bytes, pattern: str, built: tuple[bytes, bytes]) -> Encoder:
+    return Encoder(lines, pattern, built)
 
 
 @lru_cache(maxsize=2)
-def _encoder(lines: bytes, pattern: str) -> Encoder:
-    return Encoder(lines, pattern)
+def _decoder(lines: bytes) -> Decoder:
+    return Decoder(_pairs(lines))
 
 
-def _shared_lines(spark: SparkSession, path: str):
+def _lines(path: str) -> bytes:
     with open(path, "rb") as file:
-        return spark.sparkContext.broadcast(file.read())
+        return file.read()
+
+
+def _kept(df: DataFrame, keep: Sequence[str], value: Column) -> DataFrame:
+    return df.select(*[quoted(c) for c in keep], value.alias("_value"))
+
+
+def encode_checked(
+    df: DataFrame, path: str, pattern: str, text_col: str = "text", keep: Sequence[str] = ("doc_id",)
+) -> DataFrame:
+    """``keep`` columns and ``n_tokens long, ids binary, decoded_sha256 string, round_trip boolean`` per row.
+
+    The ids are decoded where they were made: ``decoded_sha256`` is of the bytes they stand for, and
+    ``round_trip`` tells whether those are the text's.
+    """
+    lines = _lines(path)
+    shared = df.sparkSession.sparkContext.broadcast((lines, _built(lines)))
+    source = _kept(df, keep, F.coalesce(quoted(text_col), F.lit("")))
+    schema = source.drop("_value").schema
+    for name, kind in (("n_tokens", "long"), ("ids", "binary"), ("decoded_sha256", "string"), ("round_trip", "boolean")):
+        schema = schema.add(name, kind)
+
+    def make():
+        lines, built = shared.value
+        encoder = _encoder(lines, pattern, built)
+
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            found, digests, same = [], [], []
+            for text in batch.column(batch.num_columns - 1).to_pylist():
+                ids = encoder.encode(text)
+                back = encoder.decode(ids)
+                found.append(ids)
+                digests.append(hashlib.sha256(back).hexdigest())
+                same.append(back == text.encode())
+            columns = [*batch.columns[:-1], pa.array([len(x) // 4 for x in found], pa.int64()), pa.array(found, pa.binary()),
+                       pa.array(digests, pa.string()), pa.array(same, pa.bool_())]
+            return pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+        return work
+
+    return by_slice(source, make, schema)
 
 
 def encode_texts(
@@ -162,16 +256,14 @@ def encode_texts(
     ``path``: a rank file of base64 tokens, readable by the driver; ``pattern``: the expression
     whose matches are encoded one by one. No text is an added or special token.
     """
-    spark = df.sparkSession
-    lines = _shared_lines(spark, path)
-    source = df.select(
-        *[quoted(c) for c in keep], F.coalesce(quoted(text_col), F.lit("")).alias("_text")
-    )
-    kept = source.drop("_text").schema
-    schema = kept.add("n_tokens", "long").add("ids", "binary")
+    lines = _lines(path)
+    shared = df.sparkSession.sparkContext.broadcast((lines, _built(lines)))
+    source = _kept(df, keep, F.coalesce(quoted(text_col), F.lit("")))
+    schema = source.drop("_value").schema.add("n_tokens", "long").add("ids", "binary")
 
     def make():
-        encoder = _encoder(lines.value, pattern)
+        lines, built = shared.value
+        encoder = _encoder(lines, pattern, built)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             ids = [encoder.encode(text) for text in batch.column(batch.num_columns - 1).to_pylist()]
@@ -189,18 +281,15 @@ def decode_ids(df: DataFrame, path: str, ids_col: str = "ids", keep: Sequence[st
 
     Null ids give no bytes; an id that the file lacks raises ``KeyError``.
     """
-    spark = df.sparkSession
-    lines = _shared_lines(spark, path)
-    source = df.select(
-        *[quoted(c) for c in keep], F.coalesce(quoted(ids_col), F.lit(b"")).alias("_ids")
-    )
-    schema = source.drop("_ids").schema.add("decoded", "binary")
+    shared = df.sparkSession.sparkContext.broadcast(_lines(path))
+    source = _kept(df, keep, F.coalesce(quoted(ids_col), F.lit(b"")))
+    schema = source.drop("_value").schema.add("decoded", "binary")
 
     def make():
-        encoder = _encoder(lines.value, "")
+        decoder = _decoder(shared.value)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            out = [encoder.decode(ids) for ids in batch.column(batch.num_columns - 1).to_pylist()]
+            out = [decoder.decode(ids) for ids in batch.column(batch.num_columns - 1).to_pylist()]
             return pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(out, pa.binary())], names=schema.names
             )

@@ -1,22 +1,29 @@
 """Main text of web pages by tree scoring.
 
-A page becomes a tree of elements. Elements that are never article text (scripts, menus, headers,
-footers, asides, forms, hidden parts, and parts whose class, id or role names an advert, notice,
-sidebar or reader comments) are left out. Every run of text between block boundaries is a block. A
-paragraph passes points for its length and its commas to its parent, fewer to each further
-ancestor; a container's points shrink by the share of its text that is links. The best container is
-kept, widened to the ``article`` or ``main`` element around it, along with siblings that score a
-fifth of it or read like running text. Their blocks, in page order, are the text.
-
-Nothing is cut: pages of any size and depth are walked without recursion. Defined results: a null or
-empty page, or one with boilerplate alone, gives an empty text; repeated rows and ids give a row each;
-null ids and addresses stay null; other columns are ignored; an empty table gives no rows.
+A page becomes a tree of elements. Elements that are never article text by their tag, role or being
+hidden (scripts, menus, headers, footers, asides, forms) are left out. Every run of text between block
+boundaries is a block. A paragraph passes points for its length and its commas to its parent, half of
+them to the next ancestor and so on; a container's points shrink by the share of its text that is
+links. The best container is kept, widened to the ``article`` or ``main`` element around it, along with
+siblings that score a fifth of it or read like running text. Their blocks, in page order, are the text.
+
+A class or id leaves an element out only where one of its tokens names boilerplate as a whole: every
+part of the token is a word for boilerplate or for layout (``ad``, ``site-footer``, ``related-posts``,
+but not ``has-sidebar``, ``related-work`` or ``notice-period``). On a page without an ``article`` or ``main``
+element elsewhere, an element that holds most of the running text is kept in spite of its name, unless
+that is one of adverts, consent or reader comments.
+
+Nothing is cut: pages of any size and depth are walked without recursion, in time linear in the page.
+Defined results: a null or empty page, or one with boilerplate alone, gives an empty text; repeated rows
+and ids give a row each; null ids and addresses stay null; other columns are ignored; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,16 +49,25 @@ CLOSES = {
     "td": (("td", "th"), ("table",)), "th": (("td", "th"), ("table",)), "tr": (("tr",), ("table",)),
     "tbody": (("tbody", "thead", "tfoot"), ("table",)), "option": (("option",), ("select",)),
 }
+P_SCOPE = ("table", "td", "th", "button", "object")
 CONTAINERS = frozenset(("article", "main"))
 WHOLE = frozenset(("html", "body", "article", "main", "#root"))
 
-# Words of a class or id, and roles, of parts that are not article text.
-UNLIKELY = frozenset(
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored banner cookie cookies consent gdpr "
-    "notice notices alert sidebar nav navbar navigation menu menus breadcrumb breadcrumbs footer masthead "
-    "comment comments disqus reply replies respond share sharing social related recommended newsletter "
-    "subscribe subscription signup login popup modal overlay promo promotion toolbar pager pagination "
-    "widget copyright hidden skip teaser".split()
+# Words of a class or id, and roles, of parts that are not article text; words for layout.
+NEVER = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored cookie cookies consent gdpr "
+    "comment comments disqus reply replies respond".split()
+)
+UNLIKELY = NEVER | frozenset(
+    "banner notice notices alert sidebar nav navbar navigation menu menus breadcrumb breadcrumbs footer masthead "
+    "share sharing social related recommended newsletter subscribe subscription signup login popup modal "
+    "overlay promo promotion toolbar pager pagination widget copyright hidden skip teaser".split()
+)
+LAYOUT = frozenset(
+    "site page main global top bottom left right center inner outer box block list item items area section "
+    "container wrapper wrap bar panel column col row primary secondary header button buttons link links content "
+    "text body post posts article articles user reader form title label icon icons inline mobile desktop sticky "
+    "fixed thread slot unit zone".split()
 )
 PAGE_HEADERS = frozenset(("header", "site-header", "page-header", "siteheader", "pageheader", "top-bar", "topbar"))
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
@@ -66,70 +82,103 @@ _TOKEN = re.compile(
     re.S | re.I,
 )
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
-_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
+_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
+
+
+# How sure a name is that an element is not article text.
+LIKELY, NAMED, CERTAIN = range(3)
+PARAGRAPHS = frozenset(("p", "pre", "blockquote"))
 
 
 class Node:
-    """An element, with the text of its blocks counted for scoring."""
+    """An element. ``up`` is the nearest block element around it; ``named`` what its class or id says."""
 
-    __slots__ = ("tag", "parent", "skip", "score", "chars", "linked", "in_link")
+    __slots__ = ("tag", "up", "skip", "named", "in_link", "inside", "chars", "linked", "points", "gone", "kept")
 
-    def __init__(self, tag: str, parent: Node | None, skip: bool):
-        self.tag, self.parent, self.skip = tag, parent, skip
+    def __init__(self, tag: str, parent: Node | None, skip: bool, named: int):
+        self.tag, self.skip, self.named = tag, skip, named
+        self.up = None if parent is None else parent.up if parent.tag in INLINE else parent
         self.in_link = tag == "a" or parent is not None and parent.in_link
-        self.score = 0.0
+        self.inside = tag in CONTAINERS or parent is not None and parent.inside
         self.chars = self.linked = 0
+        self.points = 0.0
+        self.gone = self.kept = False
 
 
 class Block:
     """A run of text between two block boundaries."""
 
-    __slots__ = ("owner", "parts", "linked")
+    __slots__ = ("owner", "parts", "linked", "text")
 
     def __init__(self, owner: Node):
-        self.owner, self.parts, self.linked = owner, [], 0
+        self.owner, self.parts, self.linked, self.text = owner, [], 0, ""
+
 
+def token_names(token: str) -> int:
+    """Whether a class or id token as a whole names boilerplate, and how surely."""
+    parts = [w.lower() for w in _PART.findall(token)]
+    if not parts or not all(w in UNLIKELY or w in LAYOUT or w.isdigit() for w in parts):
+        return LIKELY
+    return CERTAIN if NEVER.intersection(parts) else NAMED if UNLIKELY.intersection(parts) else LIKELY
 
-def _unlikely(tag: str, attrs: str, in_container: bool) -> bool:
-    """Whether an element names itself as something other than article text."""
+
+def _judged(tag: str, attrs: str, inside: bool) -> tuple[bool, int]:
+    """Whether an element is left out for good, and what its class and id name it."""
+    named = LIKELY
     if tag in DROPPED:
-        return True
+        return True, named
     if not attrs or attrs.isspace():
-        return False
+        return False, named
     for name, *values in _ATTRIBUTE.findall(attrs):
         name, value = name.lower(), next(filter(None, values), "")
         if name in ("class", "id"):
             if tag in WHOLE and tag != "article":
                 continue
-            if any(word.lower() in UNLIKELY for word in _WORD.findall(value)):
-                return True
-            if not in_container and tag != "article" and PAGE_HEADERS.intersection(value.lower().split()):
-                return True
+            tokens = value.split()
+            named = max([named, *map(token_names, tokens)])
+            if not inside and tag != "article" and PAGE_HEADERS.intersection(t.lower() for t in tokens):
+                named = max(named, NAMED)
         elif name == "role" and value.lower() in ROLES:
-            return True
+            return True, named
         elif tag not in WHOLE and (
             name == "hidden" or name == "aria-hidden" and value.lower() == "true"
             or name == "style" and "display:none" in value.lower().replace(" ", "")
         ):
-            return True
-    return False
+            return True, named
+    return False, named
+
+
+class _Stack(list):
+    """Open elements, innermost last, and where those of each tag lie."""
+
+    def __init__(self, root: Node):
+        super().__init__()
+        self.places: defaultdict[str, list[int]] = defaultdict(list)
+        self.push(root)
+
+    def push(self, node: Node) -> None:
+        self.places[node.tag].append(len(self))
+        self.append(node)
 
+    def innermost(self, *tags: str) -> int:
+        return max((self.places[t][-1] for t in tags if self.places[t]), default=-1)
 
-def _close(stack: list[Node], tags: tuple[str, ...], scope: tuple[str, ...]) -> bool:
-    """Closes the innermost open element of ``tags`` unless one of ``scope`` is nearer."""
-    for at in range(len(stack) - 1, 0, -1):
-        if stack[at].tag in tags:
-            del stack[at:]
-            return True
-        if stack[at].tag in scope:
-            break
-    return False
+    def cut(self, at: int) -> None:
+        while len(self) > at:
+            self.places[self.pop().tag].pop()
+
+    def close(self, tags: tuple[str, ...], scope: tuple[str, ...]) -> None:
+        """Closes the innermost open element of ``tags`` unless one of ``scope`` is nearer."""
+        at = self.innermost(*tags)
+        if at > self.innermost(*scope):
+            self.cut(at)
 
 
 def blocks_of(page: str) -> tuple[list[Block], list[Node]]:
-    """The page's text blocks outside dropped elements, and all block elements, in page order."""
-    root = Node("#root", None, False)
-    stack, blocks, nodes = [root], [], [root]
+    """The page's text blocks outside skipped elements, and all block elements, in page order."""
+    root = Node("#root", None, False, LIKELY)
+    stack, blocks, nodes = _Stack(root), [], [root]
+    barrier = [0]  # where the open block elements lie
     current: Block | None = None
     for token in _TOKEN.finditer(page):
         text = token["text"]
@@ -140,10 +189,7 @@ def blocks_of(page: str) -> tuple[list[Block], list[Node]]:
             if current is None:
                 if text.isspace():
                     continue
-                owner = top
-                while owner.tag in INLINE:
-                    owner = owner.parent
-                current = Block(owner)
+                current = Block(top.up if top.tag in INLINE else top)
                 blocks.append(current)
             current.parts.append(text)
             if top.in_link:
@@ -156,87 +202,100 @@ def blocks_of(page: str) -> tuple[list[Block], list[Node]]:
         if tag not in INLINE and tag != "br":
             current = None
         if token["close"]:
-            inline = tag in INLINE
-            for at in range(len(stack) - 1, 0, -1):
-                if stack[at].tag == tag:
-                    del stack[at:]
-                    break
-                if inline and stack[at].tag not in INLINE:
-                    break
-            continue
-        if tag == "br":
+            at = stack.innermost(tag)
+            if at > (barrier[-1] if tag in INLINE else 0):
+                stack.cut(at)
+        elif tag == "br":
             if current is not None:
                 current.parts.append(" ")
-            continue
-        if tag not in INLINE:
-            _close(stack, ("p",), ("table", "td", "th", "button", "object"))
-            if tag in CLOSES:
-                _close(stack, *CLOSES[tag])
-        attrs = token["attrs"]
-        if tag in VOID:
-            continue
-        parent = stack[-1]
-        skip = parent.skip or _unlikely(tag, attrs, any(n.tag in CONTAINERS for n in stack) if attrs else False)
-        node = Node(tag, parent, skip)
-        stack.append(node)
-        if tag not in INLINE:
-            nodes.append(node)
+        else:
+            if tag not in INLINE:
+                stack.close(("p",), P_SCOPE)
+                if tag in CLOSES:
+                    stack.close(*CLOSES[tag])
+            if tag not in VOID:
+                parent, attrs = stack[-1], token["attrs"]
+                skip, named = (True, LIKELY) if parent.skip else _judged(tag, attrs, parent.inside)
+                node = Node(tag, parent, skip, named)
+                if tag not in INLINE:
+                    nodes.append(node)
+                stack.push(node)
+        while barrier[-1] >= len(stack):
+            barrier.pop()
+        if stack[-1].tag not in INLINE and barrier[-1] != len(stack) - 1:
+            barrier.append(len(stack) - 1)
     return blocks, nodes
 
 
-def _is_within(node: Node | None, kept: set[Node]) -> bool:
-    while node is not None:
-        if node in kept:
-            return True
-        node = node.parent
-    return False
+def _weigh(blocks: list[Block], nodes: list[Node]) -> None:
+    """Adds up each element's characters and points, from its blocks and then once from each element
+    to the one around it."""
+    for node in nodes:
+        node.chars = node.linked = 0
+        node.points = 0.0
+    for block in blocks:
+        owner = block.owner
+        if owner.gone:
+            continue
+        owner.chars += len(block.text)
+        owner.linked += min(block.linked, len(block.text))
+        if not (owner.tag.startswith("h") or owner.tag == "li"):
+            scores = owner.up if owner.tag in PARAGRAPHS else owner
+            scores.points += 1.0 + block.text.count(",") + min(len(block.text) // 100, 3)
+    for node in reversed(nodes):
+        if node.up is not None and not node.gone:
+            node.up.chars += node.chars
+            node.up.linked += node.linked
+            node.up.points += node.points / 2
+
+
+def _score(node: Node) -> float:
+    return node.points * (1 - node.linked / node.chars)
 
 
 def main_text(page: str) -> str:
     """The article of a page: its blocks, a line each."""
-    found, nodes = blocks_of(page)
-    blocks = []
-    for block in found:
-        text = " ".join(html.unescape("".join(block.parts)).split())
-        if text:
-            blocks.append((block, text))
-    for block, text in blocks:
-        points = 1.0 + text.count(",") + min(len(text) // 100, 3)
-        share = min(1.0, block.linked / len(text))
-        counts = not block.owner.tag.startswith("h") and block.owner.tag != "li"
-        node, level = block.owner, 0
-        if node.tag in ("p", "pre", "blockquote"):
-            node.chars += len(text)
-            node.linked += block.linked
-            node.score += points * (1 - share)
-            node = node.parent
-        while node is not None:
-            node.chars += len(text)
-            node.linked += block.linked
-            if counts:
-                node.score += points / (1 if level == 0 else 2 if level == 1 else 3 * level)
-            node, level = node.parent, level + 1
-    scored = {n: n.score * (1 - min(1.0, n.linked / n.chars)) for n in nodes if n.chars and n.tag not in ("p", "pre", "blockquote")}
-    best = max(scored, key=scored.get, default=None)
+    blocks, nodes = blocks_of(page)
+    for block in blocks:
+        block.text = " ".join(html.unescape("".join(block.parts)).split())
+    blocks = [b for b in blocks if b.text]
+    if any(n.named for n in nodes):
+        _weigh(blocks, nodes)
+        for node in nodes:
+            node.kept = node.named == LIKELY and (node.up is None or node.up.kept)
+        # Where no article or main element is left, most of the running text stays.
+        running = nodes[0].chars - nodes[0].linked
+        if any(n.kept and n.chars and n.tag in CONTAINERS for n in nodes):
+            running = 2 * running
+        for node in nodes:
+            most = 2 * (node.chars - node.linked) > running
+            outer = node.up is not None and node.up.gone
+            node.gone = outer or node.named == CERTAIN or node.named == NAMED and not most
+            node.kept = False
+    _weigh(blocks, nodes)
+    able = [n for n in nodes if n.chars and not n.gone and n.tag not in PARAGRAPHS]
+    best = max(able, key=_score, default=None)
     if best is None:
         return ""
-    if scored[best] == 0:
-        best = next((n for n in scored if n.tag in CONTAINERS), best)
+    if _score(best) == 0:
+        best = next((n for n in able if n.tag in CONTAINERS), best)
     around, node = None, best
     while node is not None:
         if node.tag == "article" or node.tag == "main" and around is None:
             around = node
-        node = node.parent
+        node = node.up
     best = around or best
-    floor = scored[best] / 5
-    kept = {best}
+    floor = _score(best) / 5
+    best.kept = True
     for node in nodes:
-        if node is not best and node.chars and best.parent is not None and node.parent is best.parent:
-            density = node.linked / node.chars
-            running = node.tag == "p" and node.chars > 80 and density < 0.25
-            if running or scored.get(node, 0.0) >= floor:
-                kept.add(node)
-    return "\n".join(text for block, text in blocks if _is_within(block.owner, kept))
+        if node.gone:
+            continue
+        if node.up is not None and node.up.kept:
+            node.kept = True
+        elif node.chars and best.up is not None and node.up is best.up and not node.kept:
+            reads_on = node.tag == "p" and node.chars > 80 and node.linked < 0.25 * node.chars
+            node.kept = reads_on or node.tag not in PARAGRAPHS and _score(node) >= floor
+    return "\n".join(b.text for b in blocks if b.owner.kept and not b.owner.gone)
 
 
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

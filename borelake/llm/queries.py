@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from . import ftrl, langid, line_crf
 from .bloom_dedup import duplicate_groups
-from .bpe import decode_ids, encode_texts
+from .bpe import encode_checked
 from .chat import canonical, format_chats, read_loss, read_turns
 from .common import table
 from .filter_audit import audit
@@ -55,11 +55,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_byte_bpe")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = encode_texts(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
-    decoded = decode_ids(encoded, RANKS, keep=("doc_id", "n_tokens", "ids"))
-    return decoded.select(
-        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
-    )
+    encoded = encode_checked(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+    return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "decoded_sha256")
 
 
 @query("op4_token_counts")

@@ -14,7 +14,8 @@
 
 Defined results: a null or empty text has fingerprint zero and is linked like any other; the
 component id is the least non-null id, null if there is none; repeated rows and ids give a row each;
-other columns are ignored (``keep_one`` carries them); an empty table gives no rows.
+other columns are ignored; an empty table gives no rows. ``keep_one`` carries all columns and keeps
+exactly one row of each component.
 """
 
 from __future__ import annotations
@@ -30,7 +31,8 @@ from pyspark.sql import functions as F
 
 from ..config import park
 from ..functions.coerce import quoted
-from .common import by_slice, texts
+from ..operators.hot_keys import spread_join
+from .common import by_slice
 
 NODE_LIMIT = 1 << 15
 LEAF, FAN = 16, 8
@@ -69,18 +71,21 @@ def fingerprint(text: str, size: int = 3) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0])
 
 
-def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
-    """``doc_id, fp bigint`` of every row; no shuffle."""
-    docs = texts(df, id_col, text_col)
+def fingerprints(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """``doc_id, fp bigint`` of every row, and the columns of ``keep``; no shuffle."""
+    docs = df.select(quoted(id_col).alias("doc_id"), *[quoted(c) for c in keep], F.coalesce(quoted(text_col), F.lit("")).alias("text"))
+    schema = docs.drop("text").schema.add("fp", "long")
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [fingerprint(text, size) for text in batch.column(1).to_pylist()]
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], names=["doc_id", "fp"])
+            found = [fingerprint(text, size) for text in batch.column(batch.num_columns - 1).to_pylist()]
+            return pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.int64())], names=schema.names)
 
         return work
 
-    return by_slice(docs, make, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp bigint")
+    return by_slice(docs, make, schema)
 
 
 def gray_rank(fp: Column) -> Column:
@@ -258,21 +263,25 @@ def components(links: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
 
 
+def _classes(docs: DataFrame, distance: int, limit: int) -> DataFrame:
+    """``fp, root, component_id`` of every distinct fingerprint of ``doc_id, fp``; written once."""
+    distinct = docs.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    found = components(close_links(distinct.select("fp"), distance, limit)).withColumnRenamed("node", "fp")
+    joined = found.join(distinct, "fp")
+    lowest = joined.groupBy("root").agg(F.min("least").alias("component_id"))
+    linked = found.join(lowest, "root").select("fp", "root", "component_id")
+    return park(distinct.join(linked, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "least").alias("component_id")
+    ), "near-classes")
+
+
 def near_groups(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, distance: int = 2,
     limit: int = NODE_LIMIT,
 ) -> DataFrame:
     """``doc_id, fingerprint (16 hex digits), component_id`` of every row."""
     docs = park(fingerprints(df, id_col, text_col, size), "fingerprints")
-    distinct = docs.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    found = components(close_links(distinct.select("fp"), distance, limit)).withColumnRenamed("node", "fp")
-    joined = found.join(distinct, "fp")
-    lowest = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    linked = found.join(lowest, "root").select("fp", "component_id")
-    classes = distinct.join(linked, "fp", "left").select(
-        "fp", F.coalesce("component_id", "least").alias("component_id")
-    )
-    return docs.join(classes, "fp").select(
+    return spread_join(docs, _classes(docs, distance, limit), ["fp"]).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
@@ -280,7 +289,29 @@ def near_groups(
 def keep_one(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, distance: int = 2
 ) -> DataFrame:
-    """The rows whose id is their component's; all columns stay. Rows without an id stay, too."""
-    groups = near_groups(df, id_col, text_col, size, distance)
-    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return df.join(park(gone, "near-copies"), quoted(id_col) == F.col("_gone"), "left_anti")
+    """One row of each component, with all its columns: that of the least id, null ids counting as the
+    largest; of several texts with that id the one of least digest, of equal rows any one.
+
+    A row is told from others by its id and text together, so no text goes because another one shares
+    its id. Rows alone in their component, and all others' whole texts, do not shuffle while the keys
+    to remove fit a broadcast.
+    """
+    name = F.concat(F.coalesce(quoted(id_col).cast("string"), F.lit("none")), F.lit(":"), F.coalesce(quoted(text_col), F.lit("")))
+    keyed = df.select(
+        quoted(id_col).alias("doc_id"), quoted(text_col).alias("text"), F.sha2(name, 256).alias("key"),
+        F.struct(*[quoted(c) for c in df.columns]).alias("row"),
+    )
+    docs = park(fingerprints(keyed, size=size, keep=("key",)), "fingerprints")
+    rooted = spread_join(docs, _classes(docs, distance, NODE_LIMIT).select("fp", "root"), ["fp"]).drop("fp")
+    several = rooted.groupBy("root").agg(F.count(F.lit(1)).alias("_n"), F.min("doc_id").alias("_least")).where("_n > 1")
+    contested = park(spread_join(rooted, park(several, "several"), ["root"]), "contested")
+    firsts = contested.where(F.col("doc_id").eqNullSafe(F.col("_least"))).groupBy("root").agg(F.min("key").alias("_first"))
+    judged = spread_join(contested.select("root", "key"), park(firsts, "firsts"), ["root"])
+    gone = park(judged.where("key <> _first").select("key").distinct(), "near-copies")
+    repeated = judged.where("key = _first").groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    repeated = park(repeated.select("key"), "repeated-rows")
+    left = spread_join(keyed.select("key", "row"), gone, ["key"], "left_anti")
+    if repeated.isEmpty():
+        return left.select("row.*")
+    once = spread_join(left, repeated, ["key"], "left_semi").groupBy("key").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return spread_join(left, repeated, ["key"], "left_anti").select("row").unionByName(once.select("row")).select("row.*")

@@ -3,30 +3,39 @@
 A k-mer of code points is kept when the least of its inner s-mers (by hash) stands first or last in
 it. That depends on the k-mer alone, so an unchanged passage keeps its anchors whatever is edited
 around it. At least one of any ``k - s`` neighbouring k-mers is kept, so passages of ``2k - s - 1``
-code points or more always hold an anchor. ``anchors`` gives them all with their positions; a fingerprint is the ``SKETCH`` least anchor hashes of the whole text, from which the
-share of common anchors of two texts is estimated.
+code points or more always hold an anchor. ``anchors`` gives them all with their positions.
 
-A text with no anchor (shorter than about two k-mers) has one: the hash of the whole text. An empty
-text has none; two empty fingerprints are alike (1.0), an empty and another one are not (0.0).
+A fingerprint is the ``SKETCH`` least anchor hashes of the whole text, in the order in which they first
+occur. Two texts are matched by position: of the anchors common to both, the longest run that both
+hold in the same order counts, as a share of all anchors of either.
+
+Defined results: a text with no anchor (shorter than about two k-mers) has one, the hash of the whole
+text; a null or empty text has none; two empty fingerprints are alike (1.0), an empty and another one
+are not (0.0). Equal texts have equal fingerprints. Repeated rows and ids, and null ids, give a row
+each; ids may lie anywhere in the range of their type; other columns, whatever their names, are
+ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..config import park
 from .common import by_slice, slices, texts
 
 K, S = 14, 6
 # Anchor hashes a fingerprint holds, each of 32 bits.
 SKETCH = 128
-# Cells of equal id width that are counted to cut the id order into parts of equal rows.
-CELLS = 1 << 15
+# Parts of the id order per shuffle partition, and rows that the driver looks at per part to cut it.
+PARTS, LOOKED_AT = 4, 40
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -92,25 +101,32 @@ def syncmers(text: str, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]
 
 
 def sketch(hashes: np.ndarray, size: int = SKETCH) -> np.ndarray:
-    """The ``size`` least distinct 32-bit hashes, ascending."""
+    """The ``size`` least distinct 32-bit hashes, in the order in which they first occur."""
     short = (hashes >> np.uint64(32)).astype(np.uint32)
-    if len(short) > 4 * size:  # repeats may hide behind equal values, so widen until enough differ
-        take = 2 * size
-        while take < len(short):
-            found = np.unique(np.partition(short, take)[: take + 1])
-            if len(found) >= size:
-                return found[:size]
-            take *= 4
-    return np.unique(short)[:size]
+    at, take = np.arange(len(short)), 2 * size
+    while take < len(short):  # repeats may hide behind equal values, so widen until enough differ
+        at = np.flatnonzero(short <= np.partition(short, take)[take])
+        if len(np.unique(short[at])) >= size:
+            break
+        at, take = np.arange(len(short)), take * 4
+    least, first = np.unique(short[at], return_index=True)
+    return least[:size][np.argsort(first[:size])]
 
 
 def alike(a: np.ndarray, b: np.ndarray, size: int = SKETCH) -> float:
-    """The estimated share of common anchors among all anchors of two texts, 0 to 1."""
+    """The estimated share of anchors that two texts hold in the same order, 0 to 1."""
     if not len(a) or not len(b):
         return float(len(a) == len(b))
     union = np.union1d(a, b)[:size]
-    common = np.intersect1d(a, b, assume_unique=True)
-    return float(np.isin(union, common, assume_unique=True).sum() / len(union))
+    places = {h: i for i, h in enumerate(b.tolist())}
+    last = union[-1]
+    tails: list[int] = []  # of increasing runs, by length, the least last place
+    for h in a[a <= last].tolist():
+        place = places.get(h)
+        if place is not None:
+            at = bisect_left(tails, place)
+            tails[at : at + 1] = [place]
+    return len(tails) / len(union)
 
 
 def _hex(found: np.ndarray) -> str:
@@ -153,44 +169,55 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return by_slice(texts(df, id_col, text_col), make, "doc_id bigint, fingerprint string, n_anchors bigint")
 
 
+def _place() -> Column:
+    """Where a row stands: ids descending, nulls last, equal ids by a hash of the text."""
+    doc_id = F.col("doc_id")
+    return F.struct(
+        doc_id.isNull().cast("int").alias("n"), F.coalesce(F.bitwise_not(doc_id), F.lit(0)).alias("r"), F.xxhash64("text").alias("h")
+    )
+
+
+_PLACES = "array<array<struct<n:int,r:bigint,h:bigint>>>"
+
+
+def _part(place: Column, cuts: list[tuple[int, int, int]]) -> Column:
+    """The number of sorted ``cuts`` that are not beyond a place, found in two steps."""
+    width = max(1, round(len(cuts) ** 0.5))
+    rows = [cuts[at : at + width] for at in range(0, len(cuts), width)]
+    table = F.from_json(F.lit(json.dumps([[dict(zip("nrh", c, strict=True)) for c in row] for row in rows])), _PLACES)
+
+    def within(row: Column) -> Column:
+        return F.size(F.filter(row, lambda c: c <= place))
+
+    row = F.size(F.filter(F.transform(table, lambda row: row[0]), lambda c: c <= place))
+    return F.when(row == 0, 0).otherwise((row - 1) * width + within(F.get(table, F.greatest(row - 1, F.lit(0)))))
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """``doc_id, text`` with each row in a part of the descending id order: ``part, extra`` added.
 
-    Ids are counted in cells of equal width (a scan of the id column alone), cells are joined to
-    parts of about equal rows, and the first rows of each part are also sent, as ``extra``, behind
-    the part before it, the very first behind the last. A part so holds every row's successor.
-    At most ``CELLS`` rows reach the driver. Equal ids are ordered by text; null ids come last.
+    Places in the order (a hash and an id each) are written first. The driver cuts them into parts of
+    about equal rows by a sample of ``LOOKED_AT`` places a part, and one row a part, its first, is sent
+    behind the part before it as ``extra``, the very first behind the last. A part so holds every row's
+    successor. Rows of one id are split between parts unless their texts are equal, too.
     """
     spark = docs.sparkSession
-    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
-    low, width = low or 0, max(1, -(-((high or 0) - (low or 0) + 1) // CELLS))
-    cell = F.floor((F.col("doc_id") - F.lit(low)) / F.lit(width)).cast("int")
-    counted = (
-        docs.select("doc_id", cell.alias("cell")).groupBy("cell")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("head")).collect()
-    )
-    counted.sort(key=lambda r: (r["cell"] is None, -(r["cell"] or 0)))
-    wanted = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    each = max(1, -(-sum(r["n"] for r in counted) // wanted))
-    rows, part, filled, head = [], -1, each, None
-    for r in counted:
-        fresh = filled >= each or r["cell"] is None
-        if fresh:
-            part, filled, head = part + 1, 0, r["head"]
-        filled += r["n"]
-        rows.append((r["cell"], part, fresh, head))
-    parts = spark.createDataFrame(rows, "cell int, part int, leads boolean, head bigint")
-    joined = docs.withColumn("cell", cell)
-    joined = joined.join(F.broadcast(parts.withColumnRenamed("cell", "_cell")), F.col("cell").eqNullSafe(F.col("_cell")))
-    behind = F.pmod(F.col("part") - 1, F.lit(part + 1))
-    places = F.when(
-        F.col("leads") & F.col("doc_id").eqNullSafe(F.col("head")),
-        F.array(F.struct("part", F.lit(False).alias("extra")), F.struct(behind.alias("part"), F.lit(True).alias("extra"))),
-    ).otherwise(F.array(F.struct("part", F.lit(False).alias("extra"))))
-    return (
-        joined.select("doc_id", "text", F.inline(places)).repartition("part")
-        .sortWithinPartitions("part", "extra", F.col("doc_id").desc_nulls_last(), "text")
-    )
+    placed = docs.withColumn("place", _place())
+    places = park(placed.select("place.*"), "places")
+    wanted = PARTS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    share = min(1.0, LOOKED_AT * wanted / max(1, places.count()))
+    seen = sorted(tuple(r) for r in (places if share == 1.0 else places.sample(share, seed=1)).collect())
+    cuts = sorted({seen[len(seen) * i // wanted] for i in range(1, wanted)}) if seen else []
+    part = _part(F.col("place"), cuts).alias("part")
+    firsts = places.select(F.struct("n", "r", "h").alias("place")).select("place", part).groupBy("part").agg(F.min("place").alias("place"))
+    heads = sorted((r["part"], tuple(r["place"])) for r in firsts.collect())
+    behind = spark.createDataFrame(
+        [(heads[i - 1][0], *place) for i, (_, place) in enumerate(heads)], "part int, n int, r bigint, h bigint"
+    ).select("part", F.struct("n", "r", "h").alias("place"))
+    extra = placed.join(F.broadcast(behind), "place").groupBy("part", "doc_id", "place").agg(F.min("text").alias("text"))
+    rows = placed.select("doc_id", "text", "place", part, F.lit(False).alias("extra"))
+    sent = rows.unionByName(extra.select("doc_id", "text", "place", "part", F.lit(True).alias("extra")))
+    return sent.repartition("part").sortWithinPartitions("part", "extra", "place", "text")
 
 
 EDITED = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, " \
@@ -201,8 +228,8 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     """Fingerprints of every text and of the text whose second half the next document replaces.
 
     The last ``floor(n_chars / 2)`` code points give way to the first as many of the next document
-    in descending id order (after the last: the first). One row per row. Texts shuffle once, by
-    ranges of ids. A table of one row is its own successor.
+    in descending id order (after the last: the first), equal ids being ordered by a hash of their text.
+    One row per row. Texts shuffle once, by ranges of ids. A table of one row is its own successor.
     """
     docs = texts(df, id_col, text_col).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
 

@@ -9,7 +9,7 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from borelake.llm.bpe import Encoder, PerfectHash, decode_ids, encode_texts, merge_spans
+from borelake.llm.bpe import Decoder, Encoder, PerfectHash, decode_ids, encode_checked, encode_texts, merge_spans
 from borelake.llm.pieces import pre_tokens, token_counts
 from borelake.llm.queries import PIECES, QUERIES, RANKS
 from tests.llm.conftest import ROWS
@@ -27,6 +27,8 @@ def test_perfect_hash_is_minimal_and_rejects_strangers():
     keys = [str(i).encode() for i in range(5000)]
     table = PerfectHash(keys)
     assert sorted(table.slots) == list(range(5000))
+    sent = PerfectHash(keys, table.tables)
+    assert (sent.slots, sent.shift) == (table.slots, table.shift)
     assert [table.get(k) for k in keys] == list(range(5000))
     assert table.get(b"stranger") == table.get(b"") == -1
     assert PerfectHash([]).get(b"a") == -1 and PerfectHash([b"a"]).get(b"a") == 0
@@ -54,6 +56,24 @@ def test_odd_documents_round_trip(odd):
         assert bytes(row.decoded) == text.encode()
         assert row.n_tokens == len(LIBRARY.encode_ordinary(text)) == len(row.ids) // 4
     assert encode_texts(odd.where("false"), RANKS, public_tokenizers.PATTERN).collect() == []
+    checked = encode_checked(odd, RANKS, public_tokenizers.PATTERN, keep=("doc_id", "text", "a.b"))
+    assert checked.columns == ["doc_id", "text", "a.b", "n_tokens", "ids", "decoded_sha256", "round_trip"]
+    want = sorted((str(r.doc_id), r.n_tokens, bytes(r.ids)) for r in encoded.select("doc_id", "n_tokens", "ids").collect())
+    rows = checked.collect()
+    assert sorted((str(r.doc_id), r.n_tokens, bytes(r.ids)) for r in rows) == want
+    assert all(r.round_trip and r.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest() for r in rows)
+
+
+def test_memory_of_a_task_is_bounded(monkeypatch):
+    monkeypatch.setattr("borelake.llm.bpe.MEMO_SIZE", 100)
+    encoder = Encoder(LINES, public_tokenizers.PATTERN)
+    text = " ".join(f"word{i}" for i in range(500)) + " " + "x" * 5000
+    assert encoder.decode(encoder.encode(text)) == text.encode()
+    assert len(encoder) <= 100 and all(len(t) <= 32 for t in encoder)
+    assert Decoder({b"a": 0, b"b": 2}).decode(struct.pack("<3I", 2, 0, 2)) == b"bab"
+    for strange in (1, 3):
+        with pytest.raises(KeyError):
+            Decoder({b"a": 0, b"b": 2}).decode(struct.pack("<I", strange))
 
 
 def test_op2_over_whole_table(spark):
