@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from borelake.config import park
 from borelake.functions.coerce import quoted
@@ -43,11 +42,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, lang, source, n_tokens, ids`` and whether the ids decode to the very text."""
-    kept = ("doc_id", "lang", "source", "text")
-    encoded = bpe.encode_texts(docs, RANKS, public_tokenizers.PATTERN, keep=kept)
-    decoded = bpe.decode_ids(encoded, RANKS, keep=(*kept, "n_tokens", "ids"))
-    exact = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
-    return decoded.select("doc_id", "lang", "source", "n_tokens", "ids", exact.alias("round_trip"))
+    encoded = bpe.encode_checked(docs, RANKS, public_tokenizers.PATTERN, keep=("doc_id", "lang", "source"))
+    return encoded.drop("decoded_sha256")
 
 
 STAGES = [
