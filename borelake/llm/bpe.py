@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from ..functions.coerce import quoted
 from .common import by_slice
 
-# Pre-tokens a task remembers before it starts afresh, of at most so many characters (about 40 MB).
-MEMO_SIZE, MEMO_CHARS = 1 << 17, 32
+# Pre-tokens a task remembers, of at most so many characters (about 60 MB); the half not met lately goes.
+MEMO_SIZE, MEMO_CHARS = 1 << 18, 32
 _KEYS_PER_BUCKET = 4
 _EMPTY = -1
 
@@ -166,21 +166,24 @@ class Encoder(dict):
         self.decoder = Decoder(self.ranks)
         self.tokens = self.decoder.tokens
         self.split = regex.compile(pattern).findall
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, token: str) -> bytes:
-        piece = token.encode()
-        index = self.vocabulary.get(piece)
-        if index != _EMPTY:
-            ids = struct.pack("<I", self.rank_of[index])
-        else:
-            merged = merge_spans(piece, self.ranks)
-            ids = struct.pack(f"<{len(merged)}I", *merged)
+        ids = self.older.get(token) or self._ids(token.encode())
         if len(token) <= MEMO_CHARS:
-            if len(self) >= MEMO_SIZE:
+            if len(self) >= MEMO_SIZE // 2:
+                self.older = dict(self)
                 self.clear()
             self[token] = ids
         return ids
 
+    def _ids(self, piece: bytes) -> bytes:
+        index = self.vocabulary.get(piece)
+        if index != _EMPTY:
+            return struct.pack("<I", self.rank_of[index])
+        merged = merge_spans(piece, self.ranks)
+        return struct.pack(f"<{len(merged)}I", *merged)
+
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, self.split(text)))
 
