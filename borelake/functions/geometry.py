@@ -1,10 +1,12 @@
 """Polygon arithmetic as column expressions over lon/lat doubles.
 
 A *shape* is ``array<array<array<struct<x,y>>>>``: polygons, each a list of rings (the outer one
-first), each a list of vertices, closed or not. *Edges* are ``array<struct<x1,y1,x2,y2>>`` over
-all rings, which is what the even-odd rule needs; holes and multi-polygons then need no case of
-their own. Boundaries belong to the shape. The boundary test compares a cross product with zero,
-so it is exact when the coordinates and their products are exactly representable.
+first), each a list of vertices, closed or not. *Edges* keep that nesting, ``struct<x1,y1,x2,y2>``
+in place of vertices: a point is in a shape when one of its polygons holds it, and a polygon holds
+it when its outer ring does and none of its holes has it inside. So polygons that overlap, holes
+that do, and holes astray outside their ring all count as a reader of the shape expects. Boundaries
+belong to the shape. The boundary test compares a cross product with zero, so it is exact when the
+coordinates and their products are exactly representable.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SHAPE_TYPE = "array<array<array<struct<x:double,y:double>>>>"
-EDGE_TYPE = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
+EDGE_TYPE = "array<array<array<struct<x1:double,y1:double,x2:double,y2:double>>>>"
 
 Edge = tuple[float, float, float, float]
 
@@ -39,7 +41,7 @@ def vertices_of(shape: Column) -> Column:
     return F.flatten(F.flatten(shape))
 
 
-def _ring_edges(ring: Column) -> Column:
+def ring_edges(ring: Column) -> Column:
     """Edges of one ring, from each vertex to the next and from the last to the first."""
     return F.zip_with(
         ring,
@@ -51,8 +53,24 @@ def _ring_edges(ring: Column) -> Column:
 
 
 def edges_of(shape: Column) -> Column:
-    """Edges of every ring; a closing vertex only adds a zero-length edge, which is harmless."""
-    return F.flatten(F.transform(F.flatten(shape), _ring_edges))
+    """Edges of every ring in one array; a closing vertex only adds a zero-length edge, which is harmless."""
+    return F.flatten(F.transform(F.flatten(shape), ring_edges))
+
+
+def part_edges(shape: Column) -> Column:
+    """Edges by polygon and ring."""
+    return F.transform(shape, lambda rings: F.transform(rings, ring_edges))
+
+
+def narrowed(parts: Column, wanted) -> Column:
+    """The edges that may matter to some place, by polygon and ring; rings without any go.
+
+    ``wanted`` must keep every edge that a ray towards growing x can meet, so a ring that loses all of
+    its edges does not hold the place, and a polygon goes with its outer ring.
+    """
+    kept = F.transform(parts, lambda rings: F.transform(rings, lambda ring: F.filter(ring, wanted)))
+    met = F.filter(kept, lambda rings: F.size(rings[0]) > 0)
+    return F.transform(met, lambda rings: F.filter(rings, lambda ring: F.size(ring) > 0))
 
 
 def bounds_of(shape: Column) -> list[Column]:
@@ -117,26 +135,46 @@ def _crossed(e, px, py) -> Column:
     return spans & ((_cross(e["x1"], e["y1"], e["x2"], e["y2"], px, py) > 0) == upward)
 
 
-def point_in_edges(px: Column, py: Column, edges: Column) -> Column:
-    """Even-odd rule over an edge array, boundary included; a NaN is nowhere."""
-    inside = F.size(F.filter(edges, lambda e: _crossed(e, px, py))) % 2 == 1
+def point_in_parts(px: Column, py: Column, parts: Column) -> Column:
+    """Whether a point is in one of the polygons given by their edges, boundary included; a NaN is nowhere."""
+    def odd(ring):
+        return F.size(F.filter(ring, lambda e: _crossed(e, px, py))) % 2 == 1
+
+    def on(ring):
+        return F.exists(ring, lambda e: _on_edge(e, px, py))
+
+    def holds(rings):
+        holes = F.slice(rings, 2, F.size(rings))
+        return (odd(rings[0]) | on(rings[0])) & F.forall(holes, lambda ring: ~odd(ring) | on(ring))
+
     somewhere = ~F.isnan(px) & ~F.isnan(py)
-    return somewhere & (F.exists(edges, lambda e: _on_edge(e, px, py)) | inside)
+    return somewhere & F.exists(F.filter(parts, lambda rings: F.size(rings) > 0), holds)
 
 
-def point_in_literal_edges(px: Column, py: Column, edges: Sequence[Edge]) -> Column:
+def point_in_literal_parts(px: Column, py: Column, parts: Sequence[Sequence[Sequence[Edge]]]) -> Column:
     """The same rule unrolled for a few constant edges, so it stays inside generated code."""
-    on_boundary, crossings = F.lit(False), F.lit(0)
-    for x1, y1, x2, y2 in edges:
-        cross = F.lit(x2 - x1) * (py - y1) - F.lit(y2 - y1) * (px - x1)
-        on_boundary = on_boundary | (
-            (cross == 0) & px.between(min(x1, x2), max(x1, x2)) & py.between(min(y1, y2), max(y1, y2))
-        )
-        if y1 != y2:
-            side = cross > 0 if y2 > y1 else cross < 0
-            spans = (py >= min(y1, y2)) & (py < max(y1, y2))
-            crossings = crossings + (spans & side).cast("int")
-    return on_boundary | (crossings % 2 == 1)
+    def ring_holds(edges: Sequence[Edge]) -> tuple[Column, Column]:
+        on_boundary, crossings = F.lit(False), F.lit(0)
+        for x1, y1, x2, y2 in edges:
+            cross = F.lit(x2 - x1) * (py - y1) - F.lit(y2 - y1) * (px - x1)
+            on_boundary = on_boundary | (
+                (cross == 0) & px.between(min(x1, x2), max(x1, x2)) & py.between(min(y1, y2), max(y1, y2))
+            )
+            if y1 != y2:
+                side = cross > 0 if y2 > y1 else cross < 0
+                spans = (py >= min(y1, y2)) & (py < max(y1, y2))
+                crossings = crossings + (spans & side).cast("int")
+        return on_boundary, crossings % 2 == 1
+
+    held = F.lit(False)
+    for shell, *holes in parts:
+        on, odd = ring_holds(shell)
+        holds = on | odd
+        for hole in holes:
+            on, odd = ring_holds(hole)
+            holds = holds & (on | ~odd)
+        held = held | holds
+    return held
 
 
 def _edges_meet(a, b) -> Column:
@@ -156,7 +194,7 @@ def _edges_meet(a, b) -> Column:
 
 
 def shapes_intersect(shape: Column, other: Column) -> Column:
-    """Two shapes share a point: an edge meets an edge, or a whole ring lies inside the other.
+    """Two shapes share a point: an edge meets an edge, or a ring begins inside the other.
 
     Before edges are paired they are cut down to those that reach into the other envelope.
     """
@@ -169,8 +207,8 @@ def shapes_intersect(shape: Column, other: Column) -> Column:
             & (F.greatest(e["y1"], e["y2"]) >= box["y0"]),
         )
 
-    def ring_inside(rings, edges):
-        return F.exists(rings, lambda ring: point_in_edges(ring[0]["x"], ring[0]["y"], edges))
+    def ring_inside(rings, parts):
+        return F.exists(rings, lambda ring: point_in_parts(ring[0]["x"], ring[0]["y"], parts))
 
     def compare(both):
         mine, theirs = both["mine"], both["theirs"]
@@ -184,12 +222,13 @@ def shapes_intersect(shape: Column, other: Column) -> Column:
         overlap = boxes_overlap(*([both[k][c] for c in ("x0", "y0", "x1", "y1")]
                                   for k in ("my_box", "their_box")))
         return overlap & (
-            meet | ring_inside(F.flatten(shape), theirs) | ring_inside(F.flatten(other), mine)
+            meet | ring_inside(F.flatten(shape), both["their_parts"]) | ring_inside(F.flatten(other), both["my_parts"])
         )
 
     return let(
         F.struct(
             edges_of(shape).alias("mine"), edges_of(other).alias("theirs"),
+            part_edges(shape).alias("my_parts"), part_edges(other).alias("their_parts"),
             envelope(shape).alias("my_box"), envelope(other).alias("their_box"),
         ),
         compare,
@@ -202,7 +241,7 @@ def shapes_intersect(shape: Column, other: Column) -> Column:
 KEY_SCALE = 1_000_000
 
 
-def _snapped(ring: Column) -> Column:
+def snapped(ring: Column) -> Column:
     """Whole micro-degrees without repeated neighbours or a closing vertex."""
     on_grid = F.transform(
         ring,
@@ -220,11 +259,11 @@ def _snapped(ring: Column) -> Column:
     )
 
 
-def _doubled_area(grid: Column) -> Column:
+def doubled_area(grid: Column) -> Column:
     """Twice the signed area, in decimals so that no product overflows or rounds."""
     wide = "decimal(19,0)"
     terms = F.transform(
-        _ring_edges(grid),
+        ring_edges(grid),
         lambda e: (e["x1"].cast(wide) * e["y2"].cast(wide) - e["x2"].cast(wide) * e["y1"].cast(wide))
         .cast("decimal(38,0)"),
     )
@@ -242,7 +281,7 @@ def _rotated(grid: Column) -> Column:
 def canonical_ring(ring: Column) -> Column:
     """Text of a ring that is the same for any start vertex, direction and sub-grid noise."""
     turned = let(
-        _snapped(ring), lambda g: F.when(_doubled_area(g) < 0, F.reverse(g)).otherwise(g)
+        snapped(ring), lambda g: F.when(doubled_area(g) < 0, F.reverse(g)).otherwise(g)
     )
     return F.array_join(
         F.transform(let(turned, _rotated), lambda v: F.concat_ws(" ", v["x"], v["y"])), ","
@@ -262,36 +301,3 @@ def canonical_shape(shape: Column) -> Column:
         ),
     )
     return F.array_join(F.array_sort(polygons), "|")
-
-
-def shape_is_valid(shape: Column) -> Column:
-    """Non-empty, every ring has area, and no ring crosses or touches itself.
-
-    The pair test is quadratic in the vertices of one ring; it runs per row, in parallel.
-    """
-    def numbered(grid):
-        return F.transform(
-            _ring_edges(grid),
-            lambda e, i: F.struct(
-                i.alias("i"), *(e[c].cast("double").alias(c) for c in ("x1", "y1", "x2", "y2"))
-            ),
-        )
-
-    def clashes(edges):
-        last = F.size(edges) - 1
-        return F.exists(
-            edges,
-            lambda a: F.exists(
-                edges,
-                lambda b: (b["i"] > a["i"] + 1)
-                & ~((a["i"] == 0) & (b["i"] == last))
-                & _edges_meet(a, b),
-            ),
-        )
-
-    def simple(grid):
-        return (F.size(grid) >= 3) & (_doubled_area(grid) != 0) & ~let(numbered(grid), clashes)
-
-    rings = F.flatten(shape)
-    all_simple = F.forall(rings, lambda ring: let(_snapped(ring), simple))
-    return F.coalesce((F.size(rings) > 0) & all_simple, F.lit(False))

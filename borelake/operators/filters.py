@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.coerce import parse_number
-from ..functions.geometry import SHAPE_TYPE, box_shape, in_box, point_in_literal_edges, shape_is_valid
+from ..functions.geometry import SHAPE_TYPE, box_shape, in_box, point_in_literal_parts
 from ..functions.keys import eno_of_identifier
 from ..region import Region
 from ..sources.registry import STATE_EXTENTS
@@ -46,7 +46,7 @@ def in_region(
     if refine == "envelope" or region.is_box:
         return near
     if len(region.edges) <= INLINE_EDGES:
-        return near.where(point_in_literal_edges(F.col(lon), F.col(lat), region.edges))
+        return near.where(point_in_literal_parts(F.col(lon), F.col(lat), region.part_edges))
     one = points.sparkSession.createDataFrame([(region.shape(),)], f"shape {SHAPE_TYPE}")
     return points_in_polygons(near, one, lon=lon, lat=lat, how="left_semi")
 
@@ -157,8 +157,3 @@ def regions_from_boxes(boxes: DataFrame, *bounds: str) -> DataFrame:
     return boxes.withColumn("shape", box_shape(x0, y0, x1, y1)).withColumn(
         "region_valid", F.coalesce(ordered, F.lit(False))
     )
-
-
-def with_validity(regions: DataFrame, shape: str = "shape") -> DataFrame:
-    """Adds ``region_valid`` to a table of polygon regions."""
-    return regions.withColumn("region_valid", shape_is_valid(F.col(shape)))

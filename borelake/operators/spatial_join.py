@@ -1,9 +1,12 @@
 """Points in many polygons, as an equi-join on grid cells.
 
-Polygons are cut along a lon/lat grid. Each (polygon, cell) row is either *inside*, when no edge
-passes the cell, or carries just the edges a point of that cell has to be tested against; cells
-wholly outside are dropped. A point lies in one cell, so it meets each polygon at most once and
-no pair needs removing afterwards.
+Polygons are cut along a lon/lat grid of a level that fits their size: the coarse grid for large
+ones, which then carry few edges per cell, and ever finer ones for small ones, so that a hundred
+thousand of them in one coarse cell do not all meet its points. Each (polygon, cell) row is either
+*inside*, when no edge passes the cell, or carries just the edges a point of that cell has to be
+tested against, by part and ring; cells wholly outside are dropped. A point probes its cell of every
+level in use. It has one cell per level and a polygon has one level, so it meets each polygon at most
+once and no pair needs removing afterwards.
 
 The cut polygons are broadcast only when their cells, edges and carried text prove them small;
 otherwise both sides shuffle on the cell, and a crowded cell's points are spread over tasks.
@@ -21,18 +24,32 @@ from pyspark.sql import types as T
 from ..config import BROADCAST_LIMIT
 from ..functions.coerce import quoted
 from ..functions.geometry import (
-    bounds_of, boxes_overlap, edges_of, envelope, in_box, is_box, let, point_in_edges, shapes_intersect,
+    bounds_of, boxes_overlap, edges_of, envelope, in_box, is_box, let, narrowed, part_edges, point_in_parts, shapes_intersect,
 )
 from .hot_keys import FLAT_TYPES, key_join, spread_join
 
 CELL_DEGREES = 0.5
+# Grids finer than that one, each of cells so many times smaller; the finest has cells of about 50 m.
+FINER, TIMES = 5, 4
 # Slack around a cell, in degrees: far above rounding error, far below any coordinate's accuracy.
 _SLACK = 1e-9
 
 
-def cell_of(value: Column, cell: float) -> Column:
+def cell_of(value: Column, cell: float | Column) -> Column:
     """Grid index of a coordinate; null for an infinite one, which lies in no cell."""
-    return F.floor(value / F.lit(float(cell))).try_cast("int")
+    return F.floor(value / (cell if isinstance(cell, Column) else F.lit(float(cell)))).try_cast("int")
+
+
+def _level(shape: Column, cell: float) -> Column:
+    """The finest grid whose cells are no smaller than the polygon; 0 for the coarsest one."""
+    x0, y0, x1, y1 = bounds_of(shape)
+    extent = F.greatest(x1 - x0, y1 - y0)
+    return reduce(add, ((extent <= cell / TIMES**k).cast("int") for k in range(1, FINER + 1)), F.lit(0))
+
+
+def _cell_size(level: Column, cell: float) -> Column:
+    """Degrees of a level's cells."""
+    return F.element_at(F.array(*[F.lit(cell / TIMES**k) for k in range(FINER + 1)]), level + 1)
 
 
 def _reach(edge, low: str, high: str, smallest: Column, largest: Column) -> Column:
@@ -55,74 +72,71 @@ def _touches(edge, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
 def cut_to_cells(
     polygons: DataFrame, shape: str = "shape", cell: float = CELL_DEGREES
 ) -> DataFrame:
-    """One row per polygon and grid cell it reaches: ``_cell_x, _cell_y, _all_inside, _cell_edges``.
+    """One row per polygon and cell of its grid that it reaches: ``_level, _cell_x, _cell_y, _all_inside, _cell_edges``.
 
     A polygon that is a box keeps only its envelope ``_box``, which then decides by itself. Edges are narrowed to a row of cells first and to single cells after that, so the work per
     polygon grows with rows times edges rather than with cells times edges.
     """
     others = [c for c in polygons.columns if c != shape]
-    low = F.col("_cell_y") * cell - _SLACK
-    high = (F.col("_cell_y") + 1) * cell + _SLACK
+    size = F.col("_size")
+    low = F.col("_cell_y") * size - _SLACK
+    high = (F.col("_cell_y") + 1) * size + _SLACK
     measured = polygons.where(F.size(F.flatten(F.col(shape))) > 0).select(
-        *others, shape, edges_of(F.col(shape)).alias("_edges"), envelope(F.col(shape)).alias("_box"),
-        is_box(F.col(shape)).alias("_is_box"),
-    )
+        *others, shape, part_edges(F.col(shape)).alias("_edges"), envelope(F.col(shape)).alias("_box"),
+        is_box(F.col(shape)).alias("_is_box"), _level(F.col(shape), cell).alias("_level"),
+    ).withColumn("_size", _cell_size(F.col("_level"), cell))
     x0, y0, x1, y1 = (F.col(f"_box.{c}") for c in ("x0", "y0", "x1", "y1"))
-    rows = (
-        measured.select(
-            *others, "_edges", "_box", "_is_box",
-            cell_of(x0, cell).alias("_x0"),
-            cell_of(x1, cell).alias("_x1"),
-            F.explode(F.sequence(cell_of(y0, cell), cell_of(y1, cell))).alias("_cell_y"),
-        )
-        .withColumn("_edges", F.filter("_edges", lambda e: _reach(e, "y1", "y2", low, high)))
-    )
-    cells = rows.select(
-        *others, "_cell_y", "_edges", "_box", "_is_box",
-        F.explode(F.sequence("_x0", "_x1")).alias("_cell_x"),
-    )
-    left = F.col("_cell_x") * cell - _SLACK
-    right = (F.col("_cell_x") + 1) * cell + _SLACK
+    kept = ("_box", "_is_box", "_level", "_size")
+    rows = measured.select(
+        *others, "_edges", *kept, cell_of(x0, size).alias("_x0"), cell_of(x1, size).alias("_x1"),
+        F.explode(F.sequence(cell_of(y0, size), cell_of(y1, size))).alias("_cell_y"),
+    ).withColumn("_edges", narrowed(F.col("_edges"), lambda e: _reach(e, "y1", "y2", low, high)))
+    cells = rows.select(*others, "_cell_y", "_edges", *kept, F.explode(F.sequence("_x0", "_x1")).alias("_cell_x"))
+    left = F.col("_cell_x") * size - _SLACK
+    right = (F.col("_cell_x") + 1) * size + _SLACK
+    cut = F.exists(F.flatten(F.flatten("_edges")), lambda e: _touches(e, left, low, right, high))
     bounded = cells.select(
-        *others, "_cell_x", "_cell_y", "_box", "_is_box",
-        F.filter("_edges", lambda e: F.greatest(e["x1"], e["x2"]) >= left).alias("_edges"),
-        F.exists("_edges", lambda e: _touches(e, left, low, right, high)).alias("_cut"),
-    )
-    centre_in = point_in_edges(
-        (F.col("_cell_x") + 0.5) * cell, (F.col("_cell_y") + 0.5) * cell, F.col("_edges")
+        *others, "_cell_x", "_cell_y", *kept, cut.alias("_cut"),
+        narrowed(F.col("_edges"), lambda e: F.greatest(e["x1"], e["x2"]) >= left).alias("_edges"),
     )
+    centre_in = point_in_parts((F.col("_cell_x") + 0.5) * size, (F.col("_cell_y") + 0.5) * size, F.col("_edges"))
     return bounded.where(F.col("_cut") | centre_in).select(
-        *others, "_cell_x", "_cell_y", "_box",
+        *others, "_level", "_cell_x", "_cell_y", "_box",
         (~F.col("_cut") | F.col("_is_box")).alias("_all_inside"),
         F.when(F.col("_cut") & ~F.col("_is_box"), F.col("_edges")).alias("_cell_edges"),
     )
 
 
-def _proven_bytes(polygons: DataFrame, shape: str, cell: float) -> float:
-    """Upper bound on the size of the cut polygons, from one small aggregate over them.
+def _proven_bytes(polygons: DataFrame, shape: str, cell: float) -> tuple[float, list[int]]:
+    """Upper bound on the size of the cut polygons, and the levels in use; one small aggregate.
 
-    An edge is stored in every cell of the rows it reaches (one spare row on each side for slack),
-    the carried columns with their text in every cell. Infinite when a nested one makes that no bound.
+    An edge is stored in every cell of the rows it reaches (one spare row on each side for slack) with
+    its ring's and part's share of array headers, the carried columns with their text in every cell.
+    Infinite when a nested one makes that no bound.
     """
     carried = [f for f in polygons.schema if f.name != shape]
-    if not all(isinstance(f.dataType, FLAT_TYPES) for f in carried):
-        return float("inf")
+    flat = all(isinstance(f.dataType, FLAT_TYPES) for f in carried)
     text = [
         F.coalesce(F.octet_length(quoted(f.name)), F.lit(0)) for f in carried if isinstance(f.dataType, T.StringType)
     ]
     row_bytes = reduce(add, text, F.lit(128.0 + 32 * len(carried)))
+    level = _level(F.col(shape), cell)
     x0, y0, x1, y1 = bounds_of(F.col(shape))
-    wide = (cell_of(x1, cell) - cell_of(x0, cell) + 1).cast("double")
-    tall = (cell_of(y1, cell) - cell_of(y0, cell) + 1).cast("double")
+    size = F.col("_size")
+    wide = (cell_of(x1, size) - cell_of(x0, size) + 1).cast("double")
+    tall = (cell_of(y1, size) - cell_of(y0, size) + 1).cast("double")
     rows_reached = F.aggregate(
         edges_of(F.col(shape)),
         F.lit(0.0),
-        lambda total, e: total + F.abs(F.floor(e["y2"] / cell) - F.floor(e["y1"] / cell)) + 3.0,
+        lambda total, e: total + F.abs(F.floor(e["y2"] / size) - F.floor(e["y1"] / size)) + 3.0,
     )
-    row = polygons.agg(
-        F.sum(wide * tall * row_bytes).alias("cells"), F.sum(wide * rows_reached).alias("edges")
+    sized = polygons.withColumn("_level", level).withColumn("_size", _cell_size(F.col("_level"), cell))
+    row = sized.agg(
+        F.sum(wide * tall * row_bytes).alias("cells"), F.sum(wide * rows_reached).alias("edges"),
+        F.sort_array(F.collect_set("_level")).alias("levels"),
     ).first()
-    return (row["cells"] or 0) + (row["edges"] or 0) * 64
+    proven = (row["cells"] or 0) + (row["edges"] or 0) * 96 if flat else float("inf")
+    return proven, row["levels"]
 
 
 def points_in_polygons(
@@ -146,20 +160,36 @@ def points_in_polygons(
     if how == "left_semi":
         polygons, carried = polygons.select(shape), []
     cut = cut_to_cells(polygons, shape, cell)
-    placed = points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull()).select(
-        "*", cell_of(F.col(lon), cell).alias("_cell_x"), cell_of(F.col(lat), cell).alias("_cell_y")
-    )
+    proven, levels = _proven_bytes(polygons, shape, cell)
+    placed = points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull())
     in_envelope = in_box(F.col(lon), F.col(lat), [F.col(f"_box.{c}") for c in ("x0", "y0", "x1", "y1")])
     held = in_envelope & (
-        F.col("_all_inside") | point_in_edges(F.col(lon), F.col(lat), F.col("_cell_edges"))
+        F.col("_all_inside") | point_in_parts(F.col(lon), F.col(lat), F.col("_cell_edges"))
     )
-    keys = ["_cell_x", "_cell_y"]
-    if _proven_bytes(polygons, shape, cell) <= limit:
-        pairs = key_join(placed, F.broadcast(cut), keys, how, held)
-    else:
+    keys = ["_level", "_cell_x", "_cell_y"]
+
+    def probe(places: DataFrame, asked: list[int]) -> DataFrame:
+        """The points, once for every level asked for, with their cells there."""
+        level = F.lit(asked[0]) if len(asked) == 1 else F.explode(F.array(*map(F.lit, asked)))
+        at = places.select("*", level.alias("_level"))
+        size = _cell_size(F.col("_level"), cell)
+        return at.select("*", cell_of(F.col(lon), size).alias("_cell_x"), cell_of(F.col(lat), size).alias("_cell_y"))
+
+    def meet(places: DataFrame, kind: str) -> DataFrame:
+        if proven <= limit:
+            return key_join(places, F.broadcast(cut), keys, kind, held)
         # bigger than the limit, so it must not be broadcast on a guess either
-        pairs = spread_join(placed, cut, keys, how, hot_rows, held, limit=0, hint="merge")
-    return pairs.select(*points.columns, *carried)
+        return spread_join(places, cut, keys, kind, hot_rows, held, limit=0, hint="merge")
+
+    levels = levels or [0]
+    if how != "left_semi" or len(levels) == 1:
+        return meet(probe(placed, levels), how).select(*points.columns, *carried)
+    # A point may lie in polygons of several levels: it is taken by the first that has it.
+    found, rest = [], placed
+    for level in levels:
+        found.append(meet(probe(rest, [level]), "left_semi").select(*points.columns))
+        rest = meet(probe(rest, [level]), "left_anti").select(*points.columns)
+    return reduce(DataFrame.unionByName, found)
 
 
 def polygons_in_region(

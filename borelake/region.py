@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 from math import floor
@@ -29,93 +30,158 @@ def _area(ring) -> float:
     return sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, ring[1:] + ring[:1], strict=True))
 
 
-def _check_simple(ring: Ring) -> None:
-    """No two edges of the ring may meet except neighbours at their shared vertex."""
-    xy = np.array([p for i, p in enumerate(ring) if p != ring[i - 1]])
-    start, end = xy, np.roll(xy, -1, axis=0)
-    low, high = np.minimum(start, end), np.maximum(start, end)
-    n = len(xy)
-
-    def cross(a, b, p):
-        return (b[..., 0] - a[..., 0]) * (p[..., 1] - a[..., 1]) - (
-            b[..., 1] - a[..., 1]
-        ) * (p[..., 0] - a[..., 0])
-
-    for i in range(n - 1):
-        j = np.arange(i + 2, n - (i == 0))
-        if not len(j):
-            continue
-        d1, d2 = cross(start[i], end[i], start[j]), cross(start[i], end[i], end[j])
-        d3, d4 = cross(start[j], end[j], start[i]), cross(start[j], end[j], end[i])
-        apart = ((low[j] > high[i]) | (high[j] < low[i])).any(axis=1)
-        if (~apart & (np.sign(d1) * np.sign(d2) <= 0) & (np.sign(d3) * np.sign(d4) <= 0)).any():
-            raise ValueError("A ring of the region crosses or touches itself.")
-
-
-def _inside(ring: Ring, x: float, y: float) -> bool:
-    """Even-odd rule, for points that are not on an edge."""
-    hits = 0
-    for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1], strict=True):
-        hits += (y1 > y) != (y2 > y) and x < x1 + (y - y1) / (y2 - y1) * (x2 - x1)
-    return hits % 2 == 1
-
-
-def _probes(ring: Ring, other: Ring) -> list[tuple[float, float]]:
-    """Middles of the ring's edges and its vertices, without those on the other ring's edges."""
-    points = [*ring, *(((a[0] + b[0]) / 2, (a[1] + b[1]) / 2) for a, b in zip(ring, ring[1:] + ring[:1], strict=True))]
-
-    def on_edge(x, y):
-        return any(
-            (b[0] - a[0]) * (y - a[1]) == (b[1] - a[1]) * (x - a[0])
-            and min(a[0], b[0]) <= x <= max(a[0], b[0]) and min(a[1], b[1]) <= y <= max(a[1], b[1])
-            for a, b in zip(other, other[1:] + other[:1], strict=True)
+class _Edges:
+    """All edges of a footprint in whole micro-degrees, bucketed by rows of the axis that splits them best.
+
+    The rules and the arithmetic, which is exact, are those of ``operators.validity`` for tables.
+    """
+
+    def __init__(self, polygons: Sequence[Polygon]):
+        rings = [(p, r, _grid(ring)) for p, rings in enumerate(polygons) for r, ring in enumerate(rings)]
+        self.part = np.repeat([p for p, _, _ in rings], [len(g) for *_, g in rings])
+        self.ring = np.repeat([r for _, r, _ in rings], [len(g) for *_, g in rings])
+        self.who = np.repeat(np.arange(len(rings)), [len(g) for *_, g in rings])
+        self.n = np.repeat([len(g) for *_, g in rings], [len(g) for *_, g in rings])
+        self.i = np.concatenate([np.arange(len(g)) for *_, g in rings])
+        self.start = np.concatenate([g for *_, g in rings])
+        self.end = np.concatenate([np.roll(g, -1, axis=0) for *_, g in rings])
+        spans = np.abs(self.end - self.start).sum(axis=0)
+        low, high = self.start.min(axis=0), self.start.max(axis=0)
+        counts = np.maximum(1, np.minimum(len(self.i) // 4 + 1, 3 * len(self.i) * (high - low) // np.maximum(spans, 1)))
+        if counts[0] > counts[1]:  # columns of longitude: x and y change places
+            self.start, self.end, low, high, counts = (v[..., ::-1] for v in (self.start, self.end, low, high, counts))
+        self.least, self.height = int(low[1]), max(1, -int(-(high[1] - low[1]) // counts[1]))
+        self.first = (np.minimum(self.start[:, 1], self.end[:, 1]) - self.least) // self.height
+        self.last = (np.maximum(self.start[:, 1], self.end[:, 1]) - self.least) // self.height
+        times = self.last - self.first + 1
+        edge = np.repeat(np.arange(len(times)), times)
+        row = np.arange(len(edge)) - np.repeat(np.cumsum(times) - times, times) + self.first[edge]
+        order = np.argsort(row, kind="stable")
+        self.rows = dict(_groups(row[order], edge[order]))
+
+    def meeting(self):
+        """Pairs of edges that share a point, once each, and which ends lie on the other edge."""
+        for row, edges in self.rows.items():
+            for at in range(0, len(edges), _BLOCK):
+                a, b = (x.ravel() for x in np.meshgrid(edges[at : at + _BLOCK], edges[at:], indexing="ij"))
+                once = (a < b) & (np.maximum(self.first[a], self.first[b]) == row)
+                a, b = a[once], b[once]
+                near = np.ones(len(a), bool)
+                for k in (0, 1):
+                    near &= np.minimum(self.start[a, k], self.end[a, k]) <= np.maximum(self.start[b, k], self.end[b, k])
+                    near &= np.minimum(self.start[b, k], self.end[b, k]) <= np.maximum(self.start[a, k], self.end[a, k])
+                a, b = a[near], b[near]
+                ends = [(a, self.start[b]), (a, self.end[b]), (b, self.start[a]), (b, self.end[a])]
+                sides = [_side(self.start[e], self.end[e], p) for e, p in ends]
+                on = [(s == 0) & _between(self.start[e], self.end[e], p) for (e, p), s in zip(ends, sides, strict=True)]
+                sign = [np.sign(s) for s in sides]
+                cross = (sign[0] * sign[1] < 0) & (sign[2] * sign[3] < 0)
+                kept = cross | on[0] | on[1] | on[2] | on[3]
+                yield a[kept], b[kept], cross[kept], [o[kept] for o in on]
+
+    def check(self) -> None:
+        """Raises ``ValueError`` for a ring that meets itself and for rings that are misplaced."""
+        splits: dict[int, set] = {}
+        for a, b, cross, on in self.meeting():
+            follows, closes = self.i[b] == self.i[a] + 1, (self.i[a] == 0) & (self.i[b] == self.n[a] - 1)
+            one = self.who[a] == self.who[b]
+            folded = np.where(follows, on[1] | on[2], np.where(closes, on[0] | on[3], True))
+            if (one & folded).any():
+                raise ValueError("A ring of the region crosses or touches itself.")
+            if (~one & cross).any():
+                raise ValueError("Two rings of the region cross.")
+            for edge, point, touched in ((a, self.start[b], on[0]), (a, self.end[b], on[1]), (b, self.start[a], on[2]), (b, self.end[a], on[3])):
+                for e, p in zip(edge[touched & ~one].tolist(), point[touched & ~one].tolist(), strict=True):
+                    splits.setdefault(e, set()).add(tuple(p))
+        if self.who[-1]:
+            self._check_places(splits)
+
+    def _check_places(self, splits: dict[int, set]) -> None:
+        whole = np.array([e not in splits for e in range(len(self.i))])
+        owner, middle = [np.flatnonzero(whole)], [(self.start + self.end)[whole]]  # in half micro-degrees
+        for e, touches in splits.items():
+            points = np.array(sorted({*touches, tuple(self.start[e].tolist()), tuple(self.end[e].tolist())}))
+            owner.append(np.full(len(points) - 1, e))
+            middle.append(points[1:] + points[:-1])
+        owner, middle = np.concatenate(owner), np.concatenate(middle)
+        n_rings = int(self.who[-1]) + 1
+        pieces = np.bincount(self.who[owner], minlength=n_rings)
+        inside: Counter = Counter()
+        touching: Counter = Counter()
+        row = (middle[:, 1] - 2 * self.least) // (2 * self.height)
+        order = np.argsort(row, kind="stable")
+        for r, probes in _groups(row[order], order):
+            edges = self.rows.get(r, np.empty(0, int))
+            for at in range(0, len(probes), _BLOCK):
+                self._place(owner, middle, probes[at : at + _BLOCK], edges, inside, touching)
+        part, ring = (dict(zip(self.who.tolist(), v.tolist(), strict=True)) for v in (self.part, self.ring))
+        within: dict[int, set[int]] = {w: set() for w in range(n_rings)}
+        for a, b in {*inside, *touching}:
+            n_in, n_on = inside[a, b], touching[a, b]
+            fills = n_on == pieces[a] and ring[a] == 0 and ring[b] > 0  # a part that is just another's hole
+            if n_on == pieces[a] and not fills or n_in and n_in + n_on < pieces[a]:
+                raise ValueError("Two rings of the region overlap.")
+            if n_in or fills:
+                within[a].add(b)
+        for a, others in within.items():
+            if ring[a]:
+                if not any(ring[b] == 0 for b in others):
+                    raise ValueError("A hole of the region is not within its outer ring.")
+                if any(ring[b] for b in others):
+                    raise ValueError("Two holes of the region overlap.")
+            elif {part[b] for b in others if ring[b] == 0} - {part[b] for b in others if ring[b]}:
+                raise ValueError("Two polygons of the region overlap.")
+
+    def _place(self, owner, middle, probes, edges, inside: Counter, touching: Counter) -> None:
+        """Counts, for pieces and the rings of one row, where the pieces lie."""
+        p, e = (x.ravel() for x in np.meshgrid(probes, edges, indexing="ij"))
+        own = owner[p]
+        hole = self.ring[own] > 0
+        asked = np.where(hole, (self.part[own] == self.part[e]) & (self.ring[own] != self.ring[e]), self.part[own] != self.part[e])
+        p, e = p[asked], e[asked]
+        start, end, at = 2 * self.start[e], 2 * self.end[e], middle[p]
+        side = _side(start, end, at)
+        crossed = ((start[:, 1] > at[:, 1]) != (end[:, 1] > at[:, 1])) & ((side > 0) == (end[:, 1] > start[:, 1]))
+        on = (side == 0) & _between(start, end, at)
+        pairs = np.stack([p, self.who[e]], axis=1)
+        touched = {tuple(x) for x in pairs[on].tolist()}
+        found, times = np.unique(pairs[crossed], axis=0, return_counts=True)
+        touching.update((int(self.who[owner[q]]), b) for q, b in touched)
+        inside.update(
+            (int(self.who[owner[q]]), b) for (q, b), n in zip(found.tolist(), times.tolist(), strict=True)
+            if n % 2 and (q, b) not in touched
         )
 
-    return [p for p in points if not on_edge(*p)]
-
-
-def _cross(a: Ring, b: Ring) -> bool:
-    """Whether an edge of one ring passes through an edge of the other."""
-    def side(p, q, r):
-        return np.sign((q[..., 0] - p[..., 0]) * (r[..., 1] - p[..., 1]) - (q[..., 1] - p[..., 1]) * (r[..., 0] - p[..., 0]))
-
-    p, r = np.array(a, float), np.array(b, float)
-    q, s = np.roll(p, -1, axis=0), np.roll(r, -1, axis=0)
-    return any(
-        ((side(p[i], q[i], r) * side(p[i], q[i], s) < 0) & (side(r, s, p[i]) * side(r, s, q[i]) < 0)).any()
-        for i in range(len(p))
-    )
-
-
-def _check_apart(polygons: Sequence[Polygon]) -> None:
-    """Holes must lie in their shell and apart from each other, and polygons apart from each other."""
-    for shell, *holes in polygons:
-        for hole in holes:
-            probes = _probes(hole, shell)  # none: the hole is the whole shell
-            if not probes or _cross(shell, hole) or not all(_inside(shell, *p) for p in probes):
-                raise ValueError("A hole of the region is not within its outer ring.")
-        if any(_overlap(a, b) for i, a in enumerate(holes) for b in holes[:i]):
-            raise ValueError("Two holes of the region overlap.")
-    for i, one in enumerate(polygons):
-        for other in polygons[:i]:
-            a, b = one[0], other[0]
-            if _overlap(a, b) and not _in_hole(a, other) and not _in_hole(b, one):
-                raise ValueError("Two polygons of the region overlap.")
 
+# Edges or pieces compared with a row's edges at a time.
+_BLOCK = 256
+
+
+def _grid(ring: Ring) -> np.ndarray:
+    """Whole micro-degrees without repeated neighbours."""
+    points = np.array(ring, float)
+    if not (np.abs(points) <= 360).all():
+        raise ValueError("The region has coordinates that are no longitude and latitude.")
+    grid = np.floor(points * _KEY_SCALE + 0.5).astype(np.int64)
+    grid = grid[(grid != np.roll(grid, 1, axis=0)).any(axis=1)]
+    if len(grid) < 3 or _area([tuple(p) for p in grid.tolist()]) == 0:
+        raise ValueError("A ring of the region has no area.")
+    return grid
+
+
+def _groups(keys: np.ndarray, values: np.ndarray):
+    """Sorted keys with their values."""
+    cuts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else []
+    return zip([int(keys[c]) for c in cuts], np.split(values, cuts[1:]), strict=True) if len(keys) else []
 
-def _overlap(a: Ring, b: Ring) -> bool:
-    if any(max(p[k] for p in a) <= min(p[k] for p in b) or max(p[k] for p in b) <= min(p[k] for p in a) for k in (0, 1)):
-        return False
-    return (
-        _cross(a, b) or any(_inside(a, *p) for p in _probes(b, a)) or any(_inside(b, *p) for p in _probes(a, b))
-        or not _probes(a, b) and not _probes(b, a)
-    )
 
+def _side(start: np.ndarray, end: np.ndarray, point: np.ndarray) -> np.ndarray:
+    d, f = end - start, point - start
+    return d[:, 0] * f[:, 1] - d[:, 1] * f[:, 0]
 
-def _in_hole(ring: Ring, polygon: Polygon) -> bool:
-    return any(
-        not _cross(hole, ring) and all(_inside(hole, *p) for p in _probes(ring, hole)) for hole in polygon[1:]
-    )
+
+def _between(start: np.ndarray, end: np.ndarray, point: np.ndarray) -> np.ndarray:
+    return ((np.minimum(start, end) <= point) & (point <= np.maximum(start, end))).all(axis=1)
 
 
 @dataclass(frozen=True)
@@ -131,9 +197,7 @@ class Region:
                 f"The box {(min_lon, min_lat, max_lon, max_lat)} has no area: "
                 "its west and south sides must come before its east and north sides."
             )
-        return cls.from_polygon(
-            [(min_lon, min_lat), (max_lon, min_lat), (max_lon, max_lat), (min_lon, max_lat)]
-        )
+        return cls(((_ring([(min_lon, min_lat), (max_lon, min_lat), (max_lon, max_lat), (min_lon, max_lat)]),),))
 
     @classmethod
     def from_polygon(cls, outer: Sequence, holes: Sequence[Sequence] = ()) -> Region:
@@ -144,12 +208,7 @@ class Region:
         if not polygons or not all(polygons):
             raise ValueError("A region needs at least one ring.")
         made = tuple(tuple(_ring(r) for r in rings) for rings in polygons)
-        for rings in made:
-            for ring in rings:
-                if _area(ring) == 0:
-                    raise ValueError("A ring of the region has no area.")
-                _check_simple(ring)
-        _check_apart(made)
+        _Edges(made).check()
         return cls(made)
 
     @classmethod
@@ -196,14 +255,14 @@ class Region:
         )
         return on_envelope and abs(abs(_area(ring)) - box_area) <= 1e-9 * box_area
 
+    @property
+    def part_edges(self) -> list[list[list[tuple[float, float, float, float]]]]:
+        """Edges by polygon and ring."""
+        return [[[(*a, *b) for a, b in zip(r, r[1:] + r[:1], strict=True)] for r in rings] for rings in self.polygons]
+
     @property
     def edges(self) -> list[tuple[float, float, float, float]]:
-        return [
-            (*a, *b)
-            for rings in self.polygons
-            for ring in rings
-            for a, b in zip(ring, ring[1:] + ring[:1], strict=True)
-        ]
+        return [edge for rings in self.part_edges for ring in rings for edge in ring]
 
     def shape(self) -> list:
         """The region as a value of the ``shape`` column type."""

@@ -19,7 +19,7 @@ from borelake.functions.citation import citation_text
 from borelake.functions.geometry import bounds_of, box_shape, is_box
 from borelake.functions.keys import key_set_digest, log_key, query_key, region_key
 from borelake.operators import (
-    compilation, contracts, federation, filters, joins, mapping, ordinal, spatial_join, summary,
+    compilation, contracts, federation, filters, joins, mapping, ordinal, spatial_join, summary, validity,
 )
 from borelake.region import Region
 from borelake.sources import landed, registry, sinks, snapshot
@@ -408,7 +408,7 @@ SELECT box_id, min_lon < max_lon AND min_lat < max_lat AS region_valid,
 def _(fx):
     boxes = filters.regions_from_boxes(fx.fx_box, *BOUNDS)
     x0, y0, x1, y1 = bounds_of(F.col("shape"))
-    return filters.with_validity(boxes.withColumnRenamed("region_valid", "ordered")).select(
+    return validity.with_validity(boxes.withColumnRenamed("region_valid", "ordered")).select(
         "box_id", F.col("ordered").alias("region_valid"), x0.alias("x0"), y0.alias("y0"),
         x1.alias("x1"), y1.alias("y1"), (F.col("region_valid") & is_box(F.col("shape"))).alias("has_area"),
     )

@@ -1,13 +1,15 @@
 import math
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from borelake.functions.geometry import SHAPE_TYPE, is_box, point_in_edges, edges_of, shape_is_valid
+from borelake.functions.geometry import SHAPE_TYPE, is_box, part_edges, point_in_parts
 from borelake.functions.keys import region_key
 from borelake.operators.filters import in_region, region_shape
-from borelake.operators.spatial_join import points_in_polygons, polygons_in_region
+from borelake.operators.spatial_join import cut_to_cells, points_in_polygons, polygons_in_region
+from borelake.operators.validity import with_validity
 from borelake.region import Region
 
 from .conftest import rows
@@ -76,7 +78,7 @@ def test_validity_column(spark):
     }
     data = [(k, [[[{"x": float(x), "y": float(y)} for x, y in r] for r in p] for p in v]) for k, v in shapes.items()]
     df = spark.createDataFrame(data, f"k string, shape {SHAPE_TYPE}")
-    got = {r["k"]: r["v"] for r in df.select("k", shape_is_valid(F.col("shape")).alias("v")).collect()}
+    got = {r["k"]: r["region_valid"] for r in with_validity(df).collect()}
     assert got == {"ok": True, "bow": False, "flat": False, "none": False, "closed": True}
 
 
@@ -137,7 +139,7 @@ def test_one_polygon_inline_and_large(spark):
         region = Region.from_polygon(star(rng, 145, -35, n, 4))
         want = sorted(r["p"] for r in points.collect() if r["longitude"] is not None and inside(r["longitude"], r["latitude"], region.edges))
         assert sorted(r["p"] for r in in_region(points, region).collect()) == want
-        direct = points.where(point_in_edges(F.col("longitude"), F.col("latitude"), edges_of(region_shape(region)))) if n == 5 else None
+        direct = points.where(point_in_parts(F.col("longitude"), F.col("latitude"), part_edges(region_shape(region)))) if n == 5 else None
         assert direct is None or sorted(r["p"] for r in direct.collect()) == want
 
 
@@ -168,3 +170,118 @@ def test_stray_holes_and_overlapping_parts_are_rejected():
     Region.from_polygons([[square], [far]])
     Region.from_polygons([[square], [[(10, 0), (20, 0), (20, 10), (10, 10)]]])  # a shared side is no overlap
     Region.from_polygons([[square, inner], [[(2.5, 2.5), (3.5, 2.5), (3.5, 3.5)]]])  # an island in a hole
+
+
+def square(x, y, s):
+    return [(x, y), (x + s, y), (x + s, y + s), (x, y + s)]
+
+
+def shapes_frame(spark, shapes, name="k string"):
+    data = [(k, None if v is None else [[[{"x": float(x), "y": float(y)} for x, y in r] for r in p] for p in v]) for k, v in shapes.items()]
+    return spark.createDataFrame(data, f"{name}, shape {SHAPE_TYPE}")
+
+
+def is_valid(polygons):
+    try:
+        Region.from_polygons(polygons)
+    except ValueError:
+        return False
+    return True
+
+
+BIG, INNER = square(0, 0, 10), square(2, 2, 4)
+CASES = {
+    "hole": ([[BIG, INNER]], True), "stray hole": ([[BIG, square(20, 20, 1)]], False), "hole is shell": ([[BIG, BIG]], False),
+    "hole crosses shell": ([[BIG, square(8, 8, 4)]], False), "hole shares a side": ([[BIG, square(0, 2, 4)]], True),
+    "holes overlap": ([[BIG, INNER, square(3, 3, 4)]], False), "holes touch at a corner": ([[BIG, square(1, 1, 2), square(3, 3, 2)]], True),
+    "hole in hole": ([[BIG, INNER, square(3, 3, 1)]], False), "equal holes": ([[BIG, INNER, INNER]], False),
+    "parts apart": ([[BIG], [square(20, 0, 5)]], True), "parts overlap": ([[BIG], [square(5, 5, 10)]], False),
+    "part in part": ([[BIG], [INNER]], False), "parts equal": ([[BIG], [BIG]], False), "parts share a side": ([[BIG], [square(10, 0, 10)]], True),
+    "parts share part of a side": ([[BIG], [square(10, 3, 4)]], True), "island in a hole": ([[BIG, INNER], [square(3, 3, 1)]], True),
+    "island fills the hole": ([[BIG, INNER], [INNER]], True), "island leaves the hole": ([[BIG, INNER], [square(5, 5, 2)]], False),
+    "spike": ([[[(0, 0), (4, 0), (8, 0), (6, 0), (6, 5), (0, 5)]]], False), "touches itself": ([[[(0, 0), (8, 0), (4, 4), (8, 8), (0, 8), (4, 4)]]], False),
+    "through a corner": ([[BIG, [(0, 0), (12, 12), (0, 12)]]], False), "cross without corners inside": ([[BIG], [[(-1, 4), (11, 4), (11, 6), (-1, 6)]]], False),
+    "repeated vertices": ([[[(0, 0), (0, 0), (5, 0), (5, 5), (5, 5), (0, 0)]]], True), "beyond the globe": ([[square(1000, 0, 1)]], False),
+    "in two cuts of a side": ([[[(0, 0), (9, 0), (6, 3), (9, 6), (0, 6)], [(1, 1), (6, 3), (1, 5)]]], True),
+}
+
+
+def test_validity_of_holes_and_parts_on_tables_and_driver(spark):
+    df = shapes_frame(spark, {**{k: v for k, (v, _) in CASES.items()}, "null": None, "no rings": [[]]}).repartition(4)
+    assert df.columns + ["region_valid"] == with_validity(df).columns
+    got = {r["k"]: r["region_valid"] for r in with_validity(df).collect()}
+    assert got == {**{k: v for k, (_, v) in CASES.items()}, "null": False, "no rings": False}
+    for k, (shape, valid) in CASES.items():
+        assert is_valid(shape) == valid, k
+    assert with_validity(df.where("false")).collect() == []
+
+
+def test_random_regions_are_judged_alike(spark):
+    rng = random.Random(8)
+    shapes = {}
+    for i in range(120):
+        some = lambda: (square(rng.randrange(8), rng.randrange(8), rng.randrange(1, 6)) if rng.random() < 0.6
+                        else [(rng.randrange(9), rng.randrange(9)) for _ in range(rng.randrange(3, 6))])
+        shapes[i] = [[some() for _ in range(rng.choice([1, 1, 2, 3]))] for _ in range(rng.choice([1, 1, 2, 3]))]
+    got = {r["k"]: r["region_valid"] for r in with_validity(shapes_frame(spark, shapes, "k int")).collect()}
+    assert got == {i: is_valid(v) for i, v in shapes.items()} and 5 < sum(got.values()) < 100
+
+
+def test_validity_of_long_rings(spark):
+    rng = random.Random(2)
+    coast = star(rng, 145, -30, 10_000, 5)
+    comb = [p for i in range(5000) for p in ((i * 0.001, 0.0), (i * 0.001 + 0.0005, 9.0))] + [(5.1, -1.0), (-0.1, -1.0)]
+    crossed = [*coast[:5000], (165.0, -29.99), *coast[5001:]]  # out through the other side
+    shapes = {"coast": [[coast]], "comb": [[comb]], "crossed": [[crossed]], "islands": [[square(i % 100, i // 100, 0.5)] for i in range(2500)]}
+    want = {"coast": True, "comb": True, "crossed": False, "islands": True}
+    for k, shape in shapes.items():
+        began = time.perf_counter()
+        assert is_valid(shape) == want[k] and time.perf_counter() - began < 8, k
+    began = time.perf_counter()
+    assert {r["k"]: r["region_valid"] for r in with_validity(shapes_frame(spark, shapes)).collect()} == want
+    assert time.perf_counter() - began < 40
+
+
+def test_points_in_parts_equal_brute_force(spark):
+    """Polygons that overlap, holes that do, holes astray, and islands in holes."""
+    rng = random.Random(6)
+    shapes, points = {}, [(i, rng.randrange(0, 60) / 4, rng.randrange(0, 60) / 4) for i in range(600)]
+    for i in range(40):
+        shapes[i] = [[square(rng.randrange(9), rng.randrange(9), rng.randrange(1, 7)) for _ in range(rng.choice([1, 2, 3]))] for _ in range(rng.choice([1, 2, 3]))]
+    shapes[40] = [[square(0, 0, 15), square(2, 2, 10)], [square(4, 4, 3)]]
+
+    def strictly(x, y, ring):
+        (a, b), (c, d) = ring[0], ring[2]
+        return a < x < c and b < y < d
+
+    def holds(x, y, polygons):
+        return any(inside(x, y, list(zip(*zip(*s), strict=True)) and [(*p, *q) for p, q in zip(s, s[1:] + s[:1], strict=True)])
+                   and not any(strictly(x, y, h) for h in holes) for s, *holes in polygons)
+
+    want = sorted((p, i) for p, x, y in points for i, s in shapes.items() if holds(x, y, s))
+    df = spark.createDataFrame(points, "p int, longitude double, latitude double")
+    polygons = shapes_frame(spark, shapes, "poly int")
+    for options in ({}, {"limit": 0}, {"cell": 4.0}, {"cell": 0.7}):
+        assert sorted(map(tuple, points_in_polygons(df, polygons, **options).select("p", "poly").collect())) == want
+    semi = points_in_polygons(df, polygons, how="left_semi")
+    assert sorted(r.p for r in semi.collect()) == sorted({p for p, _ in want})
+    region = Region(tuple(tuple(tuple(map(tuple, r)) for r in p) for p in shapes[40]))
+    assert sorted(r.p for r in in_region(df, region).collect()) == sorted(p for p, i in want if i == 40)
+
+
+def test_small_polygons_in_one_coarse_cell(spark):
+    """A hundred thousand small squares share a half-degree cell; a point meets those of its fine cell."""
+    side = 0.5 / 400
+    polygons = spark.range(100_000).selectExpr("id AS poly", f"145 + {side} * (id % 316) AS x", f"-35 + {side} * floor(id / 316) AS y")
+    corner = lambda dx, dy: F.struct((F.col("x") + dx).alias("x"), (F.col("y") + dy).alias("y"))
+    far = side * 0.9
+    shape = F.array(F.array(F.array(corner(0, 0), corner(far, 0), corner(far * 0.9, far), corner(0, far))))
+    large = shapes_frame(spark, {-1: [[square(144, -36, 3)]]}, "poly bigint")
+    polygons = polygons.select("poly", shape.alias("shape")).unionByName(large)
+    points = spark.range(2000).selectExpr("id AS p", f"145 + {side} * (id % 300 + 0.5) AS longitude", f"-35 + {side} * (id % 310 + 0.5) AS latitude")
+    cells = cut_to_cells(polygons).where("poly >= 0").groupBy("_level", "_cell_x", "_cell_y").count()
+    most = cells.agg(F.max("count"), F.count("*")).first()
+    assert most[0] <= 16 and most[1] > 20_000
+    found = points_in_polygons(points, polygons)
+    assert found.where("poly = -1").count() == 2000 and found.where("poly >= 0").count() == 2000
+    assert points_in_polygons(points, polygons, how="left_semi").count() == 2000
