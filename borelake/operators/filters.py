@@ -13,7 +13,7 @@ from ..functions.geometry import SHAPE_TYPE, box_shape, in_box, point_in_literal
 from ..functions.keys import eno_of_identifier
 from ..region import Region
 from ..sources.registry import STATE_EXTENTS
-from .ordinal import with_ordinal
+from .ordinal import equal_to, key_at
 from .spatial_join import points_in_polygons
 
 # Raw fields that hold measurements.
@@ -142,12 +142,11 @@ def collection_keys(headers: DataFrame) -> DataFrame:
 def at_position(df: DataFrame, position: int, order: Sequence[str] = ("row_no",)) -> DataFrame:
     """The row at a position of the collection, counted from 0, or from the end where negative.
 
-    No row is there beyond either end. ``order`` must be unique. Only its columns are numbered.
+    No row is there beyond either end. ``order`` must be unique. The row is found by counting ranges of
+    the ordering, without a sort of the table, and read by its key.
     """
-    order = list(order)
-    numbered = with_ordinal(df.select(*order), order, name="_at")
-    place = F.lit(position + 1) if position >= 0 else F.lit(numbered.count() + position + 1)
-    return df.join(F.broadcast(numbered.where(F.col("_at") == place).drop("_at")), order, "left_semi")
+    key = key_at(df, position, list(order))
+    return df.where(F.lit(False)) if key is None else df.where(equal_to(key))
 
 
 def regions_from_boxes(boxes: DataFrame, *bounds: str) -> DataFrame:

@@ -1,19 +1,68 @@
 """Dense positions and ordered interval lists, without a one-task window.
 
 A window over a whole source, or over one bore that holds a third of all rows, is a single task.
-Here rows are range-partitioned on the full ordering, which splits even one bore between tasks;
-the position inside a task is added to the number of rows in the tasks before it.
+Here the ordering is cut into ranges of about equal rows first, from a bounded sample of its keys, so
+that even one bore is split between tasks. A row's position in its range and group, plus the rows of
+that group in the ranges before, is its position. Only a group that a cut falls into has rows in
+several ranges, so these offsets are no more than a few per range, whatever the number of groups.
+
+Keys alone are written to the shared folder and counted; wide rows are shuffled once, by range.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..config import park
+
+# Ranges per shuffle partition, and keys that the driver looks at per range to cut them.
+RANGES, LOOKED_AT = 2, 40
+# Rows of a range that may be sorted in one task to find the row of a given rank.
+SORTED_ROWS = 50_000
+
+
+def _place(columns: Sequence[str]) -> Column:
+    return F.struct(*(F.col(c).alias(f"_{i}") for i, c in enumerate(columns)))
+
+
+class Cuts:
+    """Places that cut an ordering into ranges of about equal rows."""
+
+    def __init__(self, keys: DataFrame, columns: Sequence[str], ranges: int, n: int | None = None):
+        n = keys.count() if n is None else n
+        share = min(1.0, LOOKED_AT * ranges / max(1, n))
+        some = keys if share == 1.0 else keys.sample(share, seed=1)
+        place = some.select(_place(columns).alias("p"))
+        # Sorted by Spark's own order of the types, nulls first; at most a few times the rows asked for.
+        seen = [r["p"] for r in place.orderBy("p").collect()]
+        self.places = []
+        for i in range(1, ranges):
+            at = seen[len(seen) * i // ranges] if seen else None
+            if at is not None and (not self.places or self.places[-1] != at):
+                self.places.append(at)
+        self.columns = list(columns)
+        self.schema = T.StructType([T.StructField(f"_{i}", keys.schema[c].dataType) for i, c in enumerate(columns)])
 
-from ..config import BROADCAST_LIMIT, park
-from .hot_keys import flat_bytes, spread_join
+    def range_of(self) -> Column:
+        """The number of cuts at or before a row's place, found in two steps."""
+        width = max(1, round(len(self.places) ** 0.5))
+        rows = [[p.asDict() for p in self.places[at : at + width]] for at in range(0, len(self.places), width)]
+        table = F.from_json(F.lit(json.dumps(rows)), T.ArrayType(T.ArrayType(self.schema)))
+        place = _place(self.columns)
+        row = F.size(F.filter(F.transform(table, lambda r: r[0]), lambda c: c <= place))
+        within = F.size(F.filter(F.get(table, F.greatest(row - 1, F.lit(0))), lambda c: c <= place))
+        return F.when(row == 0, 0).otherwise((row - 1) * width + within).cast("int") if rows else F.lit(0)
+
+
+def _ranges(df: DataFrame) -> int:
+    return RANGES * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def with_ordinal(
@@ -25,40 +74,59 @@ def with_ordinal(
     """Adds the 1-based position of each row in ``order``, restarting for each ``within`` group.
 
     Null ``within`` values are a group like any other; ``within + order`` must be unique for a
-    repeatable result. The sorted rows are written once to the shared folder: the range split is
-    sampled, so it must not be made twice.
+    repeatable result. The key columns are plain values (text, whole numbers, dates).
     """
     keys = [*within, *order]
-    marked = (
-        df.repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("_mark", F.monotonically_increasing_id())
-    )
-    rows = park(marked, "ordinal")
-    task = F.shiftright(F.col("_mark"), 33)
-    place = F.col("_mark").bitwiseAND(F.lit((1 << 33) - 1))
-    numbered = rows.withColumn("_task", task)
-    # one row per task: its size is the number of range partitions, not the data
-    before = F.sum("_n").over(Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = (
-        numbered.groupBy("_task").agg(F.count(F.lit(1)).alias("_n"))
-        .select("_task", F.coalesce(before, F.lit(0)).alias("_offset"))
-    )
-    placed = numbered.join(F.broadcast(offsets), "_task").withColumn(
-        "_global", F.col("_offset") + place
+    narrow = park(df.select(*keys), "ordinal-keys")
+    cuts = Cuts(narrow, keys, _ranges(df))
+    ranged = narrow.withColumn("_range", cuts.range_of())
+    group = F.struct(*(F.col(c).alias(f"_{i}") for i, c in enumerate(within))) if within else F.lit(0)
+    if within:  # only groups that a cut falls into have rows in two ranges
+        parted = T.StructType(cuts.schema.fields[: len(within)])
+        groups = df.sparkSession.createDataFrame(
+            [(p[: len(within)],) for p in cuts.places], T.StructType([T.StructField("_split", parted)])
+        ).distinct()
+        ranged = ranged.join(F.broadcast(groups), group.eqNullSafe(F.col("_split")), "left_semi")
+    counted = ranged.groupBy(group.alias("_group"), "_range").agg(F.count(F.lit(1)).alias("_n"))
+    # a few rows per range
+    before = F.sum("_n").over(Window.partitionBy("_group").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = park(counted.select("_group", "_range", F.coalesce(before, F.lit(0)).alias("_before")), "ordinal-offsets")
+    offsets = offsets.withColumnsRenamed({"_group": "_of_group", "_range": "_of_range"})
+    placed = df.withColumns({"_range": cuts.range_of(), "_group": group})
+    place = F.row_number().over(Window.partitionBy("_group", "_range").orderBy(*order))
+    found = placed.withColumn("_place", place).join(
+        F.broadcast(offsets), F.col("_group").eqNullSafe(F.col("_of_group")) & (F.col("_range") == F.col("_of_range")), "left"
     )
-    if not within:
-        return placed.withColumn(name, F.col("_global") + 1).select(*df.columns, name)
-    starts = park(placed.groupBy(*within).agg(F.min("_global").alias("_start")), "starts")
-    # Structs are equal where both hold a null, so no group is lost.
-    group = F.struct(*within).alias("_group")
-    first = starts.select(group, "_start")
-    grouped = placed.withColumn("_group", group)
-    if flat_bytes(starts) <= BROADCAST_LIMIT:
-        joined = grouped.join(F.broadcast(first), "_group")
-    else:
-        joined = spread_join(grouped, first, ["_group"], limit=0)
-    return joined.select(*df.columns, (F.col("_global") - F.col("_start") + 1).alias(name))
+    return found.select(*df.columns, (F.coalesce("_before", F.lit(0)) + F.col("_place")).cast("bigint").alias(name))
+
+
+def key_at(df: DataFrame, position: int, order: Sequence[str]) -> dict | None:
+    """The ``order`` columns of the row at a position, from 0, or from the end where negative.
+
+    Rows are counted by ranges of the ordering, and the range that holds the row is cut again, until
+    one is small enough to be sorted in a task. None beyond either end.
+    """
+    rows = df.select(*order)
+    n = rows.count()
+    rank = position if position >= 0 else n + position
+    if not 0 <= rank < n:
+        return None
+    while n > SORTED_ROWS:
+        cuts = Cuts(rows, order, _ranges(df), n)
+        counts = rows.groupBy(cuts.range_of().alias("_range")).count().collect()
+        for r in sorted(counts, key=lambda r: r["_range"]):
+            if rank < r["count"]:
+                break
+            rank -= r["count"]
+        if r["count"] == n:  # equal places, which no cut parts
+            break
+        rows, n = rows.where(cuts.range_of() == r["_range"]), r["count"]
+    return rows.orderBy(*order).offset(rank).limit(1).first().asDict()
+
+
+def equal_to(key: dict) -> Column:
+    """Rows whose columns have just these values."""
+    return reduce(and_, (F.col(c).eqNullSafe(F.lit(v)) for c, v in key.items()))
 
 
 def interval_rows(

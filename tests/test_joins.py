@@ -136,13 +136,38 @@ def test_ordinals_are_dense_and_restart(spark):
         assert r["ordinal"] == seen[r["g"]]
 
 
-def test_ordinals_with_many_groups_take_the_shuffled_way(spark, monkeypatch):
-    monkeypatch.setattr(ordinal, "BROADCAST_LIMIT", 3)
+def test_ordinals_with_many_groups(spark):
     df = spark.createDataFrame([(f"g{i % 11}" if i % 11 else None, i) for i in range(500)], "g string, v int")
     got = ordinal.with_ordinal(df, ["v"], ["g"])
     assert all(r["ordinal"] == r["v"] // 11 + 1 for r in got.collect()) and got.count() == 500
 
 
+def test_ordinals_are_numbered_by_counts_of_ranges(spark):
+    """One group of half the rows, null groups, and text keys; only keys are written, no row is sorted globally."""
+    rows = [(None if i % 50 == 0 else "big" if i % 2 else f"g{i % 30}", f"k{(i * 7919) % 4000:05d}", i, "wide " * 10) for i in range(4000)]
+    df = spark.createDataFrame(rows, "g string, k string, v bigint, note string").repartition(5)
+    got = ordinal.with_ordinal(df, ["k", "v"], ["g"])
+    seen = {}
+    for g, k, v, _ in sorted(rows, key=lambda r: (r[0] or "", r[1], r[2])):
+        seen[v] = seen[g, "n"] = seen.get((g, "n"), 0) + 1
+    assert {r["v"]: r["ordinal"] for r in got.collect()} == {v: seen[v] for *_, v, _ in rows}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "_group" in plan
+
+
+def test_row_of_a_rank_is_found_without_a_sort(spark, monkeypatch):
+    monkeypatch.setattr(ordinal, "SORTED_ROWS", 50)
+    df = spark.range(3000).selectExpr("(id * 7919) % 3000 AS v", "id % 3 AS g", "'x' AS note").repartition(4)
+    for i in (0, 1, 1499, 2999, -1, -3000):
+        assert [r.v for r in filters.at_position(df, i, ["v"]).collect()] == [i % 3000]
+    for i in (3000, -3001):
+        assert filters.at_position(df, i, ["v"]).collect() == []
+    plan = filters.at_position(df, 17, ["g", "v"])._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Window" not in plan
+    same = spark.createDataFrame([(1,)] * 200, "v int")
+    assert ordinal.key_at(same, 150, ["v"]) == {"v": 1}
+
+
 def test_long_logs_continue_in_parts(spark):
     logs = spark.createDataFrame(
         [(i, "hot" if i % 2 else f"k{i % 10}", float(i)) for i in range(1000)], "row_no long, bore_key string, d double")
