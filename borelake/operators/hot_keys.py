@@ -62,16 +62,33 @@ def flat_bytes(df: DataFrame) -> float:
     return row["n"] * 16 * (len(df.columns) + 1) + (row["text"] or 0)
 
 
+def side_bytes(df: DataFrame) -> float:
+    """The same for a table that may also hold arrays of numbers, whose values count like others."""
+    lists = [
+        f.name for f in df.schema if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.NumericType)
+    ]
+    if not lists:
+        return flat_bytes(df)
+    sizes = {c: F.greatest(F.size(quoted(c)), F.lit(0)) for c in lists}
+    values = df.agg(F.sum(reduce(add, sizes.values(), F.lit(0).cast("bigint")))).first()[0] or 0
+    return flat_bytes(df.withColumns(sizes)) + 16 * values
+
+
 def _any_null(keys: Sequence[str]) -> Column:
     return reduce(or_, (F.col(k).isNull() for k in keys))
 
 
-def _row_number_like(df: DataFrame) -> Column:
-    """A value that differs between rows, even between copies of one row."""
+def _row_number_like(df: DataFrame, keys: Sequence[str]) -> Column:
+    """A value that differs between rows: of their landed number, else of their plain columns but the keys.
+
+    It depends on the row alone, so a map task that is run again deals its rows as before. Only rows
+    that hold nothing else plain are told apart by their place in the task.
+    """
     for ordinal in ("row_no", "l_row_no"):
         if ordinal in df.columns:
             return F.xxhash64(ordinal)
-    return F.monotonically_increasing_id()
+    plain = [quoted(f.name) for f in df.schema if isinstance(f.dataType, FLAT_TYPES) and f.name not in keys]
+    return F.xxhash64(*plain) if plain else F.monotonically_increasing_id()
 
 
 def spread_join(
@@ -91,7 +108,7 @@ def spread_join(
     since a join below would swallow it.
     """
     keys = list(keys)
-    if limit and flat_bytes(small) <= limit:
+    if limit and side_bytes(small) <= limit:
         return key_join(big, F.broadcast(small), keys, how, condition)
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     hot = hot_keys(big, keys, hot_rows)
@@ -99,7 +116,7 @@ def spread_join(
     keeps_nulls = how in ("left", "left_anti")
     if n_hot == 0 and not keeps_nulls:
         return key_join(big, hinted(small, hint), keys, how, condition)
-    spot = _row_number_like(big)
+    spot = _row_number_like(big, keys)
     salt = F.lit(0)
     if n_hot:
         hot = park(hot, "hot-keys")
@@ -125,7 +142,7 @@ def with_salts(df: DataFrame, hot: DataFrame, keys: Sequence[str], limit: int =
     if flat_bytes(hot) <= limit:
         return df.join(F.broadcast(hot), list(keys), "left")
     copies = hot.withColumn("_deal", F.explode(F.sequence(F.lit(0), F.lit(KEY_SPREAD - 1))))
-    deal = F.pmod(_row_number_like(df), F.lit(KEY_SPREAD)).cast("int")
+    deal = F.pmod(_row_number_like(df, keys), F.lit(KEY_SPREAD)).cast("int")
     dealt = df.withColumn("_deal", deal).join(copies.hint("merge"), [*keys, "_deal"], "left")
     return dealt.drop("_deal")
 

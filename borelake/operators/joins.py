@@ -18,6 +18,7 @@ from ..functions.coerce import double_of, long_of
 from ..schema import HEADER_COLUMNS, LOG_PAYLOAD, check_kind
 from .hot_keys import spread_join
 from .mapping import CODE_BOUNDS, NATIONAL_HEADER, NATIONAL_LOG, clean_position
+from .spatial_join import points_in_polygons
 
 
 def last_positions(bores: DataFrame, order: str = "row_no") -> DataFrame:
@@ -110,10 +111,14 @@ def join_logs(
     return spread_join(left, renamed(headers, header_columns or headers.columns, "h_"), keys)
 
 
-def export_logs(headers: DataFrame, logs: DataFrame, kind: str) -> DataFrame:
-    """The contractual interval table: header's position and source, interval's name else header's."""
+def export_logs(headers: DataFrame, logs: DataFrame, kind: str, carried: Sequence[str] = (), log_order: str | None = None) -> DataFrame:
+    """The contractual interval table: header's position and source, interval's name else header's.
+
+    ``carried``: further header columns, which stand last, then, under the name ``log_order``, the
+    interval's own place among its landed rows.
+    """
     payload = LOG_PAYLOAD[check_kind(kind)]
-    joined = join_logs(headers, logs, ["source", "name", "longitude", "latitude"])
+    joined = join_logs(headers, logs, ["source", "name", "longitude", "latitude", *carried])
     source = F.col("source") if "source" in joined.columns else F.col("h_source")
     return joined.select(
         source.alias("source"),
@@ -128,9 +133,39 @@ def export_logs(headers: DataFrame, logs: DataFrame, kind: str) -> DataFrame:
                 "bottom_elev_m_ahd", *payload, "valid", "invalid_reason",
             )
         ),
+        *(F.col(f"h_{c}").alias(c) for c in carried),
+        *([F.col("l_row_no").alias(log_order)] if log_order else []),
     )
 
 
+def logs_in_regions(
+    headers: DataFrame, logs: DataFrame, regions: DataFrame, region_key: str, kind: str, shape: str = "shape"
+) -> DataFrame:
+    """The interval table of every region of a table: ``region_key`` and the contractual columns.
+
+    Bores meet the regions first and carry the keys of all that hold them, so the logs are read and
+    joined once, whatever number of regions asks for a bore; regions part again at the very end.
+    An interval appears once for each region of its bore, and a region without intervals not at all.
+    """
+    needed = [c for c in dict.fromkeys(("bore_key", "row_no", "source", "name", "longitude", "latitude")) if c in headers.columns]
+    asked = regions.select(F.col(region_key).alias("_region"), F.col(shape).alias("shape"))
+    pairs = points_in_polygons(headers.select(*needed), asked)
+    held = pairs.groupBy(*needed).agg(F.sort_array(F.collect_list("_region")).alias("_regions"))
+    exported = export_logs(park(held, "bores-in-regions"), logs, kind, carried=("_regions",))
+    rest = [c for c in exported.columns if c != "_regions"]
+    return exported.select(F.explode("_regions").alias(region_key), *rest)
+
+
+def in_query_order(headers: DataFrame, logs: DataFrame, kind: str) -> DataFrame:
+    """The interval table with its order: ``source_ord, bore_row_no, log_row_no`` stand last.
+
+    Sorting by them puts sources, bores and intervals as the query asked for them.
+    """
+    ordered = headers if "source_ord" in headers.columns else headers.withColumn("source_ord", F.lit(0))
+    placed = ordered.withColumn("bore_row_no", F.col("row_no"))
+    return export_logs(placed, logs, kind, ("source_ord", "bore_row_no"), log_order="log_row_no")
+
+
 def export_headers(headers: DataFrame) -> DataFrame:
     """The contractual header table."""
     return headers.select(*HEADER_COLUMNS)

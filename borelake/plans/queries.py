@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.citation import DEFAULT_HYDRO_CITATION, provenance_citation
+from ..functions.geometry import bounds_of
 from ..operators.federation import federated_logs, union_all
 from ..operators.filters import (
     by_attribute, in_region, raw_in_region, region_shape, single_header, source_tags,
@@ -158,6 +159,21 @@ class AllBores:
         headers = union_all(p.headers for p in parts).withColumn("source_ord", order.cast("int"))
         return Bores(headers, logs, footprint, provenance)
 
+    def log_tables_in(
+        self, regions: DataFrame, region_key: str, kind: str = "stratigraphy", *, shape: str = "shape", sources=None
+    ) -> DataFrame:
+        """The interval table of every region of a table, all sources: ``region_key`` and the log's columns.
+
+        Sources and scans are pruned by the envelope of all regions, which is read first.
+        """
+        bounds = regions.select(*(c.alias(n) for c, n in zip(bounds_of(F.col(shape)), _BOUNDS, strict=True)))
+        box = bounds.agg(F.min("min_lon"), F.min("min_lat"), F.max("max_lon"), F.max("max_lat")).first()
+        if None in tuple(box):
+            raise ValueError("The table of regions holds no region.")
+        wide = (box[0], box[1], max(box[2], box[0] + 1e-6), max(box[3], box[1] + 1e-6))
+        found = self.boreholes(bbox=wide, sources=sources)
+        return found.log_table_by_region(regions.select(region_key, F.col(shape).alias("shape")), region_key, kind)
+
     @staticmethod
     def _logs(kind: str, parts: list[Bores]) -> DataFrame:
         """Intervals of all parts; the national part has no construction records."""

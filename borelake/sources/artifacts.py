@@ -9,15 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def check_artifacts(spark: SparkSession, root: str, registry: DataFrame) -> DataFrame:
-    """``state, path, size_ok, md5_ok`` of each landed archive ``<root>/<state>/*.zip``.
+def check_artifacts(spark: SparkSession, root: str, registry: DataFrame, pattern: str = "*.zip") -> DataFrame:
+    """``state, path, size_ok, md5_ok`` of each landed archive ``<root>/<state>/`` whose name fits ``pattern``.
 
     Sizes come from the file listing alone; only files of a size in the registry (a few rows, read
     on the driver) are opened. An archive must fit a task's memory, 2 GB at most.
     """
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.zip").load(root)
+        .option("pathGlobFilter", pattern).load(root)
     )
     state = F.upper(F.element_at(F.split("path", "/"), -2))
     asked = F.broadcast(registry.select("state", "zip_bytes", "zip_md5"))

@@ -138,6 +138,13 @@ SELECT c_custkey AS box_id, lon - half AS min_lon, lat - half AS min_lat,
 FROM (SELECT c_custkey, CAST(1 + c_custkey % 3 AS double) / 64e0 AS half,
              140e0 + CAST((c_custkey * 7919) % 1500 AS double) / 100e0 AS lon,
              -39e0 + CAST((c_custkey * 104729) % 1100 AS double) / 100e0 AS lat FROM {customer}) boxes
+""",
+    # a region of several rings around each customer's bore; which holes and parts is told by its number
+    "fx_parted": """
+SELECT c_custkey AS region_id, c_custkey % 6 AS hole, c_custkey % 5 AS other, 1e0 / 64e0 AS u,
+       140e0 + CAST((c_custkey * 7919) % 1500 AS double) / 100e0 - 3e0 / 64e0 AS x,
+       -39e0 + CAST((c_custkey * 104729) % 1100 AS double) / 100e0 - 3e0 / 64e0 AS y
+FROM {customer}
 """,
     # one state per customer, and a manifest with repeats, gaps and stale stamps
     "fx_states": """

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from borelake import SnapshotStore
+from borelake import AllBores, SnapshotStore, build_state
 from borelake.config import shared_path
 from borelake.functions.coerce import clean_text, parse_number
 from borelake.functions.citation import citation_text
@@ -22,7 +22,7 @@ from borelake.operators import (
     compilation, contracts, federation, filters, joins, mapping, ordinal, spatial_join, summary, validity,
 )
 from borelake.region import Region
-from borelake.sources import landed, registry, sinks, snapshot
+from borelake.sources import artifacts, landed, registry, sinks, snapshot
 
 from .fixtures import Fixtures, oracle
 
@@ -336,9 +336,9 @@ def _(fx):
 
 @register("attr_number", """
 SELECT eno, elevation_m FROM fx_ga_header
-WHERE try_cast(trim(elevation_m) AS double) > 40 AND "drillingMethod" = 'Rotary'""")
+WHERE try_cast(trim(elevation_m) AS double) > 4 AND "drillingMethod" = 'Rotary'""")
 def _(fx):
-    found = filters.by_attribute(fx.fx_ga_header, "elevation_m > 40 AND drillingMethod = 'Rotary'")
+    found = filters.by_attribute(fx.fx_ga_header, "elevation_m > 4 AND drillingMethod = 'Rotary'")
     return found.select("eno", "elevation_m")
 
 
@@ -414,6 +414,41 @@ def _(fx):
     )
 
 
+# Holes and parts by the number of their case: west, south, east and north in units from the region's corner.
+HOLES = {0: (2, 2, 4, 4), 1: (20, 20, 22, 22), 2: (8, 8, 12, 12), 3: (0, 2, 3, 5), 4: (0, 0, 10, 10)}
+PARTS = {1: (30, 30, 33, 33), 2: (5, 5, 15, 15), 3: (10, 0, 14, 10), 4: (2.5, 2.5, 3.5, 3.5)}
+_VALID_PARTED = "hole IN (0, 3, 5) AND (other IN (0, 1, 3) OR other = 4 AND hole = 0)"
+
+
+def parted_shapes(fx: Fixtures) -> DataFrame:
+    """Regions of a square, maybe a hole, maybe a second square."""
+    def ring(west, south, east, north):
+        return box_shape(*(F.col(c) + F.lit(float(k)) * F.col("u") for c, k in (("x", west), ("y", south), ("x", east), ("y", north))))[0][0]
+
+    def case(column, rings):
+        return F.array_compact(F.array(*(F.when(F.col(column) == k, ring(*at)) for k, at in rings.items())))
+
+    first = F.concat(F.array(ring(0, 0, 10, 10)), case("hole", HOLES))
+    second = F.transform(case("other", PARTS), lambda r: F.array(r))
+    return fx.fx_parted.select("region_id", F.concat(F.array(first), second).alias("shape"))
+
+
+def _in_parted(lon: str, lat: str) -> str:
+    """SQL: a point lies in a region's square and not within its hole, or in its second square."""
+    def held(at, sign="<="):
+        west, south, east, north = at
+        return f"(x + {west}e0 * u {sign} {lon} AND {lon} {sign} x + {east}e0 * u AND y + {south}e0 * u {sign} {lat} AND {lat} {sign} y + {north}e0 * u)"
+
+    holes = " OR ".join(f"(hole = {k} AND {held(at, '<')})" for k, at in HOLES.items())
+    parts = " OR ".join(f"(other = {k} AND {held(at)})" for k, at in PARTS.items())
+    return f"({held((0, 0, 10, 10))} AND NOT ({holes}) OR {parts})"
+
+
+@register("region_validity_parts", f"SELECT region_id, {_VALID_PARTED} AS region_valid FROM fx_parted")
+def _(fx):
+    return validity.with_validity(parted_shapes(fx)).select("region_id", "region_valid")
+
+
 @register("header_at_position", with_(_BORES) + f"""
 SELECT {_HEADER} FROM (SELECT *, row_number() OVER (ORDER BY row_no) AS place FROM bores) WHERE place = 21""")
 def _(fx):
@@ -547,6 +582,22 @@ def _(fx):
     ).select("row_no", "box_id")
 
 
+@register("points_in_parts", with_(_BORES) + f"""
+SELECT row_no, region_id FROM bores JOIN fx_parted ON longitude BETWEEN x AND x + 33 * u
+  AND latitude BETWEEN y AND y + 33 * u AND {_in_parted('longitude', 'latitude')}""")
+def _(fx):
+    return spatial_join.points_in_polygons(bores(fx), parted_shapes(fx)).select("row_no", "region_id")
+
+
+@register("logs_in_boxes", with_(_BORES, _STRAT) + "SELECT b.box_id AS box_id, e.* EXCLUDE (bore_row_no) FROM (" + _export(
+    "bores", "strat", "stratigraphy", "h.bore_key = l.bore_key").replace("SELECT", "SELECT h.row_no AS bore_row_no,", 1) + """) e
+JOIN fx_box b ON min_lon < max_lon AND min_lat < max_lat
+ AND longitude BETWEEN min_lon AND max_lon AND latitude BETWEEN min_lat AND max_lat""")
+def _(fx):
+    boxes = filters.regions_from_boxes(fx.fx_box, *BOUNDS).where("region_valid")
+    return joins.logs_in_regions(bores(fx), strat(fx), boxes, "box_id", "stratigraphy")
+
+
 # Unions ----------------------------------------------------------------------------------------
 
 
@@ -570,6 +621,23 @@ def _(fx):
     return joins.export_logs(filters.in_region(all_headers(fx), BOX), logs, "stratigraphy")
 
 
+@register("federated_construction", with_(_GA, _BORES, _CONSTRUCTION) + _export(
+    f"(SELECT * FROM bores WHERE {_IN_BOX})", "construction", "construction", "h.bore_key = l.bore_key"))
+def _(fx):
+    logs = federation.federated_logs("construction", None, construction(fx))
+    return joins.export_logs(filters.in_region(all_headers(fx), BOX), logs, "construction")
+
+
+@register("ordered_log_table", with_(_GA, _BORES, _GA_STRAT, _STRAT) + _export(
+    f"(SELECT *, eno AS row_no, 0 AS source_ord FROM ga WHERE {_IN_BOX})", "gs", "stratigraphy", "h.eno = l.eno"
+    ).replace(" FROM ", ", h.source_ord AS source_ord, h.row_no AS bore_row_no, l.row_no AS log_row_no FROM ", 1) + " UNION ALL " + _export(
+    f"(SELECT *, 1 AS source_ord FROM bores WHERE {_IN_BOX})", "strat", "stratigraphy", "h.bore_key = l.bore_key"
+    ).replace(" FROM ", ", h.source_ord AS source_ord, h.row_no AS bore_row_no, l.row_no AS log_row_no FROM ", 1))
+def _(fx):
+    logs = federation.federated_logs("stratigraphy", ga_strat(fx), tagged_strat(fx))
+    return joins.in_query_order(filters.in_region(all_headers(fx), BOX), logs, "stratigraphy")
+
+
 @register("source_counts", with_(_GA, _BORES) + """
 SELECT source, count(*) AS n FROM (SELECT source FROM ga UNION ALL SELECT source FROM bores) GROUP BY source""")
 def _(fx):
@@ -788,6 +856,20 @@ def _(fx):
     return fx.fx_box.select("box_id", key.alias("query_key"))
 
 
+@register("region_query_keys", """
+SELECT box_id, concat(sha256(concat_ws(',', x0 || ' ' || y0, x1 || ' ' || y0, x1 || ' ' || y1, x0 || ' ' || y1)), '-',
+         substr(sha256(concat('svc|layer|', coalesce(pred, ''))), 1, 12)) AS query_key
+FROM (SELECT box_id, CASE WHEN box_id % 2 = 0 THEN 'a > ' || box_id END AS pred,
+             CAST(floor(min_lon * 1e6 + 0.5e0) AS bigint) AS x0, CAST(floor(min_lat * 1e6 + 0.5e0) AS bigint) AS y0,
+             CAST(floor(max_lon * 1e6 + 0.5e0) AS bigint) AS x1, CAST(floor(max_lat * 1e6 + 0.5e0) AS bigint) AS y1
+      FROM fx_box WHERE min_lon < max_lon AND min_lat < max_lat)""")
+def _(fx):
+    boxes = filters.regions_from_boxes(fx.fx_box, *BOUNDS).where("region_valid")
+    predicate = F.when(F.col("box_id") % 2 == 0, F.concat(F.lit("a > "), "box_id"))
+    key = query_key(region_key(F.col("shape")), F.lit("svc"), F.lit("layer"), predicate)
+    return boxes.select("box_id", key.alias("query_key"))
+
+
 @register("log_set_key", """
 WITH k AS (SELECT DISTINCT b, eno, md5(CAST(eno AS varchar)) AS d FROM (
   SELECT "STRAT_UNIT_NAME" AS b, try_cast("ENO" AS bigint) AS eno FROM fx_ga_strat) WHERE eno IS NOT NULL),
@@ -915,6 +997,12 @@ def land_pages(fx: Fixtures, features: DataFrame, size: int = 1000) -> str:
     return path
 
 
+def plain_features(raw: DataFrame) -> DataFrame:
+    """Log records as features without geometry."""
+    nowhere = F.lit(None).cast("struct<type:string,coordinates:array<double>>")
+    return raw.select("row_no", nowhere.alias("geometry"), F.struct(*(c for c in raw.columns if c != "row_no")).alias("properties"))
+
+
 @register("header_pages_scan", with_(_GA) + f"SELECT {_HEADER} FROM ga")
 def _(fx):
     raw = fx.fx_ga_header
@@ -967,6 +1055,23 @@ def _(fx):
     )
 
 
+@register("earth_pages_scan", f"""
+WITH e0 AS (
+  SELECT CAST("ENO" AS bigint) AS eno, {_txt('"BOREHOLE_NAME"')} AS borehole_name,
+         "INTERVAL_BEGIN_M" AS top_depth_m, "INTERVAL_END_M" AS bottom_depth_m,
+         {_ND} AS ref_elev_m_ahd, {_ND} AS top_elev_m_ahd, {_ND} AS bottom_elev_m_ahd,
+         "LITHOLOGY" AS lithology, "LITHOLOGY_GROUP" AS lithology_group,
+         {_txt('"LITHOLOGY_QUALIFIER"')} AS lithology_qualifier, "EARTH_MATERIAL_DESC" AS description,
+         {_NS} AS geological_province, "EARTH_MATERIAL_ID" AS earth_material_id FROM fx_ga_earth),
+e1 AS (SELECT *, {_REASON.format(more="")} AS invalid_reason FROM e0)
+SELECT *, invalid_reason IS NULL AS valid FROM e1 WHERE eno IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 2 = 1)""")
+def _(fx):
+    path = land_pages(fx, plain_features(fx.fx_ga_earth))
+    logs = mapping.national_logs(landed.read_log_features(fx.spark, path, "earth_material", multi_line=False), "earth_material")
+    found = joins.logs_of(logs, ga_headers(fx).where("eno % 2 = 1"))
+    return found.select(*[c.strip() for c in f"{_LOG}, {_PAYLOAD['earth_material']}, {_FLAGS}".split(",")])
+
+
 @register("hydro_pages_scan", """
 SELECT CAST(ufi AS varchar) AS ufi, feature, prodty, min_lon, min_lat, max_lon, max_lat, CAST(1 AS integer) AS n_rings FROM fx_hydro""")
 def _(fx):
@@ -1015,6 +1120,39 @@ def _(fx):
     return filters.by_source(fx.spark.read.parquet(path), "VIC")
 
 
+@register("store_box_export", with_(_BORES, _STRAT) + _export(
+    f"(SELECT * FROM bores WHERE source = 'NGIS:NSW' AND {_IN_BOX})", "strat", "stratigraphy", "h.bore_key = l.bore_key"))
+def _(fx):
+    """The way of a user: land a state core, build its store, ask all sources of the store for a box."""
+    root, spark = shared_path(fx.spark, "cores"), fx.spark
+    fx.fx_ngis_bore.where("state_core = 'NSW'").write.parquet(f"{root}/NSW/NGIS_Bore")
+    fx.fx_ngis_boreholelog.write.parquet(f"{root}/NSW/NGIS_BoreholeLog")
+    fx.fx_ngis_constructionlog.write.parquet(f"{root}/NSW/NGIS_ConstructionLog")
+    store = SnapshotStore(spark, shared_path(spark, "store"))
+    build_state(store, root, "nsw", now=NOW)
+    return AllBores.from_store(store).boreholes(region=BOX, sources="NSW").log_table("stratigraphy")
+
+
+@register("artifact_check", """
+SELECT state, state <> 'QLD' AS size_ok, state = 'NSW' AS md5_ok FROM (
+  SELECT DISTINCT CASE c_nationkey % 3 WHEN 0 THEN 'NSW' WHEN 1 THEN 'VIC' ELSE 'QLD' END AS state FROM customer)""")
+def _(fx):
+    """One small file per state, told by its customers; the registry is wrong on one sum and one size."""
+    state = F.expr("CASE c_nationkey % 3 WHEN 0 THEN 'NSW' WHEN 1 THEN 'VIC' ELSE 'QLD' END")
+    told = fx.table("customer").groupBy(state.alias("state")).agg(
+        F.concat_ws(" ", F.count(F.lit(1)), F.sum("c_custkey")).alias("value")
+    )
+    root = shared_path(fx.spark, "archives")
+    for code in ("NSW", "VIC", "QLD"):
+        told.where(F.col("state") == code).select("value").coalesce(1).write.text(f"{root}/{code}")
+    content = F.concat("value", F.lit("\n"))
+    known = told.select(
+        "state", (F.octet_length(content) + (F.col("state") == "QLD").cast("int")).cast("bigint").alias("zip_bytes"),
+        F.md5(F.when(F.col("state") == "VIC", F.lit("other")).otherwise(content).cast("binary")).alias("zip_md5"),
+    )
+    return artifacts.check_artifacts(fx.spark, root, known, "*.txt").select("state", "size_ok", "md5_ok")
+
+
 # Contract checks -------------------------------------------------------------------------------
 
 _CHECKS = f"""
@@ -1049,6 +1187,54 @@ def _(fx):
     ])
 
 
+@register("pid_report", """
+SELECT 'identifier_is_pid' AS "check", count(*) AS n_checked, count(*) FILTER (eno % 3 = 0) AS n_failed FROM fx_ga_header
+UNION ALL SELECT 'header_has_key', count(*), 0 FROM fx_ga_header
+UNION ALL SELECT 'position_in_australia', count(*), count(*) FILTER ("GDA94_dlong" > 154) FROM fx_ga_header""")
+def _(fx):
+    host = F.when(F.col("eno") % 3 == 0, "http://pid.example").otherwise("http://pid.geoscience.gov.au")
+    named = F.concat(host, F.lit("/samplingFeature/au/BH"), F.col("eno").cast("string"))
+    return contracts.header_checks(ga_headers(fx).withColumn("identifier", named))
+
+
+@register("ring_report", """
+SELECT 'rings_have_area' AS "check", count(*) AS n_checked, count(*) FILTER (c_custkey % 7 = 0) AS n_failed FROM customer""")
+def _(fx):
+    """Rings as landed: closed squares, of which every seventh lost two of its five vertices."""
+    corner = lambda dx, dy: F.struct((F.col("c_custkey") + dx).cast("double").alias("x"), F.lit(float(dy)).alias("y"))
+    ring = F.array(corner(0, 0), corner(1, 0), corner(1, 1), corner(0, 1), corner(0, 0))
+    landed_ring = F.when(F.col("c_custkey") % 7 == 0, F.slice(ring, 1, 3)).otherwise(ring)
+    return contracts.ring_sizes(fx.table("customer").select(F.array(F.array(landed_ring)).alias("shape")))
+
+
+@register("tagged_log_keys", """
+SELECT 'log_key_in_set' AS "check", count(*) AS n_checked,
+       count(*) FILTER (NOT EXISTS (SELECT 1 FROM fx_ngis_bore b WHERE b."HydroCode" = l."HydroCode")) AS n_failed
+FROM fx_ngis_boreholelog l JOIN customer ON l."HydroCode" = concat('GW', CAST(c_custkey AS varchar))""")
+def _(fx):
+    """Within the source that both sides are tagged with; logs without a source are not checked."""
+    return contracts.logs_outside_set(tagged_strat(fx).where("source IS NOT NULL"), bores(fx))
+
+
+@register("page_totals", """
+SELECT 'headers' AS layer, count(*) AS landed, count(*) AS announced, true AS complete FROM fx_ga_header
+UNION ALL SELECT 'stratigraphy', count(*) FILTER (l_linenumber < 7), count(*), count(*) FILTER (l_linenumber >= 7) = 0 FROM lineitem""")
+def _(fx):
+    """Landed pages against the totals that they announce; some pages of the logs were never landed."""
+    headers = fx.fx_ga_header.withColumn("row_no", F.col("eno"))
+    lines = fx.table("lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_no"), "l_linenumber")
+    parts = []
+    for layer, raw, kept in (("headers", headers, F.lit(True)), ("stratigraphy", lines, F.col("properties.l_linenumber") < 7)):
+        total, features = raw.count(), plain_features(raw).where(kept)
+        path = shared_path(fx.spark, "announced-pages")
+        feature = F.struct("geometry", "properties")
+        features.groupBy(F.pmod(F.xxhash64("row_no"), F.lit(8 + total // 500)).alias("_page")).agg(
+            F.lit(total).alias("numberMatched"), F.collect_list(feature).alias("features")
+        ).write.json(path)
+        parts.append(landed.page_totals(landed.read_pages(fx.spark, path, multi_line=False), layer))
+    return contracts.landed_totals(federation.union_all(parts)).select("layer", "landed", "announced", "complete")
+
+
 @register("count_drift", """
 SELECT layer, n_rows, expected, abs(n_rows - expected) <= expected * 0.2e0 AS within FROM (
   SELECT 'bores' AS layer, count(*) AS n_rows, (SELECT count(*) FROM customer) AS expected FROM fx_ngis_bore

@@ -203,3 +203,32 @@ def test_citation_once_per_source_in_order(spark):
     df = spark.createDataFrame(rows_, "q int, source_ord int, citation string, fetched_at double, license string, source_url string")
     got = dict(map(tuple, federation.federated_citation(df, "q").collect()))
     assert got == {1: "A. Accessed 1970-01-02. Licensed L. Source: u B.", 2: "Geoscience Australia borehole data."}
+
+
+def test_logs_of_many_regions_are_read_once(spark, tmp_path):
+    """A bore in several regions, one in none, regions without bores; the plan scans the logs once."""
+    from borelake.functions.geometry import SHAPE_TYPE
+
+    ring = lambda x, y, s: [{"x": float(a), "y": float(b)} for a, b in ((x, y), (x + s, y), (x + s, y + s), (x, y + s))]
+    regions = spark.createDataFrame([(1, [[ring(0, 0, 4)]]), (2, [[ring(1, 1, 2)]]), (3, [[ring(50, 50, 1)]])], f"region int, shape {SHAPE_TYPE}")
+    headers = spark.createDataFrame(
+        [("S", "a", 1, "A", 2.0, 2.0), ("S", "b", 2, "B", 0.5, 0.5), ("S", "c", 3, "C", 9.0, 9.0), ("S", "a", 4, "A2", 0.2, 0.2)],
+        "source string, bore_key string, row_no bigint, name string, longitude double, latitude double")
+    raw = spark.createDataFrame(
+        [(i, k, float(i), float(i + 1)) for i, k in enumerate("aabbca")], "row_no bigint, HydroCode string, FromDepth double, ToDepth double")
+    raw.write.parquet(str(tmp_path / "logs"))
+    logs = mapping.state_logs(spark.read.parquet(str(tmp_path / "logs")), "stratigraphy")
+    found = joins.logs_in_regions(headers, logs, regions, "region", "stratigraphy")
+    got = sorted((r.region, r.longitude, r.top_depth_m) for r in found.collect())
+    want = [(g, x, t) for g, x, ts in ((1, 2.0, (0, 1, 5)), (1, 0.5, (2, 3)), (1, 0.2, (0, 1, 5)), (2, 2.0, (0, 1, 5))) for t in ts]
+    assert got == sorted(want)
+    assert found._jdf.queryExecution().executedPlan().toString().count("HydroCode") and str(
+        found._jdf.queryExecution().optimizedPlan()).count("Relation [row_no") == 1
+
+
+def test_order_of_an_interval_table(spark):
+    headers = spark.createDataFrame([("S", "a", 7, "A", 2.0, 2.0)], "source string, bore_key string, row_no bigint, name string, longitude double, latitude double")
+    raw = spark.createDataFrame([(3, "a", 1.0, 2.0), (9, "a", 0.0, 1.0)], "row_no bigint, HydroCode string, FromDepth double, ToDepth double")
+    found = joins.in_query_order(headers, mapping.state_logs(raw, "stratigraphy"), "stratigraphy")
+    assert found.columns[-3:] == ["source_ord", "bore_row_no", "log_row_no"]
+    assert [(r.source_ord, r.bore_row_no, r.log_row_no) for r in found.orderBy(*found.columns[-3:]).collect()] == [(0, 7, 3), (0, 7, 9)]
