@@ -177,7 +177,7 @@ def point_in_literal_parts(px: Column, py: Column, parts: Sequence[Sequence[Sequ
     return held
 
 
-def _edges_meet(a, b) -> Column:
+def edges_meet(a, b) -> Column:
     """Two closed segments share a point."""
     d1 = _cross(a["x1"], a["y1"], a["x2"], a["y2"], b["x1"], b["y1"])
     d2 = _cross(a["x1"], a["y1"], a["x2"], a["y2"], b["x2"], b["y2"])
@@ -217,7 +217,7 @@ def shapes_intersect(shape: Column, other: Column) -> Column:
                 reaching(mine, both["their_box"]).alias("m"),
                 reaching(theirs, both["my_box"]).alias("t"),
             ),
-            lambda cut: F.exists(cut["m"], lambda a: F.exists(cut["t"], lambda b: _edges_meet(a, b))),
+            lambda cut: F.exists(cut["m"], lambda a: F.exists(cut["t"], lambda b: edges_meet(a, b))),
         )
         overlap = boxes_overlap(*([both[k][c] for c in ("x0", "y0", "x1", "y1")]
                                   for k in ("my_box", "their_box")))

@@ -45,6 +45,24 @@ def with_bore_position(logs: DataFrame, bores: DataFrame, order: str = "row_no")
     )
 
 
+def bore_lookup(bores: DataFrame, order: str = "row_no") -> DataFrame:
+    """What a code's logs need of its bores: the last one's position, and the envelope of all; one aggregate."""
+    lon, lat = clean_position(double_of(bores, "Longitude"), double_of(bores, "Latitude"))
+    placed = bores.select("HydroCode", order, F.struct(F.col("Longitude").alias("lon"), F.col("Latitude").alias("lat")).alias("_p"),
+                          lon.alias("x"), lat.alias("y"))
+    return placed.where(F.col("HydroCode").isNotNull()).groupBy("HydroCode").agg(
+        F.max_by("_p", order).alias("_p"), F.min("x").alias("code_min_lon"), F.min("y").alias("code_min_lat"),
+        F.max("x").alias("code_max_lon"), F.max("y").alias("code_max_lat"),
+    ).select("HydroCode", F.col("_p.lon").alias("_lon"), F.col("_p.lat").alias("_lat"), *CODE_BOUNDS)
+
+
+def with_bore_place(logs: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Every log row with its bore's position and its code's envelope, by one join with ``bore_lookup``."""
+    kept = [c for c in logs.columns if c not in ("Longitude", "Latitude")]
+    joined = spread_join(logs.select(*kept), lookup, ["HydroCode"], "left")
+    return joined.select(*kept, F.col("_lon").alias("Longitude"), F.col("_lat").alias("Latitude"), *CODE_BOUNDS)
+
+
 def with_code_bounds(logs: DataFrame, bores: DataFrame) -> DataFrame:
     """Every log row with the envelope of all bores of its code, so that a box prunes log scans.
 

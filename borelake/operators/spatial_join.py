@@ -14,6 +14,7 @@ otherwise both sides shuffle on the cell, and a crowded cell's points are spread
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 from operator import add
 
@@ -24,8 +25,10 @@ from pyspark.sql import types as T
 from ..config import BROADCAST_LIMIT
 from ..functions.coerce import quoted
 from ..functions.geometry import (
-    bounds_of, boxes_overlap, edges_of, envelope, in_box, is_box, let, narrowed, part_edges, point_in_parts, shapes_intersect,
+    EDGE_TYPE, bounds_of, boxes_overlap, edges_meet, edges_of, envelope, in_box, is_box, let, narrowed, part_edges,
+    point_in_parts, shapes_intersect,
 )
+from ..region import Region
 from .hot_keys import FLAT_TYPES, key_join, spread_join
 
 CELL_DEGREES = 0.5
@@ -193,14 +196,70 @@ def points_in_polygons(
 
 
 def polygons_in_region(
-    polygons: DataFrame, region_shape: Column, bounds, shape: str = "shape",
+    polygons: DataFrame, region: Column | Region, bounds=None, shape: str = "shape",
     stored_bounds: tuple[str, str, str, str] | None = None,
 ) -> DataFrame:
     """Polygons that share a point with one region.
 
-    The envelope test comes first; on stored bound columns it reaches the Parquet scan.
+    The envelope test comes first; on stored bound columns it reaches the Parquet scan. A ``Region`` is
+    sent as an index of its edges by rows of latitude, so that planning does not grow with its vertices
+    and a polygon is compared with the edges of its own rows alone; a shape column is compared whole.
     """
     mine = [F.col(c) for c in stored_bounds] if stored_bounds else bounds_of(F.col(shape))
-    return polygons.where(boxes_overlap(mine, [F.lit(float(b)) for b in bounds])).where(
-        let(region_shape, lambda region: shapes_intersect(F.col(shape), region))
+    bounds = region.bounds if isinstance(region, Region) else bounds
+    near = polygons.where(boxes_overlap(mine, [F.lit(float(b)) for b in bounds]))
+    if isinstance(region, Region):
+        return near.where(_meets_index(F.col(shape), region))
+    return near.where(let(region, lambda r: shapes_intersect(F.col(shape), r)))
+
+
+def _region_index(region: Region) -> tuple[str, float, float, int]:
+    """The region's edges by row, part and ring as text, where the rows begin, their height and number."""
+    _, south, _, north = region.bounds
+    rows = max(1, round(len(region.edges) ** 0.5))
+    height = (north - south) / rows
+
+    def within(edge, row: int) -> bool:
+        low, high = south + row * height - _SLACK, south + (row + 1) * height + _SLACK
+        return max(edge[1], edge[3]) >= low and min(edge[1], edge[3]) <= high
+
+    def named(edge):
+        return dict(zip(("x1", "y1", "x2", "y2"), edge, strict=True))
+
+    index = [
+        [[[named(e) for e in ring if within(e, row)] for ring in rings] for rings in region.part_edges] for row in range(rows)
+    ]
+    # a part whose shell has no edge in a row holds no point of it, nor does a hole without one
+    index = [[[ring for i, ring in enumerate(rings) if ring or not i] for rings in row if rings[0]] for row in index]
+    return json.dumps(index), south, height, rows
+
+
+def _meets_index(shape: Column, region: Region) -> Column:
+    text, south, height, rows = _region_index(region)
+    index = F.from_json(F.lit(text), f"array<{EDGE_TYPE}>")
+    firsts = F.from_json(F.lit(json.dumps([dict(zip("xy", ring[0], strict=True)) for p in region.polygons for ring in p])), "array<struct<x:double,y:double>>")
+
+    def row_of(y: Column) -> Column:
+        return F.greatest(F.lit(0), F.least(F.lit(rows - 1), F.floor((y - F.lit(south)) / F.lit(height)).cast("int")))
+
+    def compare(mine):
+        box = mine["box"]
+        low, high = row_of(box["y0"]), row_of(box["y1"])
+        theirs = F.filter(
+            F.flatten(F.flatten(F.flatten(F.slice(index, low + 1, high - low + 1)))),
+            lambda e: _reach(e, "x1", "x2", box["x0"], box["x1"]) & _reach(e, "y1", "y2", box["y0"], box["y1"]),
+        )
+        meet = let(theirs, lambda near: F.exists(mine["edges"], lambda a: F.exists(near, lambda b: edges_meet(a, b))))
+
+        def in_region(ring):
+            x, y = ring[0]["x"], ring[0]["y"]
+            inside = point_in_parts(x, y, F.get(index, row_of(y)))
+            return (y >= south) & (y <= south + rows * height + _SLACK) & inside
+
+        begins_inside = F.exists(F.flatten(shape), in_region)
+        holds = F.exists(firsts, lambda p: point_in_parts(p["x"], p["y"], mine["parts"]))
+        return meet | begins_inside | holds
+
+    return let(
+        F.struct(edges_of(shape).alias("edges"), part_edges(shape).alias("parts"), envelope(shape).alias("box")), compare
     )

@@ -39,9 +39,40 @@ def intervals_per_key(headers: DataFrame, logs: DataFrame) -> DataFrame:
     return present.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_intervals"))
 
 
-def interval_counts(headers: DataFrame, logs: DataFrame, keep_empty: bool = False) -> DataFrame:
-    """Each header with its number of intervals; headers without any only on request."""
-    counts = park(intervals_per_key(headers, logs), "interval-counts")
+def code_summary(logs: DataFrame) -> DataFrame:
+    """What is asked of logs most, per source and raw key: ``n_intervals, deepest_m`` and rows by validity.
+
+    It is kept beside stored logs, so that counts and depths of their bores open no log. Summaries of
+    parts of a table merge by ``merged_summaries``.
+    """
+    keys = [c for c in ("source", "bore_key") if c in logs.columns]
+    reason = F.col("invalid_reason")
+    return logs.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_intervals"), F.max("bottom_depth_m").alias("deepest_m"),
+        F.count_if("valid").alias("n_valid"), F.count_if(reason == "missing depth").alias("n_missing"),
+        F.count_if(reason.startswith("inverted")).alias("n_inverted"), F.count_if(reason == "unknown formation").alias("n_unknown"),
+    )
+
+
+def merged_summaries(parts: DataFrame) -> DataFrame:
+    """One row per key of several ``code_summary`` tables in one."""
+    keys = [c for c in ("source", "bore_key") if c in parts.columns]
+    sums = [F.sum(c).alias(c) for c in ("n_intervals", "n_valid", "n_missing", "n_inverted", "n_unknown")]
+    merged = parts.groupBy(*keys).agg(F.max("deepest_m").alias("deepest_m"), *sums)
+    return merged.select(*parts.columns)
+
+
+def interval_counts(
+    headers: DataFrame, logs: DataFrame, keep_empty: bool = False, kept: DataFrame | None = None
+) -> DataFrame:
+    """Each header with its number of intervals; headers without any only on request.
+
+    ``kept``: the logs' ``code_summary``, which is read in their stead.
+    """
+    if kept is None:
+        counts = park(intervals_per_key(headers, logs), "interval-counts")
+    else:
+        counts = kept.where(F.col("bore_key").isNotNull()).select(*join_keys(headers, kept), "n_intervals")
     keys = [c for c in counts.columns if c != "n_intervals"]
     joined = spread_join(headers, counts, keys, "left" if keep_empty else "inner")
     return joined.withColumn("n_intervals", F.coalesce("n_intervals", F.lit(0).cast("bigint")))
@@ -79,9 +110,15 @@ def deepest_interval(headers: DataFrame, logs: DataFrame) -> DataFrame:
     return present.groupBy(*keys).agg(F.max("bottom_depth_m").alias("deepest_m"))
 
 
-def with_total_depth(headers: DataFrame, logs: DataFrame) -> DataFrame:
-    """Adds ``total_depth_m``: bore depth, else drilled depth, else the deepest interval."""
-    deepest = park(deepest_interval(headers, logs), "deepest")
+def with_total_depth(headers: DataFrame, logs: DataFrame, kept: DataFrame | None = None) -> DataFrame:
+    """Adds ``total_depth_m``: bore depth, else drilled depth, else the deepest interval.
+
+    ``kept``: the logs' ``code_summary``, which is read in their stead.
+    """
+    if kept is None:
+        deepest = park(deepest_interval(headers, logs), "deepest")
+    else:
+        deepest = kept.where(F.col("bore_key").isNotNull()).select(*join_keys(headers, kept), "deepest_m")
     keys = [c for c in deepest.columns if c != "deepest_m"]
     depth = F.coalesce("bore_depth_m", "drilled_depth_m", "deepest_m")
     joined = spread_join(headers, deepest, keys, "left")

@@ -11,7 +11,7 @@ from ..functions.citation import DEFAULT_HYDRO_CITATION, provenance_citation
 from ..functions.geometry import bounds_of
 from ..operators.federation import federated_logs, union_all
 from ..operators.filters import (
-    by_attribute, in_region, raw_in_region, region_shape, single_header, source_tags,
+    by_attribute, in_region, raw_in_region, single_header, source_tags,
 )
 from ..operators.joins import logs_near
 from ..operators.mapping import national_headers, national_logs, state_headers, state_logs
@@ -65,8 +65,7 @@ class NationalBores:
         footprint = Region.resolve(region, bbox)
         stored = _BOUNDS if set(_BOUNDS) <= set(self.hydro.columns) else None
         found = polygons_in_region(
-            by_attribute(self.hydro, where), region_shape(footprint), footprint.bounds,
-            stored_bounds=stored,
+            by_attribute(self.hydro, where), footprint, stored_bounds=stored,
         )
         return found.count() if count_only else found
 
@@ -82,6 +81,7 @@ class StateBores:
     bores: DataFrame
     logs: dict[str, DataFrame]
     provenance: dict[str, dict] = field(default_factory=dict)
+    summaries: dict[str, DataFrame] = field(default_factory=dict)
 
     def boreholes(self, states, *, region=None, bbox=None) -> Bores:
         """Bores of one state, or several, in a region; the source filter prunes partitions."""
@@ -94,7 +94,8 @@ class StateBores:
         for kind, raw in self.logs.items():
             mine = raw.where(asked) if "source" in raw.columns else raw
             logs[kind] = state_logs(logs_near(mine, footprint.bounds), kind)
-        return Bores(found, logs, footprint, {t: self.provenance.get(t, {}) for t in tags})
+        kept = {kind: table.where(asked) for kind, table in self.summaries.items()}
+        return Bores(found, logs, footprint, {t: self.provenance.get(t, {}) for t in tags}, kept)
 
 
 @dataclass(frozen=True)
@@ -121,9 +122,13 @@ class AllBores:
             by_layer = {
                 layer: union_all(tables[layers[layer]] for layers in held.values()) for layer in STATE_LAYERS
             }
+            kept = {
+                kind: [store.kept_summary(layers[kind], entries[layers[kind]]) for layers in held.values()] for kind in LOG_KINDS
+            }
             states = StateBores(
                 by_layer.pop("bores"), by_layer,
                 {f"NGIS:{state}": entries[layers["bores"]] for state, layers in held.items()},
+                {kind: union_all(parts) for kind, parts in kept.items() if None not in parts},
             )
         ga = {layer: key for layer, key in NATIONAL_KEYS.items() if key in tables}
         if "headers" in ga:
@@ -157,7 +162,8 @@ class AllBores:
         logs = {kind: self._logs(kind, parts) for kind in LOG_KINDS}
         order = F.array_position(F.array(*(F.lit(t) for t in tags)), F.col("source")) - 1
         headers = union_all(p.headers for p in parts).withColumn("source_ord", order.cast("int"))
-        return Bores(headers, logs, footprint, provenance)
+        # National logs have no kept summary, so where they take part logs are counted.
+        return Bores(headers, logs, footprint, provenance, {} if "GA" in provenance else parts[0].summaries)
 
     def log_tables_in(
         self, regions: DataFrame, region_key: str, kind: str = "stratigraphy", *, shape: str = "shape", sources=None

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import park
 from ..functions.keys import snapshot_key
-from ..operators.joins import with_bore_position, with_code_bounds, with_number_bounds, with_point
-from ..operators.mapping import with_national_point
+from ..operators.joins import bore_lookup, with_bore_place, with_number_bounds, with_point
+from ..operators.mapping import state_logs, with_national_point
+from ..operators.summary import code_summary
 from ..schema import LOG_KINDS
 from ..sources import landed
 from ..sources.registry import (
@@ -35,6 +39,11 @@ def state_keys(spark: SparkSession, state: str, version: int = BUILD_VERSION) ->
     return row.asDict()
 
 
+def summary_of(kind: str) -> Callable[[DataFrame], DataFrame]:
+    """What is kept beside a state's stored logs of a kind."""
+    return lambda stored: code_summary(state_logs(stored, kind))
+
+
 def build_state(
     store: SnapshotStore, landed_root: str, state: str, *, fmt: str = "parquet",
     force: bool = False, offline: bool = False, sources=STATE_SOURCES, now: float | None = None,
@@ -54,13 +63,13 @@ def build_state(
     keys = state_keys(spark, source.state)
     if action == "rebuild":
         layers = landed.read_state_core(spark, landed_root, source.state, fmt)
-        bores = layers["bores"]
+        lookup = park(bore_lookup(layers["bores"]), "bore-lookup")  # once for all log layers
         for layer, raw in layers.items():
-            placed = raw if layer == "bores" else with_code_bounds(with_bore_position(raw, bores), bores)
+            placed = raw if layer == "bores" else with_bore_place(raw, lookup)
             tagged = with_point(placed).withColumn("source", F.lit(tag))
             store.put(
                 keys[layer], laid_out(tagged, "point_lon", "point_lat"),
-                state_provenance(source.state, layer, sources=sources), now,
+                state_provenance(source.state, layer, sources=sources), now, None if layer == "bores" else summary_of(layer),
             )
     return {layer: store.get(key) for layer, key in keys.items()}
 
@@ -71,8 +80,9 @@ def build_national(
 ) -> dict[str, DataFrame]:
     """National headers, logs and hydrogeology from ``<root>/<layer>/*.json`` pages.
 
-    Headers are judged by the number of landed features and polygons by age alone. Logs carry the
-    envelope of their number's bores and lie by it, so they are judged by the headers they were
+    Headers are judged by the number of landed features and polygons by their pages. Pages are told by
+    name, size and time from the file listing, so where they are as before none is opened. Logs carry
+    the envelope of their number's bores and lie by it, so they are judged by the headers they were
     placed with: new headers have them built again.
     """
     spark, root = store.spark, landed_root.rstrip("/")
@@ -97,15 +107,21 @@ def build_national(
     }
     tables = {}
     for layer, build in readers.items():
-        fingerprint = None
-        if layer == "headers" and not offline:
-            pages = landed.page_totals(landed.read_pages(spark, f"{root}/headers", multi_line), layer)
-            fingerprint = str(pages.agg(F.sum("n_features")).first()[0])
-        elif layer in LOG_KINDS:
+        fingerprint = etag = None
+        if layer in LOG_KINDS:
             fingerprint = store.entry(NATIONAL_KEYS["headers"])["entry"]
+        elif not offline:
+            etag = landed.pages_stamp(spark, f"{root}/{layer}")
+            if layer == "headers":
+                known = store.entry(NATIONAL_KEYS[layer])
+                if known is not None and known["etag"] == etag:
+                    fingerprint = known["server_fingerprint"]
+                else:
+                    pages = landed.page_totals(landed.read_pages(spark, f"{root}/headers", multi_line), layer)
+                    fingerprint = str(pages.agg(F.sum("n_features")).first()[0])
         about = NATIONAL_PROVENANCE["hydrogeology" if layer == "hydrogeology" else "headers"]
         tables[layer] = store.get_or_build(
-            NATIONAL_KEYS[layer], build, fingerprint=fingerprint, provenance=about, force=force,
+            NATIONAL_KEYS[layer], build, fingerprint=fingerprint, etag=etag, provenance=about, force=force,
             offline=offline, now=now, **age,
         )
     return tables

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -61,10 +61,14 @@ class SnapshotStore:
         """The newest row of each key."""
         return newest_entries(self.entries())
 
-    def put(self, key: str, df: DataFrame, provenance: dict | None = None, now: float | None = None) -> str:
+    def put(
+        self, key: str, df: DataFrame, provenance: dict | None = None, now: float | None = None,
+        summarise: Callable[[DataFrame], DataFrame] | None = None,
+    ) -> str:
         """Write a snapshot and then its manifest row; returns the data path.
 
-        Row count and content hash are observed by the write itself, in its last stage.
+        Row count and content hash are observed by the write itself, in its last stage. ``summarise``
+        makes a small table of the written one, which is kept beside it.
         """
         entry = uuid.uuid4().hex
         path = f"{self.root}/data/{key}/{entry}"
@@ -72,6 +76,8 @@ class SnapshotStore:
         df.observe(
             seen, F.count(F.lit(1)).alias("n"), content_sum(*df.columns).alias("content")
         ).write.parquet(path)
+        if summarise is not None:
+            summarise(self.spark.read.parquet(path)).write.parquet(f"{self.root}/summaries/{key}/{entry}")
         known = provenance or {}
         row = {
             "key": key, "entry": entry, "path": path,
@@ -100,6 +106,18 @@ class SnapshotStore:
         entry = self.entry(key)
         return self.spark.read.parquet(entry["path"]) if entry else None
 
+    def kept_summary(self, key: str, entry: dict | None = None) -> DataFrame | None:
+        """The summary kept beside the newest snapshot of a key, or None where there is none."""
+        entry = entry or self.entry(key)
+        if entry is None:
+            return None
+        try:
+            return self.spark.read.parquet(f"{self.root}/summaries/{key}/{entry['entry']}")
+        except AnalysisException as error:
+            if not (error.getCondition() or "").startswith("PATH_NOT_FOUND"):
+                raise
+            return None
+
     def provenance(self, key: str) -> dict:
         """What is known of a key's origin; empty when it has no snapshot."""
         return self.entry(key) or {}

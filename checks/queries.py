@@ -370,6 +370,15 @@ def _(fx):
     return found.select("ufi", "feature", "prodty")
 
 
+@register("hydro_in_indexed_region")
+def _(fx):
+    found = spatial_join.polygons_in_region(hydro_shapes(fx), TRIANGLE, stored_bounds=BOUNDS)
+    return found.select("ufi", "feature", "prodty")
+
+
+ORACLES["hydro_in_indexed_region"] = ORACLES["hydro_in_region"]
+
+
 @register("hydro_count", """
 SELECT count(*) AS n FROM fx_hydro WHERE prodty = 'high'
   AND max_lon >= 143 AND min_lon <= 147 AND max_lat >= -36 AND min_lat <= -31""")
@@ -1124,13 +1133,34 @@ def _(fx):
     f"(SELECT * FROM bores WHERE source = 'NGIS:NSW' AND {_IN_BOX})", "strat", "stratigraphy", "h.bore_key = l.bore_key"))
 def _(fx):
     """The way of a user: land a state core, build its store, ask all sources of the store for a box."""
+    return stored_state(fx).boreholes(region=BOX, sources="NSW").log_table("stratigraphy")
+
+
+def stored_state(fx: Fixtures) -> AllBores:
+    """The NSW core, landed and built into a store of its own."""
     root, spark = shared_path(fx.spark, "cores"), fx.spark
     fx.fx_ngis_bore.where("state_core = 'NSW'").write.parquet(f"{root}/NSW/NGIS_Bore")
     fx.fx_ngis_boreholelog.write.parquet(f"{root}/NSW/NGIS_BoreholeLog")
     fx.fx_ngis_constructionlog.write.parquet(f"{root}/NSW/NGIS_ConstructionLog")
     store = SnapshotStore(spark, shared_path(spark, "store"))
     build_state(store, root, "nsw", now=NOW)
-    return AllBores.from_store(store).boreholes(region=BOX, sources="NSW").log_table("stratigraphy")
+    return AllBores.from_store(store)
+
+
+@register("store_interval_counts", with_(_BORES, _STRAT) + f"""
+SELECT row_no, bore_key, (SELECT count(*) FROM strat l WHERE l.bore_key = h.bore_key) AS n_intervals
+FROM bores h WHERE source = 'NGIS:NSW' AND {_IN_BOX} AND bore_key IN (SELECT bore_key FROM strat)""")
+def _(fx):
+    """From what the build kept beside the logs, without opening them."""
+    return stored_state(fx).boreholes(region=BOX, sources="NSW").interval_counts().select("row_no", "bore_key", "n_intervals")
+
+
+@register("store_total_depths", with_(_BORES, _STRAT) + f"""
+SELECT row_no, bore_key, coalesce(bore_depth_m, drilled_depth_m,
+  (SELECT max(bottom_depth_m) FROM strat l WHERE l.bore_key = h.bore_key)) AS total_depth_m
+FROM bores h WHERE source = 'NGIS:NSW' AND {_IN_BOX}""")
+def _(fx):
+    return stored_state(fx).boreholes(region=BOX, sources="NSW").total_depths().select("row_no", "bore_key", "total_depth_m")
 
 
 @register("artifact_check", """

@@ -155,6 +155,7 @@ def test_polygon_meets_region(spark):
     region = Region.from_bbox(0, 0, 4, 4)
     got = {r["k"] for r in polygons_in_region(df, region_shape(region), region.bounds).collect()}
     assert got == {"inside", "around", "cross", "touch", "second_part"}
+    assert {r["k"] for r in polygons_in_region(df, region).collect()} == got
 
 
 def test_stray_holes_and_overlapping_parts_are_rejected():
@@ -285,3 +286,22 @@ def test_small_polygons_in_one_coarse_cell(spark):
     found = points_in_polygons(points, polygons)
     assert found.where("poly = -1").count() == 2000 and found.where("poly >= 0").count() == 2000
     assert points_in_polygons(points, polygons, how="left_semi").count() == 2000
+
+
+def test_polygons_meet_a_large_region(spark):
+    """The index of a region's edges gives the rows of a comparison with all of them, and plans at once."""
+    rng = random.Random(12)
+    shapes = {i: [[star(rng, rng.uniform(138, 152), rng.uniform(-41, -28), rng.randint(3, 12), rng.uniform(0.05, 2))]] for i in range(150)}
+    shapes |= {200 + i: [[square(rng.randrange(136, 152), rng.randrange(-42, -28), rng.randint(1, 3))]] for i in range(40)}
+    shapes[300] = [[square(100, -80, 90)]]
+    df = shapes_frame(spark, shapes, "k int").cache()
+    holed = Region.from_polygons([[star(rng, 145, -35, 400, 5), square(144.8, -35.2, 0.4)], [square(155, -35, 1)]])
+    for region in (holed, Region.from_bbox(143, -37, 147, -33), Region.from_polygon(TRIANGLE)):
+        whole = {r.k for r in polygons_in_region(df, region_shape(region), region.bounds).collect()}
+        assert {r.k for r in polygons_in_region(df, region).collect()} == whole and 300 in whole
+    large = Region.from_polygon(star(rng, 145, -35, 5000, 5))
+    began = time.perf_counter()
+    found = polygons_in_region(df, large)
+    found._jdf.queryExecution().executedPlan()
+    assert time.perf_counter() - began < 3
+    assert 10 < found.count() < 191

@@ -344,3 +344,50 @@ def test_source_partitions_are_pruned(spark, world, tmp_path):
     plan = stored.boreholes("VIC", bbox=BOX).headers._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(source" in plan or "PartitionFilters: [(source" in plan
     assert stored.boreholes("VIC", bbox=BOX).count() == 3
+
+
+def test_a_second_build_opens_no_page(spark, tmp_path, monkeypatch):
+    from borelake.sources import landed
+
+    root = f"{tmp_path}/ga"
+    land_national(root)
+    store = SnapshotStore(spark, f"{tmp_path}/store")
+    first = build_national(store, root, now=NOW)
+    monkeypatch.setattr(landed, "read_pages", lambda *_: pytest.fail("a page was opened"))
+    again = build_national(store, root, now=NOW + 1)
+    assert {k: t.inputFiles() for k, t in again.items()} == {k: t.inputFiles() for k, t in first.items()}
+    monkeypatch.undo()
+    page(f"{root}/hydrogeology/p9.json", [{"geometry": {"type": "Polygon", "coordinates": [[[143.1, -35.1], [143.2, -35.1], [143.2, -35.0], [143.1, -35.1]]]}, "properties": {"ufi": 99}}], 1)
+    changed = build_national(store, root, now=NOW + 2)
+    assert changed["hydrogeology"].count() == first["hydrogeology"].count() + 1
+    assert changed["headers"].inputFiles() == first["headers"].inputFiles()
+
+
+def test_counts_and_depths_come_from_what_was_kept(spark, world):
+    found = AllBores.from_store(world[1]).boreholes(bbox=BOX, sources="NSW")
+    assert set(found.summaries) == set(LOG_KINDS)
+    for kind in ("stratigraphy", "construction"):
+        counted = found.interval_counts(kind)
+        assert not any("/data/ngis-nsw-" + kind in f for f in counted.inputFiles())
+        plain = queries(world)[1].boreholes("nsw", bbox=BOX).interval_counts(kind)
+        assert sorted(map(tuple, counted.select("bore_key", "row_no", "n_intervals").collect())) == sorted(
+            map(tuple, plain.select("bore_key", "row_no", "n_intervals").collect()))
+    depths = {r["bore_key"]: r["total_depth_m"] for r in found.total_depths().collect()}
+    unkept = queries(world)[1].boreholes("nsw", bbox=BOX).total_depths()
+    assert depths == {r["bore_key"]: r["total_depth_m"] for r in unkept.collect()}
+    assert not AllBores.from_store(world[1]).boreholes(bbox=BOX).summaries
+
+
+def test_summaries_of_parts_merge(spark):
+    from borelake.operators.mapping import state_logs
+    from borelake.operators.summary import code_summary, merged_summaries
+
+    raw = spark.createDataFrame(
+        [(i, None if i % 7 == 0 else f"k{i % 5}", float(i), None if i % 4 == 0 else float(60 - i), "Unknown" if i % 9 == 0 else "Sand") for i in range(60)],
+        "row_no bigint, HydroCode string, FromDepth double, ToDepth double, Description string")
+    logs = state_logs(raw, "stratigraphy", "NGIS:NSW")
+    whole = code_summary(logs)
+    parts = [code_summary(logs.where(f"row_no % 3 = {i}")) for i in range(3)]
+    merged = merged_summaries(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    assert sorted(map(str, merged.collect())) == sorted(map(str, whole.collect()))
+    assert all(r.n_valid + r.n_missing + r.n_inverted + r.n_unknown == r.n_intervals for r in whole.collect())
