@@ -11,9 +11,11 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.coerce import double_of, long_of, text_of
 from ..functions.geometry import in_box
 from ..functions.keys import PID_PATTERN
 from .joins import join_keys
+from .mapping import NATIONAL_HEADER, NATIONAL_LOG, STATE_LOG
 
 # Plausible positions, accepted drift of row counts and fan-out per logged bore.
 AUSTRALIA = (112.0, -44.0, 154.0, -10.0)
@@ -58,49 +60,70 @@ def missing_layers(expected: Iterable[str], seen: Iterable[str]) -> list[str]:
     return [layer for layer in expected if layer not in found]
 
 
-def _report(table: DataFrame, checks: dict[str, tuple[Column, Column]]) -> DataFrame:
-    """One pass: for each check count the rows it applies to and those that fail it."""
+# A check: the rows it applies to, and what those must hold.
+Checks = dict[str, tuple[Column, Column]]
+
+
+def check_counts(checks: Checks) -> list[Column]:
+    """Two counts per check, ``<check>.n_checked`` and ``<check>.n_failed``, for any aggregate or observation."""
     counts = []
     for name, (applies, ok) in checks.items():
         failed = applies & ~F.coalesce(ok, F.lit(False))
-        counts.append(
-            F.struct(
-                F.lit(name).alias("check"),
-                F.count_if(applies).alias("n_checked"),
-                F.count_if(failed).alias("n_failed"),
-            )
-        )
-    return table.agg(F.array(*counts).alias("_r")).select(F.inline("_r"))
+        counts += [F.count_if(applies).alias(f"{name}.n_checked"), F.count_if(failed).alias(f"{name}.n_failed")]
+    return counts
+
+
+def _report(table: DataFrame, checks: Checks) -> DataFrame:
+    """One pass: for each check count the rows it applies to and those that fail it."""
+    counted = table.agg(*check_counts(checks))
+    rows = [
+        F.struct(F.lit(name).alias("check"), *(F.col(f"`{name}.{n}`").alias(n) for n in ("n_checked", "n_failed")))
+        for name in checks
+    ]
+    return counted.select(F.inline(F.array(*rows)))
+
+
+def position_conditions(lon: Column, lat: Column, key: Column) -> Checks:
+    """Positions in Australia, and a key on every row."""
+    placed = lon.isNotNull() & lat.isNotNull()
+    return {
+        "position_in_australia": (placed, in_box(lon, lat, AUSTRALIA)), "header_has_key": (F.lit(True), key.isNotNull()),
+    }
+
+
+def pid_conditions(identifier: Column) -> Checks:
+    """Identifiers are well-formed PIDs where there are any."""
+    return {"identifier_is_pid": (identifier.isNotNull(), identifier.rlike(PID_PATTERN))}
+
+
+def depth_conditions(top: Column, bottom: Column, key: Column) -> Checks:
+    """Depths present, not negative and not inverted, and a key on every row."""
+    both = top.isNotNull() & bottom.isNotNull()
+    return {
+        "depths_numeric": (F.lit(True), both), "depths_not_negative": (both, (top >= 0) & (bottom >= 0)),
+        "top_above_bottom": (both, top <= bottom), "log_has_key": (F.lit(True), key.isNotNull()),
+    }
+
+
+def ring_conditions(shape: Column) -> Checks:
+    """Rings of four landed vertices at least, all of them in plausible bounds."""
+    smallest = F.array_min(F.transform(F.flatten(shape), lambda ring: F.size(ring)))
+    inside = F.forall(F.flatten(F.flatten(shape)), lambda v: in_box(v["x"], v["y"], AUSTRALIA))
+    return {"rings_have_area": (F.lit(True), smallest >= MIN_RING_VERTICES), "vertices_in_australia": (F.lit(True), inside)}
 
 
 def header_checks(headers: DataFrame, box=None) -> DataFrame:
     """Positions in Australia (and in the asked box), every header keyed, PIDs well formed."""
-    placed = F.col("longitude").isNotNull() & F.col("latitude").isNotNull()
     lon, lat = F.col("longitude"), F.col("latitude")
-    every = F.lit(True)
-    checks = {
-        "position_in_australia": (placed, in_box(lon, lat, AUSTRALIA)),
-        "header_has_key": (every, F.col("bore_key").isNotNull()),
-        "identifier_is_pid": (F.col("identifier").isNotNull(), F.col("identifier").rlike(PID_PATTERN)),
-    }
+    checks = position_conditions(lon, lat, F.col("bore_key")) | pid_conditions(F.col("identifier"))
     if box is not None:
-        checks["position_in_box"] = (placed, in_box(lon, lat, box))
+        checks["position_in_box"] = (lon.isNotNull() & lat.isNotNull(), in_box(lon, lat, box))
     return _report(headers, checks)
 
 
 def log_checks(logs: DataFrame) -> DataFrame:
     """Depths present, not negative and not inverted."""
-    top, bottom = F.col("top_depth_m"), F.col("bottom_depth_m")
-    both = top.isNotNull() & bottom.isNotNull()
-    return _report(
-        logs,
-        {
-            "depths_numeric": (F.lit(True), both),
-            "depths_not_negative": (both, (top >= 0) & (bottom >= 0)),
-            "top_above_bottom": (both, top <= bottom),
-            "log_has_key": (F.lit(True), F.col("bore_key").isNotNull()),
-        },
-    )
+    return _report(logs, depth_conditions(F.col("top_depth_m"), F.col("bottom_depth_m"), F.col("bore_key")))
 
 
 def logs_outside_set(logs: DataFrame, headers: DataFrame) -> DataFrame:
@@ -164,13 +187,31 @@ def fan_out(counts: DataFrame) -> DataFrame:
 
 def ring_sizes(polygons: DataFrame, shape: str = "shape") -> DataFrame:
     """Every ring, as landed with its closing vertex, has at least four vertices."""
-    smallest = F.array_min(F.transform(F.flatten(F.col(shape)), lambda ring: F.size(ring)))
-    return _report(polygons, {"rings_have_area": (F.lit(True), smallest >= MIN_RING_VERTICES)})
+    checks = ring_conditions(F.col(shape))
+    return _report(polygons, {"rings_have_area": checks["rings_have_area"]})
 
 
 def vertices_in_australia(polygons: DataFrame, shape: str = "shape") -> DataFrame:
     """Every vertex lies in plausible bounds."""
-    ok = F.forall(
-        F.flatten(F.flatten(F.col(shape))), lambda v: in_box(v["x"], v["y"], AUSTRALIA)
-    )
-    return _report(polygons, {"vertices_in_australia": (F.lit(True), ok)})
+    checks = ring_conditions(F.col(shape))
+    return _report(polygons, {"vertices_in_australia": checks["vertices_in_australia"]})
+
+
+def state_conditions(raw: DataFrame, layer: str) -> Checks:
+    """The checks of a state layer over its raw columns, as its mapping reads them."""
+    key = text_of(raw, "HydroCode")
+    if layer == "bores":
+        return position_conditions(F.col("point_lon"), F.col("point_lat"), key)
+    code = F.col("HydroCode") if "HydroCode" in raw.columns else F.lit(None)
+    return depth_conditions(double_of(raw, STATE_LOG["top_depth_m"]), double_of(raw, STATE_LOG["bottom_depth_m"]), code)
+
+
+def national_conditions(raw: DataFrame, layer: str) -> Checks:
+    """The checks of a national layer over its raw columns, as its mapping reads them."""
+    if layer == "hydrogeology":
+        return ring_conditions(F.col("shape"))
+    if layer == "headers":
+        places = position_conditions(F.col("point_lon"), F.col("point_lat"), long_of(raw, NATIONAL_HEADER["eno"]))
+        return places | pid_conditions(text_of(raw, NATIONAL_HEADER["identifier"]))
+    names = (NATIONAL_LOG[c] for c in ("top_depth_m", "bottom_depth_m"))
+    return depth_conditions(*(double_of(raw, c) for c in names), long_of(raw, NATIONAL_LOG["eno"]))

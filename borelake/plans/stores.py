@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import park
 from ..functions.keys import snapshot_key
+from ..operators.contracts import national_conditions, state_conditions
 from ..operators.joins import bore_lookup, with_bore_place, with_number_bounds, with_point
 from ..operators.mapping import state_logs, with_national_point
 from ..operators.summary import code_summary
@@ -50,7 +52,8 @@ def build_state(
 ) -> dict[str, DataFrame]:
     """The four tables of a state core, built once and served while their stamp is current.
 
-    Logs get their bore's position and the envelope of their code's bores at build time, and every
+    The contract checks of each layer are counted by its write (``store.checks``), and logs keep a
+    summary per code (``store.kept_summary``). Logs get their bore's position and the envelope of their code's bores at build time, and every
     table is laid out by grid cell, so later box queries prune row groups of headers and logs.
     """
     spark, source = store.spark, get_source(state, sources)
@@ -69,7 +72,8 @@ def build_state(
             tagged = with_point(placed).withColumn("source", F.lit(tag))
             store.put(
                 keys[layer], laid_out(tagged, "point_lon", "point_lat"),
-                state_provenance(source.state, layer, sources=sources), now, None if layer == "bores" else summary_of(layer),
+                state_provenance(source.state, layer, sources=sources), now,
+                None if layer == "bores" else summary_of(layer), state_conditions(tagged, layer),
             )
     return {layer: store.get(key) for layer, key in keys.items()}
 
@@ -122,6 +126,6 @@ def build_national(
         about = NATIONAL_PROVENANCE["hydrogeology" if layer == "hydrogeology" else "headers"]
         tables[layer] = store.get_or_build(
             NATIONAL_KEYS[layer], build, fingerprint=fingerprint, etag=etag, provenance=about, force=force,
-            offline=offline, now=now, **age,
+            offline=offline, now=now, checks=partial(national_conditions, layer=layer), **age,
         )
     return tables

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..config import park, tuned
 from ..functions.keys import snapshot_key, snapshot_stamp
+from ..operators.contracts import check_counts
 from ..operators.hot_keys import spread_join
 from ..schema import LOG_KINDS
 from .registry import BUILD_VERSION, STATE_SOURCES
@@ -63,19 +64,24 @@ class SnapshotStore:
 
     def put(
         self, key: str, df: DataFrame, provenance: dict | None = None, now: float | None = None,
-        summarise: Callable[[DataFrame], DataFrame] | None = None,
+        summarise: Callable[[DataFrame], DataFrame] | None = None, checks: dict | None = None,
     ) -> str:
         """Write a snapshot and then its manifest row; returns the data path.
 
         Row count and content hash are observed by the write itself, in its last stage. ``summarise``
-        makes a small table of the written one, which is kept beside it.
+        makes a small table of the written one, which is kept beside it. ``checks`` (see
+        ``operators.contracts``) are counted by the same write and kept, too.
         """
         entry = uuid.uuid4().hex
         path = f"{self.root}/data/{key}/{entry}"
         seen = Observation(entry)
         df.observe(
-            seen, F.count(F.lit(1)).alias("n"), content_sum(*df.columns).alias("content")
+            seen, F.count(F.lit(1)).alias("n"), content_sum(*df.columns).alias("content"), *check_counts(checks or {})
         ).write.parquet(path)
+        if checks:
+            counted = [(c, int(seen.get[f"{c}.n_checked"]), int(seen.get[f"{c}.n_failed"])) for c in checks]
+            table = self.spark.createDataFrame(counted, "check string, n_checked bigint, n_failed bigint")
+            table.coalesce(1).write.parquet(f"{self.root}/checks/{key}/{entry}")
         if summarise is not None:
             summarise(self.spark.read.parquet(path)).write.parquet(f"{self.root}/summaries/{key}/{entry}")
         known = provenance or {}
@@ -108,11 +114,18 @@ class SnapshotStore:
 
     def kept_summary(self, key: str, entry: dict | None = None) -> DataFrame | None:
         """The summary kept beside the newest snapshot of a key, or None where there is none."""
+        return self._beside("summaries", key, entry)
+
+    def checks(self, key: str) -> DataFrame | None:
+        """``check, n_checked, n_failed`` of the newest snapshot, as its write counted them; None without any."""
+        return self._beside("checks", key)
+
+    def _beside(self, kind: str, key: str, entry: dict | None = None) -> DataFrame | None:
         entry = entry or self.entry(key)
         if entry is None:
             return None
         try:
-            return self.spark.read.parquet(f"{self.root}/summaries/{key}/{entry['entry']}")
+            return self.spark.read.parquet(f"{self.root}/{kind}/{key}/{entry['entry']}")
         except AnalysisException as error:
             if not (error.getCondition() or "").startswith("PATH_NOT_FOUND"):
                 raise
@@ -126,6 +139,7 @@ class SnapshotStore:
         self, key: str, build, *, fingerprint: str | None = None, etag: str | None = None,
         not_modified: bool = False, provenance: dict | None = None, force: bool = False,
         offline: bool = False, max_age: float = MAX_AGE_SECONDS, now: float | None = None,
+        checks: Callable[[DataFrame], dict] | None = None,
     ) -> DataFrame:
         """Serve a key's snapshot while it is fresh, else build it; offline never builds."""
         now = time.time() if now is None else now
@@ -142,7 +156,8 @@ class SnapshotStore:
             raise RuntimeError(f"No snapshot of {key!r} is stored, and offline none can be built.")
         if row["action"] == "refetch":
             known = {"server_fingerprint": fingerprint, "etag": etag, **(provenance or {})}
-            self.put(key, build(), known, now)
+            built = build()
+            self.put(key, built, known, now, checks=checks(built) if checks else None)
         return self.get(key)
 
     def summary(self) -> DataFrame:

@@ -1137,6 +1137,11 @@ def _(fx):
 
 
 def stored_state(fx: Fixtures) -> AllBores:
+    """All that the store of the NSW core holds."""
+    return AllBores.from_store(state_store(fx))
+
+
+def state_store(fx: Fixtures) -> SnapshotStore:
     """The NSW core, landed and built into a store of its own."""
     root, spark = shared_path(fx.spark, "cores"), fx.spark
     fx.fx_ngis_bore.where("state_core = 'NSW'").write.parquet(f"{root}/NSW/NGIS_Bore")
@@ -1144,7 +1149,26 @@ def stored_state(fx: Fixtures) -> AllBores:
     fx.fx_ngis_constructionlog.write.parquet(f"{root}/NSW/NGIS_ConstructionLog")
     store = SnapshotStore(spark, shared_path(spark, "store"))
     build_state(store, root, "nsw", now=NOW)
-    return AllBores.from_store(store)
+    return store
+
+
+@register("store_checks", with_(_BORES, _STRAT) + """,
+n AS (SELECT * FROM bores WHERE source = 'NGIS:NSW')
+SELECT 'bores' AS layer, 'position_in_australia' AS "check", count(*) FILTER (longitude IS NOT NULL AND latitude IS NOT NULL) AS n_checked,
+       count(*) FILTER (NOT (longitude BETWEEN 112 AND 154 AND latitude BETWEEN -44 AND -10)) AS n_failed FROM n
+UNION ALL SELECT 'bores', 'header_has_key', count(*), count(*) FILTER (bore_key IS NULL) FROM n
+UNION ALL SELECT 'stratigraphy', 'depths_numeric', count(*), count(*) FILTER (top_depth_m IS NULL OR bottom_depth_m IS NULL) FROM strat
+UNION ALL SELECT 'stratigraphy', 'depths_not_negative', count(*) FILTER (top_depth_m IS NOT NULL AND bottom_depth_m IS NOT NULL), 0 FROM strat
+UNION ALL SELECT 'stratigraphy', 'top_above_bottom', count(*) FILTER (top_depth_m IS NOT NULL AND bottom_depth_m IS NOT NULL),
+       count(*) FILTER (top_depth_m > bottom_depth_m) FROM strat
+UNION ALL SELECT 'stratigraphy', 'log_has_key', count(*), count(*) FILTER (bore_key IS NULL) FROM strat""")
+def _(fx):
+    """What the build's own writes counted, read back from beside the manifest."""
+    store = state_store(fx)
+    return federation.union_all(
+        store.checks(f"ngis-nsw-{layer}-opt1").select(F.lit(layer).alias("layer"), "check", "n_checked", "n_failed")
+        for layer in ("bores", "stratigraphy")
+    )
 
 
 @register("store_interval_counts", with_(_BORES, _STRAT) + f"""

@@ -391,3 +391,16 @@ def test_summaries_of_parts_merge(spark):
     merged = merged_summaries(parts[0].unionByName(parts[1]).unionByName(parts[2]))
     assert sorted(map(str, merged.collect())) == sorted(map(str, whole.collect()))
     assert all(r.n_valid + r.n_missing + r.n_inverted + r.n_unknown == r.n_intervals for r in whole.collect())
+
+
+def test_a_build_counts_its_checks(world):
+    store = world[1]
+    found = {k: {r["check"]: (r["n_checked"], r["n_failed"]) for r in store.checks(k).collect()}
+             for k in ("ga-headers", "ga-stratigraphy", "ga-hydrogeology", "ngis-nsw-bores-opt1", "ngis-nsw-stratigraphy-opt1")}
+    headers = contracts.header_checks(mapping.national_headers(world[3]["headers"])).collect()
+    assert found["ga-headers"] == {r["check"]: (r["n_checked"], r["n_failed"]) for r in headers}
+    for key, logs in (("ga-stratigraphy", mapping.national_logs(world[3]["stratigraphy"], "stratigraphy")),
+                      ("ngis-nsw-stratigraphy-opt1", mapping.state_logs(world[2]["NSW"]["stratigraphy"], "stratigraphy"))):
+        assert found[key] == {r["check"]: (r["n_checked"], r["n_failed"]) for r in contracts.log_checks(logs).collect()}
+    assert set(found["ga-hydrogeology"]) == {"rings_have_area", "vertices_in_australia"}
+    assert store.checks("nowhere") is None
