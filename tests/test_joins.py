@@ -232,3 +232,13 @@ def test_order_of_an_interval_table(spark):
     found = joins.in_query_order(headers, mapping.state_logs(raw, "stratigraphy"), "stratigraphy")
     assert found.columns[-3:] == ["source_ord", "bore_row_no", "log_row_no"]
     assert [(r.source_ord, r.bore_row_no, r.log_row_no) for r in found.orderBy(*found.columns[-3:]).collect()] == [(0, 7, 3), (0, 7, 9)]
+
+
+def test_predicate_on_a_property_without_a_column(spark):
+    raw = spark.createDataFrame(
+        [(1, "12.5", '{"owner":"Shire","depth":"30"}'), (2, "x", '{"owner":"Farm"}'), (3, None, None)],
+        "eno int, elevation_m string, source_attributes string")
+    owner = "get_json_object(source_attributes, '$.owner')"
+    assert [r.eno for r in filters.by_attribute(raw, f"{owner} = 'Shire' AND elevation_m > 4").collect()] == [1]
+    assert [r.eno for r in filters.by_attribute(raw, f"{owner} IS NULL").collect()] == [3]
+    assert filters.by_attribute(raw, "elevation_m > 4").columns == raw.columns

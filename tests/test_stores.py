@@ -404,3 +404,24 @@ def test_a_build_counts_its_checks(world):
         assert found[key] == {r["check"]: (r["n_checked"], r["n_failed"]) for r in contracts.log_checks(logs).collect()}
     assert set(found["ga-hydrogeology"]) == {"rings_have_area", "vertices_in_australia"}
     assert store.checks("nowhere") is None
+
+
+def test_many_regions_of_all_sources_at_once(spark, world):
+    from borelake.functions.geometry import SHAPE_TYPE
+
+    def ring(x0, y0, x1, y1):
+        return [{"x": float(x), "y": float(y)} for x, y in ((x0, y0), (x1, y0), (x1, y1), (x0, y1))]
+
+    x0, y0, x1, y1 = BOX
+    boxes = {"all": BOX, "west": (x0, y0, (x0 + x1) / 2, y1), "none": (x0, y0, x0 + 1e-4, y0 + 1e-4)}
+    regions = spark.createDataFrame([(k, [[ring(*b)]]) for k, b in boxes.items()], f"region string, shape {SHAPE_TYPE}")
+    everything = AllBores.from_store(world[1])
+    found = everything.log_tables_in(regions, "region")
+    assert found.columns == ["region", *export_columns("stratigraphy")]
+    for name, box in boxes.items():
+        alone = everything.boreholes(bbox=box).log_table().collect()
+        together = found.where(F.col("region") == name).drop("region").collect()
+        assert sorted(map(str, together)) == sorted(map(str, alone))
+    assert found.where("region = 'all'").count() > 0
+    with pytest.raises(ValueError, match="no region"):
+        everything.log_tables_in(regions.where("false"), "region")
