@@ -24,6 +24,8 @@ from ..config import park
 
 # Ranges per shuffle partition, and keys that the driver looks at per range to cut them.
 RANGES, LOOKED_AT = 2, 40
+# Cuts that are compared in generated code; more go into a constant array.
+IN_CODE = 31
 # Rows of a range that may be sorted in one task to find the row of a given rank.
 SORTED_ROWS = 50_000
 
@@ -51,14 +53,35 @@ class Cuts:
         self.schema = T.StructType([T.StructField(f"_{i}", keys.schema[c].dataType) for i, c in enumerate(columns)])
 
     def range_of(self) -> Column:
-        """The number of cuts at or before a row's place, found in two steps."""
+        """The number of cuts at or before a row's place: by halving a few, in two steps among many."""
+        if len(self.places) <= IN_CODE:
+            return self._halved(0, len(self.places))
         width = max(1, round(len(self.places) ** 0.5))
         rows = [[p.asDict() for p in self.places[at : at + width]] for at in range(0, len(self.places), width)]
         table = F.from_json(F.lit(json.dumps(rows)), T.ArrayType(T.ArrayType(self.schema)))
         place = _place(self.columns)
         row = F.size(F.filter(F.transform(table, lambda r: r[0]), lambda c: c <= place))
         within = F.size(F.filter(F.get(table, F.greatest(row - 1, F.lit(0))), lambda c: c <= place))
-        return F.when(row == 0, 0).otherwise((row - 1) * width + within).cast("int") if rows else F.lit(0)
+        return F.when(row == 0, 0).otherwise((row - 1) * width + within).cast("int")
+
+    def _halved(self, low: int, high: int) -> Column:
+        """The number of cuts at or before a place that is known to be between ``low`` and ``high``."""
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        beyond = self._reached(self.places[middle])
+        return F.when(beyond, self._halved(middle + 1, high)).otherwise(self._halved(low, middle))
+
+    def _reached(self, cut) -> Column:
+        """Whether a row's place is the cut or beyond it, column by column, nulls first."""
+        reached = F.lit(True)
+        for name, value in reversed(list(zip(self.columns, cut, strict=True))):
+            column = F.col(name)
+            if value is None:
+                reached = column.isNotNull() | reached
+            else:
+                reached = F.coalesce((column > F.lit(value)) | (column == F.lit(value)) & reached, F.lit(False))
+        return reached
 
 
 def _ranges(df: DataFrame) -> int:

@@ -142,8 +142,10 @@ def test_ordinals_with_many_groups(spark):
     assert all(r["ordinal"] == r["v"] // 11 + 1 for r in got.collect()) and got.count() == 500
 
 
-def test_ordinals_are_numbered_by_counts_of_ranges(spark):
+@pytest.mark.parametrize("in_code", [31, 0])
+def test_ordinals_are_numbered_by_counts_of_ranges(spark, monkeypatch, in_code):
     """One group of half the rows, null groups, and text keys; only keys are written, no row is sorted globally."""
+    monkeypatch.setattr(ordinal, "IN_CODE", in_code)
     rows = [(None if i % 50 == 0 else "big" if i % 2 else f"g{i % 30}", f"k{(i * 7919) % 4000:05d}", i, "wide " * 10) for i in range(4000)]
     df = spark.createDataFrame(rows, "g string, k string, v bigint, note string").repartition(5)
     got = ordinal.with_ordinal(df, ["k", "v"], ["g"])
