@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import cache, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,33 +80,43 @@ def build_state(
 
 def build_national(
     store: SnapshotStore, landed_root: str, *, force: bool = False, offline: bool = False,
-    max_age: float | None = None, now: float | None = None, multi_line: bool = True,
+    max_age: float | None = None, now: float | None = None, multi_line: bool = True, split: bool = False,
 ) -> dict[str, DataFrame]:
     """National headers, logs and hydrogeology from ``<root>/<layer>/*.json`` pages.
 
     Headers are judged by the number of landed features and polygons by their pages. Pages are told by
     name, size and time from the file listing, so where they are as before none is opened. Logs carry
     the envelope of their number's bores and lie by it, so they are judged by the headers they were
-    placed with: new headers have them built again.
+    placed with: new headers have them built again. With ``split`` large pages are read by several tasks.
     """
     spark, root = store.spark, landed_root.rstrip("/")
     age = {} if max_age is None else {"max_age": max_age}
 
+    @cache
+    def header_features() -> DataFrame:
+        return landed.read_header_features(spark, f"{root}/headers", multi_line, split)
+
+    def count_headers() -> int:
+        if split:
+            return header_features().count()  # the pieces of the pages are written once, for this and the build
+        pages = landed.page_totals(landed.read_pages(spark, f"{root}/headers", multi_line), "headers")
+        return pages.agg(F.sum("n_features")).first()[0]
+
     def placed_logs(kind: str) -> DataFrame:
-        logs = landed.with_landing_order(landed.read_log_features(spark, f"{root}/{kind}", kind, multi_line))
+        logs = landed.with_landing_order(
+            landed.read_log_features(spark, f"{root}/{kind}", kind, multi_line, split)
+        )
         return laid_out(with_number_bounds(logs, tables["headers"]), "code_min_lon", "code_min_lat")
 
     readers = {
         "headers": lambda: laid_out(
-            with_national_point(
-                landed.with_landing_order(landed.read_header_features(spark, f"{root}/headers", multi_line))
-            ),
+            with_national_point(landed.with_landing_order(header_features())),
             "point_lon", "point_lat",
         ),
         "stratigraphy": lambda: placed_logs("stratigraphy"),
         "earth_material": lambda: placed_logs("earth_material"),
         "hydrogeology": lambda: landed.with_landing_order(
-            landed.read_hydro_features(spark, f"{root}/hydrogeology", multi_line)
+            landed.read_hydro_features(spark, f"{root}/hydrogeology", multi_line, split)
         ),
     }
     tables = {}
@@ -121,8 +131,7 @@ def build_national(
                 if known is not None and known["etag"] == etag:
                     fingerprint = known["server_fingerprint"]
                 else:
-                    pages = landed.page_totals(landed.read_pages(spark, f"{root}/headers", multi_line), layer)
-                    fingerprint = str(pages.agg(F.sum("n_features")).first()[0])
+                    fingerprint = str(count_headers())
         about = NATIONAL_PROVENANCE["hydrogeology" if layer == "hydrogeology" else "headers"]
         tables[layer] = store.get_or_build(
             NATIONAL_KEYS[layer], build, fingerprint=fingerprint, etag=etag, provenance=about, force=force,

@@ -1081,6 +1081,24 @@ def _(fx):
     return found.select(*[c.strip() for c in f"{_LOG}, {_PAYLOAD['earth_material']}, {_FLAGS}".split(",")])
 
 
+@register("split_pages_scan", f"""
+SELECT CAST("ENO" AS bigint) AS eno, {_txt('"BOREHOLE_NAME"')} AS borehole_name,
+       "INTERVAL_BEGIN_M" AS top_depth_m, "INTERVAL_END_M" AS bottom_depth_m,
+       "LITHOLOGY" AS lithology, {_txt('"LITHOLOGY_QUALIFIER"')} AS lithology_qualifier,
+       concat('}},{{"features":[{{"', "EARTH_MATERIAL_DESC", ']') AS description, "EARTH_MATERIAL_ID" AS earth_material_id
+FROM fx_ga_earth""")
+def _(fx):
+    """Pages cut between tasks, whose texts look like the borders of features."""
+    odd = fx.fx_ga_earth.withColumn(
+        "EARTH_MATERIAL_DESC", F.concat(F.lit('},{"features":[{"'), "EARTH_MATERIAL_DESC", F.lit("]"))
+    )
+    features = landed.read_log_features(fx.spark, land_pages(fx, plain_features(odd)), "earth_material", split=True)
+    return mapping.national_logs(features, "earth_material").select(
+        "eno", "borehole_name", "top_depth_m", "bottom_depth_m", "lithology", "lithology_qualifier",
+        "description", "earth_material_id",
+    )
+
+
 @register("hydro_pages_scan", """
 SELECT CAST(ufi AS varchar) AS ufi, feature, prodty, min_lon, min_lat, max_lon, max_lat, CAST(1 AS integer) AS n_rings FROM fx_hydro""")
 def _(fx):
