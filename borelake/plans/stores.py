@@ -16,6 +16,7 @@ from ..operators.mapping import state_logs, with_national_point
 from ..operators.summary import code_summary
 from ..schema import LOG_KINDS
 from ..sources import landed
+from ..sources.kept_pages import KeptPages
 from ..sources.registry import (
     BUILD_VERSION, NATIONAL_PROVENANCE, STATE_SOURCES, get_source, registry_table,
 )
@@ -85,53 +86,52 @@ def build_national(
     """National headers, logs and hydrogeology from ``<root>/<layer>/*.json`` pages.
 
     Headers are judged by the number of landed features and polygons by their pages. Pages are told by
-    name, size and time from the file listing, so where they are as before none is opened. Logs carry
-    the envelope of their number's bores and lie by it, so they are judged by the headers they were
-    placed with: new headers have them built again. With ``split`` large pages are read by several tasks.
+    name, size and time from the file listing, so where they are as before none is opened, and where some
+    are new or changed only those are parsed (``KeptPages``). Logs carry the envelope of their number's
+    bores and lie by it, so they are judged by their pages and the headers they were placed with: new
+    headers have them placed again, from what was parsed before. ``force`` parses all pages anew. With ``split`` large pages are read by
+    several tasks.
     """
     spark, root = store.spark, landed_root.rstrip("/")
     age = {} if max_age is None else {"max_age": max_age}
 
     @cache
-    def header_features() -> DataFrame:
-        return landed.read_header_features(spark, f"{root}/headers", multi_line, split)
+    def features(layer: str) -> DataFrame:
+        pages = KeptPages(spark, f"{store.root}/pages/v{BUILD_VERSION}/{NATIONAL_KEYS[layer]}")
+        return pages.features(f"{root}/{layer}", partial(parse, layer), anew=force)
 
-    def count_headers() -> int:
-        if split:
-            return header_features().count()  # the pieces of the pages are written once, for this and the build
-        pages = landed.page_totals(landed.read_pages(spark, f"{root}/headers", multi_line), "headers")
-        return pages.agg(F.sum("n_features")).first()[0]
+    def parse(layer: str, paths: list[str]) -> DataFrame:
+        if layer in LOG_KINDS:
+            return landed.read_log_features(spark, paths, layer, multi_line, split)
+        read = landed.read_header_features if layer == "headers" else landed.read_hydro_features
+        return read(spark, paths, multi_line, split)
 
     def placed_logs(kind: str) -> DataFrame:
-        logs = landed.with_landing_order(
-            landed.read_log_features(spark, f"{root}/{kind}", kind, multi_line, split)
-        )
+        logs = landed.with_landing_order(features(kind))
         return laid_out(with_number_bounds(logs, tables["headers"]), "code_min_lon", "code_min_lat")
 
     readers = {
         "headers": lambda: laid_out(
-            with_national_point(landed.with_landing_order(header_features())),
+            with_national_point(landed.with_landing_order(features("headers"))),
             "point_lon", "point_lat",
         ),
         "stratigraphy": lambda: placed_logs("stratigraphy"),
         "earth_material": lambda: placed_logs("earth_material"),
-        "hydrogeology": lambda: landed.with_landing_order(
-            landed.read_hydro_features(spark, f"{root}/hydrogeology", multi_line, split)
-        ),
+        "hydrogeology": lambda: landed.with_landing_order(features("hydrogeology")),
     }
     tables = {}
     for layer, build in readers.items():
         fingerprint = etag = None
-        if layer in LOG_KINDS:
-            fingerprint = store.entry(NATIONAL_KEYS["headers"])["entry"]
-        elif not offline:
+        if not offline:
             etag = landed.pages_stamp(spark, f"{root}/{layer}")
-            if layer == "headers":
+            if layer in LOG_KINDS:
+                fingerprint = f"{store.entry(NATIONAL_KEYS['headers'])['entry']}|{etag}"
+            elif layer == "headers":
                 known = store.entry(NATIONAL_KEYS[layer])
                 if known is not None and known["etag"] == etag:
                     fingerprint = known["server_fingerprint"]
                 else:
-                    fingerprint = str(count_headers())
+                    fingerprint = str(features("headers").count())
         about = NATIONAL_PROVENANCE["hydrogeology" if layer == "hydrogeology" else "headers"]
         tables[layer] = store.get_or_build(
             NATIONAL_KEYS[layer], build, fingerprint=fingerprint, etag=etag, provenance=about, force=force,
