@@ -244,3 +244,24 @@ def test_predicate_on_a_property_without_a_column(spark):
     assert [r.eno for r in filters.by_attribute(raw, f"{owner} = 'Shire' AND elevation_m > 4").collect()] == [1]
     assert [r.eno for r in filters.by_attribute(raw, f"{owner} IS NULL").collect()] == [3]
     assert filters.by_attribute(raw, "elevation_m > 4").columns == raw.columns
+
+
+def test_many_cuts_are_halved_in_generated_code(spark, monkeypatch):
+    monkeypatch.setattr(ordinal, "IN_CODE", 3)
+    days = [(None if i % 7 == 0 else f"k{i % 5}", None if i % 11 == 0 else i * 13 % 97, i) for i in range(400)]
+    df = spark.createDataFrame(days, "k string, d int, i long").withColumn("day", F.date_add(F.lit("2020-01-30").cast("date"), F.col("d")))
+    cuts = ordinal.Cuts(df, ["k", "day"], 23)
+    assert len(cuts.places) > 8
+    ranged = cuts.with_range(df)
+    assert ranged.columns == [*df.columns, "_range"]
+    plan = ranged._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan and "filter(" not in plan
+    least = lambda value: (value is not None, value or "")
+    key = lambda k, day: (k is not None, k or "", day is not None, str(day))
+    places = [key(*p) for p in cuts.places]
+    for row in ranged.collect():
+        assert row["_range"] == sum(p <= key(row["k"], row["day"]) for p in places)
+    got = ordinal.with_ordinal(df, ["day", "i"], ["k"], "n").collect()
+    for k in {row["k"] for row in got}:
+        mine = sorted((row for row in got if row["k"] == k), key=lambda row: (*least(row["day"] and str(row["day"])), row["i"]))
+        assert [row["n"] for row in mine] == list(range(1, len(mine) + 1))
