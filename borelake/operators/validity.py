@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..config import park
 from ..functions.geometry import doubled_area, ring_edges, snapped, vertices_of
-from .hot_keys import spread_join
+from .hot_keys import over_tasks, spread_join
 
 # Fixed value: no longitude or latitude is beyond it, and no product of two distances then overflows.
 LARGEST = 360.0
@@ -183,7 +183,7 @@ def with_validity(regions: DataFrame, shape: str = "shape") -> DataFrame:
 
     The regions are written once, numbered. A region without rings, or a null one, is not valid.
     """
-    numbered = park(regions.withColumn("_region", F.monotonically_increasing_id()), "regions")
+    numbered = park(over_tasks(regions).withColumn("_region", F.monotonically_increasing_id()), "regions")
     sound = F.forall(
         vertices_of(F.col(shape)), lambda v: v["x"].between(-LARGEST, LARGEST) & v["y"].between(-LARGEST, LARGEST)
     ) & (F.size(shape) > 0) & F.forall(shape, lambda rings: F.size(rings) > 0)

@@ -5,9 +5,10 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from borelake.functions.geometry import SHAPE_TYPE, is_box, part_edges, point_in_parts
+from borelake.functions.geometry import SHAPE_TYPE, box_shape, is_box, part_edges, point_in_parts
 from borelake.functions.keys import region_key
 from borelake.operators.filters import in_region, region_shape
+from borelake.operators.hot_keys import over_tasks, spread_join
 from borelake.operators.spatial_join import cut_to_cells, points_in_polygons, polygons_in_region
 from borelake.operators.validity import with_validity
 from borelake.region import Region
@@ -305,3 +306,14 @@ def test_polygons_meet_a_large_region(spark):
     found._jdf.queryExecution().executedPlan()
     assert time.perf_counter() - began < 3
     assert 10 < found.count() < 191
+
+
+def test_work_of_many_polygons_is_dealt_over_tasks(spark):
+    """Many polygons of one task are cut by several; a few stay where they are."""
+    shapes = spark.range(0, 4500, 1, 1).select("id")
+    assert over_tasks(shapes).rdd.getNumPartitions() == 3 and rows(over_tasks(shapes)) == rows(shapes)
+    assert over_tasks(shapes.limit(50)).rdd.getNumPartitions() == 1
+    many = spread_join(shapes.withColumn("k", F.col("id") % 9), shapes.withColumnRenamed("id", "k"), ["k"], limit=0, hint="merge", tasks=7)
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 2 and "ENSURE_REQUIREMENTS" not in plan
+    assert many.count() == 4500
