@@ -1,12 +1,15 @@
 import json
 import os
 import random
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from borelake import SnapshotStore, build_national
+from borelake.operators.ordinal import with_ordinal
 from borelake.sources import landed
+from checks.queries import land_pages
 
 from .test_stores import land_national
 
@@ -111,3 +114,45 @@ def test_a_national_build_over_split_pages(spark, tmp_path):
         without = [c for c in whole[layer].columns if c != "source_attributes"]
         assert split[layer].columns == whole[layer].columns
         assert sorted(map(repr, split[layer].select(without).collect())) == sorted(map(repr, whole[layer].select(without).collect()))
+
+
+def test_text_of_pages_is_not_shuffled(spark, tmp_path):
+    (tmp_path / "1.json").write_text(json.dumps({"features": [{"properties": {"eno": i}} for i in range(50)]}))
+    features = landed.read_header_features(spark, str(tmp_path), split=True)
+    plan = features._jdf.queryExecution().executedPlan().toString()
+    within = plan[plan.index("MapInArrow"):plan.index("FileScan text")]
+    assert "BroadcastHashJoin" in within and "hashpartitioning" not in plan[:plan.index("FileScan text")]
+    assert features.count() == 50
+
+
+@pytest.mark.parametrize("seed, size, batch", [(5, 300, "1"), (6, 1 << 27, "3")])
+def test_runs_that_go_on_in_later_batches(spark, tmp_path, small_blocks, seed, size, batch):
+    rnd = random.Random(seed)
+    for k, n in enumerate([3, 0, 6]):
+        (tmp_path / f"{k}.json").write_text(json.dumps(odd_page(rnd, n, k * 100), indent=k or None))
+    small_blocks(size)
+    whole = numbered(landed.read_header_features(spark, str(tmp_path)))
+    assert len(whole) == 9
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        assert numbered(landed.read_header_features(spark, str(tmp_path), split=True)) == whole
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_landed_pages_end_with_their_range(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("borelake.operators.ordinal.TASK_ROWS", 100)
+    rows = spark.range(1003).select(
+        F.col("id").alias("row_no"), F.lit(None).cast("struct<type:string,coordinates:array<double>>").alias("geometry"),
+        F.struct(F.col("id").alias("eno"), F.lit('"}\n').alias("name")).alias("properties"),
+    )
+    assert with_ordinal(rows.select("row_no"), ["row_no"]).rdd.getNumPartitions() >= 10
+    path = land_pages(SimpleNamespace(spark=spark), rows.repartition(3), 7)
+    pages = landed.read_pages(spark, path, multi_line=False).select("numberMatched", F.size("features").alias("n")).collect()
+    assert all(r["numberMatched"] == r["n"] <= 7 for r in pages) and len(pages) >= 1003 / 7
+    for split in (False, True):
+        found = landed.read_header_features(spark, path, multi_line=False, split=split)
+        read = landed.with_landing_order(found).orderBy(F.col("eno").cast("int")).collect()
+        assert [r["eno"] for r in read] == [str(i) for i in range(1003)]
+        assert {r["name"] for r in read} == {'"}\n'}
