@@ -70,9 +70,10 @@ def build_state(
         lookup = park(bore_lookup(layers["bores"]), "bore-lookup")  # once for all log layers
         for layer, raw in layers.items():
             placed = raw if layer == "bores" else with_bore_place(raw, lookup)
-            tagged = with_point(placed).withColumn("source", F.lit(tag))
+            # One source, so its tag has no part in the layout.
+            tagged = laid_out(with_point(placed.drop("source")), "point_lon", "point_lat").withColumn("source", F.lit(tag))
             store.put(
-                keys[layer], laid_out(tagged, "point_lon", "point_lat"),
+                keys[layer], tagged,
                 state_provenance(source.state, layer, sources=sources), now,
                 None if layer == "bores" else summary_of(layer), state_conditions(tagged, layer),
             )

@@ -425,3 +425,32 @@ def test_many_regions_of_all_sources_at_once(spark, world):
     assert found.where("region = 'all'").count() > 0
     with pytest.raises(ValueError, match="no region"):
         everything.log_tables_in(regions.where("false"), "region")
+
+
+def test_large_lookups_of_bores_are_hashed_not_sorted(spark, monkeypatch):
+    bores = spark.createDataFrame(
+        [("A", 1, 146.0, -35.0), ("B", 2, 147.0, -36.0), ("B", 3, 148.0, -36.5)],
+        "HydroCode string, row_no bigint, Longitude double, Latitude double",
+    )
+    logs = spark.createDataFrame([(i, code) for i, code in enumerate(["A", "B", "B", "C", None])], "row_no bigint, HydroCode string")
+    lookup = joins.bore_lookup(bores).localCheckpoint()
+    small = rows(joins.with_bore_place(logs, lookup))
+    monkeypatch.setattr(joins, "BROADCAST_LIMIT", 100)  # less than the lookup has, more than a task's share of it
+    placed = joins.with_bore_place(logs, lookup)
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    assert rows(placed) == small and len(small) == 5
+
+
+def test_layout_sorts_by_one_number_of_the_cell(spark):
+    points = spark.range(200).select(
+        F.col("id").alias("row_no"), F.when(F.col("id") % 9 > 0, 140 + F.col("id") % 7 - 3.5).alias("lon"),
+        F.when(F.col("id") % 9 > 0, F.col("id") % 5 - 2.25).alias("lat"),
+    )
+    placed = sinks.laid_out(points, "lon", "lat", 1.0)
+    assert placed.columns == points.columns and rows(placed) == rows(points)
+    plan = placed._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [_cell" in plan
+    cells = [(r.lat is not None, r.lat, r.lon, r.row_no) for r in placed.collect()]
+    firsts = [(c[0], c[1] // 1 if c[0] else 0, c[2] // 1 if c[0] else 0, c[3]) for c in cells]
+    assert firsts == sorted(firsts)
