@@ -170,6 +170,26 @@ def test_row_of_a_rank_is_found_without_a_sort(spark, monkeypatch):
     assert ordinal.key_at(same, 150, ["v"]) == {"v": 1}
 
 
+def test_row_of_a_range_is_found_by_its_cuts_alone(spark, monkeypatch):
+    """A range that is cut again is read by two comparisons, not by all steps of the search for a range."""
+    monkeypatch.setattr(ordinal, "SORTED_ROWS", 200)
+    plans, plain = [], ordinal.Cuts
+
+    def seen(keys, *more):
+        plans.append(keys._jdf.queryExecution().optimizedPlan().toString())
+        return plain(keys, *more)
+
+    monkeypatch.setattr(ordinal, "Cuts", seen)
+    value = F.when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 6007)  # nulls first, few equal
+    df = spark.range(0, 18000, 1, 4).select(value.alias("g"), F.col("id").alias("v"))
+    expected = sorted(((r.g, r.v) for r in df.collect()), key=lambda r: (r[0] is not None, r))
+    monkeypatch.setattr(ordinal, "_ranges", lambda df: 40)
+    for at in (0, 1300, 2600, 9001, -1):
+        assert ordinal.key_at(df, at, ["g", "v"]) == dict(zip("gv", expected[at]))
+    assert len(plans) > 5  # some ranges were cut again
+    assert all("_cut_" not in p and len(p) < 5000 for p in plans)
+
+
 def test_long_logs_continue_in_parts(spark):
     logs = spark.createDataFrame(
         [(i, "hot" if i % 2 else f"k{i % 10}", float(i)) for i in range(1000)], "row_no long, bore_key string, d double")
