@@ -56,7 +56,7 @@ def test_no_number_of_small_parts_passes_a_bigint(spark):
 
 
 @pytest.mark.parametrize("name", [
-    "split_pages_scan", "earth_pages_scan", "units_csv", "log_pages_scan", "interval_lists",
+    "split_pages_scan", "earth_pages_scan", "units_csv", "log_pages_scan", "interval_lists", "store_interval_counts",
 ])
 def test_query_answers_for_far_keys_as_for_near_ones(spark, near_and_far, name):
     near, far = (entry.queries()[name](spark, folder) for folder in near_and_far)
